@@ -11,7 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodseq.plans.pipeline import Reports
 from prodseq.plans.workspace import Workspace
 from prodseq.sources import reports as rp
 
@@ -196,9 +195,9 @@ class Landed:
     tables: dict[str, DataFrame]
     workspace: Workspace
 
-    def reports(self) -> Reports:
+    def reports(self) -> rp.Reports:
         t = self.tables
-        return Reports(
+        return rp.Reports(
             bor=rp.typed(t["bor"], rp.BOR),
             bmr=rp.typed(t["bmr"], rp.BMR),
             bpr=rp.typed(t["bpr"], rp.BPR),

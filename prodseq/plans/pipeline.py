@@ -17,19 +17,7 @@ from prodseq.operators import scoring as sc
 from prodseq.operators.ranking import Rows, stored_rows, with_rank
 from prodseq.plans.params import Params
 from prodseq.plans.workspace import Workspace
-
-
-@dataclass(frozen=True)
-class Reports:
-    """Typed report tables (see ``sources.reports``); dispatch and curing have no date."""
-
-    bor: DataFrame
-    bmr: DataFrame
-    bpr: DataFrame
-    dispatch: DataFrame
-    curing: DataFrame
-    mould: DataFrame | None = None
-    manual: DataFrame | None = None
+from prodseq.sources.reports import Reports
 
 
 def product_attributes(ws: Workspace, reports: Reports, params: Params) -> DataFrame:

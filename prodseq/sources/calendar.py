@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodseq.sources.reports import DAILY, Report
+from prodseq.sources.reports import DAILY, Report, matching_paths
 
 
 def report_files(
@@ -22,11 +22,7 @@ def report_files(
 
 def _listing(spark: SparkSession, base: str, report: Report) -> DataFrame:
     path = f"{base}/{report.glob()}"
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(path)
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    matches = fs.globStatus(pattern)
-    if matches is None or len(matches) == 0:
+    if not matching_paths(spark, path):
         return spark.createDataFrame([], "report_date date, kind string")
     # Only the path column is asked for, so no file is opened.
     files = spark.read.format("binaryFile").load(path)

@@ -17,6 +17,19 @@ from pyspark.sql import functions as F
 from prodseq.functions import nan_to_null, number
 
 
+@dataclass(frozen=True)
+class Reports:
+    """Typed report tables; dispatch and curing have no date."""
+
+    bor: DataFrame
+    bmr: DataFrame
+    bpr: DataFrame
+    dispatch: DataFrame
+    curing: DataFrame
+    mould: DataFrame | None = None
+    manual: DataFrame | None = None
+
+
 @dataclass(frozen=True)
 class Report:
     """``path`` is relative to the data folder; ``{date}`` stands for the date in ``style``."""
@@ -187,3 +200,42 @@ def read_promoted(
         )
     )
     return typed(named, report)
+
+
+def read_reports(spark: SparkSession, base: str, dates: list[date]) -> Reports:
+    """All reports of the given dates; a date without a mould report has no mould rows."""
+    has_moulds = bool(matching_paths(spark, f"{base}/{MOULD.glob(dates)}"))
+    return Reports(
+        bor=read_csv(spark, base, BOR, dates),
+        bmr=read_promoted(spark, base, BMR, dates),
+        bpr=read_csv(spark, base, BPR, dates),
+        dispatch=read_csv(spark, base, DISPATCH),
+        curing=read_csv(spark, base, CURING),
+        mould=read_csv(spark, base, MOULD, dates) if has_moulds else None,
+    )
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files or folders that match; one per report date at most."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(s.getPath()) for s in fs.globStatus(path) or []]
+
+
+def read_manual(spark: SparkSession, path: str, report_date: date | None = None) -> DataFrame:
+    """Manual list from CSV or Parquet; the order of entry is kept in ``entry_no``.
+
+    A list without its own ``report_date`` column applies to the given date.
+    """
+    raw = (
+        spark.read.option("header", "true").csv(path)
+        if path.rstrip("/").endswith(".csv")
+        else spark.read.parquet(path)
+    )
+    if "entry_no" not in raw.columns:
+        raw = raw.withColumn("entry_no", F.monotonically_increasing_id())
+    if "report_date" not in raw.columns:
+        if report_date is None:
+            raise ValueError("the manual list has no report_date; pass the date it is for")
+        raw = raw.withColumn("report_date", F.lit(report_date))
+    return raw.withColumn("report_date", F.col("report_date").cast("date"))
