@@ -222,10 +222,10 @@ SELECT *, CASE WHEN source = 'Manual' THEN manual_score ELSE consolidated END AS
 SELECT *, penetration > 100 AND source <> 'Manual' AS is_overstock,
   CASE WHEN penetration > 100 AND source <> 'Manual' THEN full_score * 0.0 ELSE full_score END AS strategic
 FROM strategic""",
-    "final": f"""
+    "final": """
 SELECT *, row_number() OVER (PARTITION BY report_date ORDER BY is_overstock,
   CASE WHEN is_overstock THEN NULL ELSE round(strategic, 9) END DESC NULLS LAST,
-  CASE WHEN is_overstock THEN penetration END ASC NULLS LAST, {_TIES}) AS final_rank
+  CASE WHEN is_overstock THEN penetration END ASC NULLS LAST, proxy_rank) AS final_rank
 FROM penalised""",
     "plain_final": f"""
 SELECT *, 'Automated' AS source, row_number() OVER (PARTITION BY report_date

@@ -46,7 +46,8 @@ def number(text: Column) -> Column:
     The JVM parser also reads a trailing type letter (``12d``) as a number, so
     such text is ruled out first.
     """
-    plain = F.when(~text.rlike("[dDfF]$"), text)
+    last = F.right(text, F.lit(1))
+    plain = F.when(~last.isin("d", "D", "f", "F"), text)
     return nan_to_null(plain.try_cast("double"))
 
 

@@ -189,19 +189,23 @@ def with_overstock(hybrid: DataFrame) -> DataFrame:
     return hybrid.withColumn("is_overstock", over).withColumn("strategic", lowered)
 
 
-def final_order(df: DataFrame, score: Column) -> list[Column]:
-    """Normal rows by score, then overstocked rows by penetration."""
+def final_order(score: Column) -> list[Column]:
+    """Normal rows by score, then overstocked rows by penetration.
+
+    Equal keys keep the order before this step: manual rows by manual rank, then
+    automated rows by proxy order. ``proxy_rank`` holds exactly that, once per date.
+    """
     over = F.col("is_overstock")
     return [
         over.asc(),
         F.when(~over, score).desc_nulls_last(),
         F.when(over, F.col("penetration")).asc_nulls_last(),
-        *tie_break(df),
+        F.col("proxy_rank").asc(),
     ]
 
 
 def with_final_rank(rows: Rows, scale: int | None) -> DataFrame:
-    order = final_order(rows.df, rounded(F.col("strategic"), scale))
+    order = final_order(rounded(F.col("strategic"), scale))
     return with_row_number(rows, order, "final_rank")
 
 

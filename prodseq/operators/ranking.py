@@ -25,7 +25,7 @@ _SLOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: place in
 TIE_BREAK = [("sku", True), ("market", True), ("requirement", False)]
 TIE_BREAK_REST = [
     "description", "norm", "virtual_norm", "adjusted_target", "stock", "penetration",
-    "top_sku", "machine_count", "inventory", "priority_score", "consolidated",
+    "top_sku", "machine_count", "inventory", "priority_score", "consolidated", "proxy_rank",
 ]
 
 

@@ -20,7 +20,7 @@ def asp_by_sku(dispatch: DataFrame, params: Params) -> DataFrame:
     Thousands commas are removed from the amount only; a quantity with a comma
     is not a number and its line is left out, like a line with quantity 0.
     """
-    amount = number(F.regexp_replace("amount", ",", ""))
+    amount = number(F.translate("amount", ",", ""))
     price = ratio(amount, number(F.col("quantity")))
     return (
         dispatch.filter((F.col("plant") == DISPATCH_PLANT) & F.col("sku").isNotNull())
