@@ -222,10 +222,10 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath()) for s in fs.globStatus(path) or []]
 
 
-def read_manual(spark: SparkSession, path: str, report_date: date | None = None) -> DataFrame:
-    """Manual list from CSV or Parquet; the order of entry is kept in ``entry_no``.
+def read_manual(spark: SparkSession, path: str, dates: list[date]) -> DataFrame:
+    """Manual list from CSV or Parquet, in order of entry (``entry_no``).
 
-    A list without its own ``report_date`` column applies to the given date.
+    A list without its own ``report_date`` column holds for each of the given dates.
     """
     raw = (
         spark.read.option("header", "true").csv(path)
@@ -235,7 +235,7 @@ def read_manual(spark: SparkSession, path: str, report_date: date | None = None)
     if "entry_no" not in raw.columns:
         raw = raw.withColumn("entry_no", F.monotonically_increasing_id())
     if "report_date" not in raw.columns:
-        if report_date is None:
-            raise ValueError("the manual list has no report_date; pass the date it is for")
-        raw = raw.withColumn("report_date", F.lit(report_date))
-    return raw.withColumn("report_date", F.col("report_date").cast("date"))
+        raw = raw.withColumn("report_date", F.explode(F.array(*[F.lit(d) for d in dates])))
+    return raw.withColumns(
+        {"report_date": F.col("report_date").cast("date"), "entry_no": F.col("entry_no").cast("long")}
+    )
