@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,16 +77,18 @@ class _Run:
         return sc.with_demand_score(self.attributed(), PARAMS)
 
     def scored(self) -> DataFrame:
-        return dm.expand_copies(pl.scored_demand(self.ws, self.reports, PARAMS))
+        attributes = pl.product_attributes(self.ws, self.reports, PARAMS)
+        return dm.expand_copies(pl.scored_demand(self.reports, attributes, PARAMS))
 
-    def stage1(self) -> Rows:
-        return pl.stage1(self.ws, self.reports, PARAMS)
+    def stage1(self, with_moulds: bool = False) -> pl.Ranking:
+        reports = self.reports if with_moulds else replace(self.reports, mould=None)
+        return pl.stage1(self.ws, reports, PARAMS)
 
     def moulds(self) -> DataFrame:
         return dp.mould_summary(self.reports.mould, PARAMS)
 
     def stage2(self) -> Rows:
-        return pl.stage2(self.ws, self.stage1(), self.reports.mould, PARAMS)
+        return pl.stage2(self.ws, self.stage1(with_moulds=True), PARAMS)
 
     def override(self) -> pl.Override:
         return pl.prepare_override(self.ws, self.stage2(), self.reports.manual)

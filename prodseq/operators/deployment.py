@@ -36,23 +36,41 @@ def mould_summary(mould: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def with_deployment(demand: DataFrame, summary: DataFrame) -> DataFrame:
+def with_machines(rows: DataFrame, summary: DataFrame) -> DataFrame:
     """Left join of machines and health; a product or date without moulds has zeros."""
     return (
-        demand.join(summary, ["report_date", "sku"], "left")
+        rows.join(summary, ["report_date", "sku"], "left")
         .withColumn("machine_count", F.coalesce("machine_count", F.lit(0)))
         .withColumn("mould_health", F.coalesce("mould_health", F.lit(0.0)))
-        .withColumn("is_ghost", F.lit(False))
     )
 
 
-def ghost_rows(demand: DataFrame, summary: DataFrame) -> DataFrame:
+def with_deployment(demand: DataFrame, summary: DataFrame | None) -> DataFrame:
+    """Demand rows with machines, tagged as real demand.
+
+    Rows that already carry machines are only tagged; without a mould report
+    every row has zeros.
+    """
+    if "machine_count" not in demand.columns:
+        demand = (
+            with_machines(demand, summary)
+            if summary is not None
+            else demand.withColumns(
+                {"machine_count": F.lit(0).cast("long"), "mould_health": F.lit(0.0)}
+            )
+        )
+    return demand.withColumn("is_ghost", F.lit(False))
+
+
+def ghost_rows(demand: DataFrame, summary: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Products on machines that have no demand row on a date that has demand.
 
-    Demand is reduced to its distinct products first, so the anti join sees each
-    key once. The per-date score floor has one row per calendar day.
+    ``products`` are the date and product pairs in demand, once each; they are
+    taken from the demand rows if not given. The per-date score floor has one
+    row per calendar day.
     """
-    products = demand.select("report_date", "sku").distinct()
+    if products is None:
+        products = demand.select("report_date", "sku").distinct()
     floor = demand.groupBy("report_date").agg(F.min("consolidated").alias("_lowest"))
     score = F.coalesce("_lowest", F.lit(0.0)) * GHOST_SHARE_OF_LOWEST
     return (
@@ -64,7 +82,6 @@ def ghost_rows(demand: DataFrame, summary: DataFrame) -> DataFrame:
             rim_size(F.col("sku")).alias("size"),
             F.lit(GHOST_MARKET).alias("market"),
             F.lit(0.0).alias("requirement"),
-            F.lit(0.0).alias("prior_requirement"),
             F.lit(0.0).alias("penetration"),
             F.lit(GHOST_CURE_TIME).alias("cure_time"),
             "machine_count",
@@ -77,7 +94,7 @@ def ghost_rows(demand: DataFrame, summary: DataFrame) -> DataFrame:
 
 def with_ghosts(deployed: DataFrame, ghosts: DataFrame) -> DataFrame:
     """Append ghost rows; columns they lack are missing until the fill."""
-    return deployed.unionByName(ghosts.drop("prior_requirement"), allowMissingColumns=True)
+    return deployed.unionByName(ghosts, allowMissingColumns=True)
 
 
 def with_proxy_score(df: DataFrame, params: Params) -> DataFrame:

@@ -30,6 +30,8 @@ MANUAL_COLUMNS = {
 }
 REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 
+PARTS_PER_PRODUCT = 64
+
 ZERO_FILLED = [
     *STAGE2_ZERO_FILLED,
     "prior_requirement", "manual_requirement", "manual_score", "highest_priority", "manual_rank",

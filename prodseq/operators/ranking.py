@@ -31,7 +31,7 @@ TIE_BREAK_REST = [
 
 @dataclass(frozen=True)
 class Rows:
-    """Rows with a stored hash each, and the number of rows of the largest date."""
+    """Written rows and the size of their largest date; large ones carry a hash per row."""
 
     df: DataFrame
     largest_date: int
@@ -44,12 +44,14 @@ class Rows:
 
 def stored_rows(ws: Workspace, df: DataFrame, label: str) -> Rows:
     """Write ``df`` and measure it; rows that stand for copies are repeated after the write."""
-    table = ws.write_salted(df, label)
+    table = ws.write(df.drop(SALT), label)
     weighted = "copies" in table.columns
     weight = F.col("copies") if weighted else F.lit(1).cast("long")
     per_date = table.groupBy(DATE).agg(F.sum(weight).alias("n"), F.max(weight).alias("most"))
     size = per_date.agg(F.max("n").alias("n"), F.max("most").alias("most")).first()
     largest, most = size["n"] or 0, size["most"] or 0
+    if largest > ws.single_task_rows:
+        table = ws.salted(table)
     if weighted:
         if most <= 1:
             table = table.drop("copies")
@@ -103,17 +105,17 @@ def with_row_number(rows: Rows, order: list[Column], out: str) -> DataFrame:
 
 def _placed(ws: Workspace, df: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``_place``, the row's position in its date, using every task of the cluster."""
-    order = [F.col(DATE).asc(), *order, F.col(SALT).asc()]
+    order = [F.col(DATE).asc(), *order, *([F.col(SALT).asc()] if SALT in df.columns else [])]
     slices = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_slice", F.spark_partition_id())
         .withColumn("_slot", F.monotonically_increasing_id().bitwiseAND(F.lit(_SLOT_MASK)))
     )
-    path_rows = ws.write(slices, "ranked")
+    stored = ws.write(slices, "ranked")
     # One row per slice and date: no more than the number of slices plus the
     # number of dates, so the offsets are broadcast.
-    runs = path_rows.groupBy(DATE, "_slice").agg(
+    runs = stored.groupBy(DATE, "_slice").agg(
         F.min("_slot").alias("_start"), F.count("*").alias("_n")
     )
     before = Window.partitionBy(DATE).orderBy("_slice").rowsBetween(
@@ -125,7 +127,8 @@ def _placed(ws: Workspace, df: DataFrame, order: list[Column]) -> DataFrame:
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start") + 1).alias("_shift"),
     )
     return (
-        path_rows.join(F.broadcast(offsets), [DATE, "_slice"])
+        # Left, so that the join falls away where the place is not read.
+        stored.join(F.broadcast(offsets), [DATE, "_slice"], "left")
         .withColumn("_place", F.col("_slot") + F.col("_shift"))
         .drop("_slice", "_slot", "_shift")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodseq.functions import ratio
+from prodseq.operators.deployment import with_machines
 from prodseq.operators.revenue import with_revenue
 from prodseq.plans.params import Params
 
@@ -18,17 +19,26 @@ ZERO_FILLED = [
 
 
 def sku_attributes(
-    demand: DataFrame, inventory: DataFrame, asp: DataFrame, cure: DataFrame, params: Params
+    demand: DataFrame,
+    inventory: DataFrame,
+    asp: DataFrame,
+    cure: DataFrame,
+    params: Params,
+    moulds: DataFrame | None = None,
 ) -> DataFrame:
     """One row per date and product: largest signals, stock-out score, price, capacity.
 
     Demand is reduced to its products before any lookup is joined, so a product
-    with very many rows is one row here and the three lookups join unique keys.
+    with very many rows is one row here and the lookups join unique keys. With
+    ``moulds`` given, machines and health ride along and the second stage needs
+    no join of its own on the demand rows.
     """
     products = demand.groupBy("report_date", "sku").agg(
         F.max("penetration").alias("max_penetration"),
         F.max("requirement").alias("max_requirement"),
     )
+    if moulds is not None:
+        products = with_machines(products, moulds)
     joined = (
         products.join(inventory, ["report_date", "sku"], "left")
         .join(asp, "sku", "left")

@@ -20,7 +20,9 @@ from prodseq.plans.workspace import Workspace
 from prodseq.sources.reports import Reports
 
 
-def product_attributes(ws: Workspace, reports: Reports, params: Params) -> DataFrame:
+def product_attributes(
+    ws: Workspace, reports: Reports, params: Params, moulds: DataFrame | None = None
+) -> DataFrame:
     """Written table of one row per date and product in demand."""
     signals = dm.combined_demand(
         dm.domestic_signals(reports.bor), dm.export_rows(reports.bmr).drop("copies")
@@ -31,48 +33,61 @@ def product_attributes(ws: Workspace, reports: Reports, params: Params) -> DataF
         rev.asp_by_sku(reports.dispatch, params),
         rev.cure_time_by_sku(reports.curing),
         params,
+        moulds,
     )
     return ws.write(table, "attributes")
 
 
-def scored_demand(ws: Workspace, reports: Reports, params: Params) -> DataFrame:
+def scored_demand(reports: Reports, attributes: DataFrame, params: Params) -> DataFrame:
     """Demand rows with every score; rows that repeat are still held as ``copies``."""
     rows = dm.combined_demand(
         dm.with_top_sku(dm.domestic_signals(reports.bor), reports.bpr),
         dm.export_rows(reports.bmr),
     ).drop("loc")
-    rows = sc.with_attributes(
-        dm.with_market_columns(rows, params), product_attributes(ws, reports, params)
-    )
+    rows = sc.with_attributes(dm.with_market_columns(rows, params), attributes)
     return sc.with_consolidated_score(sc.with_demand_score(rows, params), params)
 
 
-def stage1(ws: Workspace, reports: Reports, params: Params) -> Rows:
-    """Demand ranking of every date."""
-    rows = stored_rows(ws, scored_demand(ws, reports, params), "demand")
+@dataclass(frozen=True)
+class Ranking:
+    """First-stage result, with what the second stage can reuse."""
+
+    rows: Rows
+    products: DataFrame  # date and product pairs in demand
+    moulds: DataFrame | None  # mould summary, if the reports had moulds
+
+    @property
+    def df(self) -> DataFrame:
+        return self.rows.df
+
+
+def stage1(ws: Workspace, reports: Reports, params: Params) -> Ranking:
+    """Demand ranking of every date.
+
+    If the reports include moulds, their summary is joined to the product table,
+    not to the demand rows.
+    """
+    moulds = None
+    if reports.mould is not None:
+        moulds = ws.write(dp.mould_summary(reports.mould, params), "moulds")
+    attributes = product_attributes(ws, reports, params, moulds)
+    rows = stored_rows(ws, scored_demand(reports, attributes, params), "demand")
     score = rounded(F.col("consolidated"), params.rank_scale)
-    return rows.using(with_rank(rows, score, "demand_rank"))
+    ranked = rows.using(with_rank(rows, score, "demand_rank"))
+    return Ranking(ranked, attributes.select("report_date", "sku"), moulds)
 
 
-def deployed_rows(
-    ws: Workspace, ranked: DataFrame, mould: DataFrame | None, params: Params
-) -> DataFrame:
+def deployed_rows(ranking: Ranking) -> DataFrame:
     """Ranked demand with machines, and ghost rows below it."""
-    if mould is None:
-        return (
-            ranked.withColumn("machine_count", F.lit(0).cast("long"))
-            .withColumn("mould_health", F.lit(0.0))
-            .withColumn("is_ghost", F.lit(False))
-        )
-    summary = ws.write(dp.mould_summary(mould, params), "moulds")
-    return dp.with_ghosts(
-        dp.with_deployment(ranked, summary), dp.ghost_rows(ranked, summary)
-    )
+    deployed = dp.with_deployment(ranking.df, ranking.moulds)
+    if ranking.moulds is None:
+        return deployed
+    return dp.with_ghosts(deployed, dp.ghost_rows(ranking.df, ranking.moulds, ranking.products))
 
 
-def stage2(ws: Workspace, ranked: Rows, mould: DataFrame | None, params: Params) -> Rows:
+def stage2(ws: Workspace, ranking: Ranking, params: Params) -> Rows:
     """Gap analysis of the demand ranking against machines."""
-    scored = dp.with_proxy_score(deployed_rows(ws, ranked.df, mould, params), params)
+    scored = dp.with_proxy_score(deployed_rows(ranking), params)
     rows = stored_rows(ws, scored, "deployment")
     flagged = dp.with_gap_flags(dp.with_proxy_rank(rows, params), params)
     return rows.using(dp.filled(flagged))

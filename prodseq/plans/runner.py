@@ -6,7 +6,7 @@ reports are skipped, as are dates without a demand row.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +59,8 @@ class Job:
 def run_stage1(spark: SparkSession, job: Job) -> None:
     """Demand ranking only."""
     ws = Workspace(spark)
-    ranked = stage1(ws, read_reports(spark, job.data, job.dates(spark)), job.params(spark))
+    reports = replace(read_reports(spark, job.data, job.dates(spark)), mould=None)
+    ranked = stage1(ws, reports, job.params(spark))
     report = layouts.to_report(ranked.df, layouts.STAGE1)
     write_report(report, f"{job.out}/{STAGE1_OUTPUT}", "Rank_ConsolidatedPriorityScore", job.fmt)
     ws.release()
@@ -70,7 +71,7 @@ def run_stage2(spark: SparkSession, job: Job) -> DataFrame:
     ws = Workspace(spark)
     params = job.params(spark)
     reports = read_reports(spark, job.data, job.dates(spark))
-    gaps = stage2(ws, stage1(ws, reports, params), reports.mould, params)
+    gaps = stage2(ws, stage1(ws, reports, params), params)
     report = layouts.to_report(gaps.df, layouts.STAGE2)
     write_report(report, f"{job.out}/{STAGE2_OUTPUT}", "ProxyRank", job.fmt)
     return _kept(spark, ws, sm.stage2_summary(gaps.df), f"{job.out}/{STAGE2_OUTPUT}_summary")
@@ -82,7 +83,7 @@ def run_stage3(spark: SparkSession, job: Job) -> DataFrame:
     params = job.params(spark)
     dates = job.dates(spark)
     reports = read_reports(spark, job.data, dates)
-    gaps = stage2(ws, stage1(ws, reports, params), reports.mould, params)
+    gaps = stage2(ws, stage1(ws, reports, params), params)
     final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
     report = layouts.to_report(final, layouts.STAGE3)
     write_report(report, f"{job.out}/{STAGE3_OUTPUT}", "Final Rank", job.fmt)

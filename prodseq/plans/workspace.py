@@ -16,9 +16,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A date with at most this many rows is ranked by one task; a larger one is
-# range-partitioned. One million report rows sort in a few seconds.
-SINGLE_TASK_ROWS = 1_000_000
+# A date with at most this many rows is ranked by one task, which takes about a
+# second; larger dates are range-partitioned.
+SINGLE_TASK_ROWS = 250_000
 
 # A row standing for more than this many copies is expanded by several tasks.
 COPIES_PER_TASK = 100_000
@@ -58,13 +58,11 @@ class Workspace:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def write_salted(self, df: DataFrame, label: str) -> DataFrame:
-        """As ``write``, plus a row number hash that is the same on every read."""
-        plain = df.drop(SALT)
-        scan = self.write(plain, label)
-        return scan.select(
-            "*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(SALT)
-        )
+    @staticmethod
+    def salted(scan: DataFrame) -> DataFrame:
+        """Add a hash that differs per row and is the same on every read of the table."""
+        row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        return scan.select("*", row.alias(SALT))
 
     def release(self) -> None:
         """Delete this run's intermediate tables; results read from them end with it."""

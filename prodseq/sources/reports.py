@@ -142,7 +142,7 @@ def typed(raw: DataFrame, report: Report) -> DataFrame:
             return c.cast("string")
         if types[name] == "string":
             return number(c).cast(kind)
-        return nan_to_null(c.cast("double")).cast(kind)
+        return nan_to_null(c).cast(kind) if types[name] == "double" else c.cast(kind)
 
     dated = ["report_date"] if "report_date" in raw.columns else []
     return raw.select(

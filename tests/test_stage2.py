@@ -14,7 +14,7 @@ PARAMS = Params()
 
 def run(ws, spark, mould, params=PARAMS, **tables):
     r = reports(spark, mould=mould, **tables)
-    return stage2(ws, stage1(ws, r, params), r.mould, params).df
+    return stage2(ws, stage1(ws, r, params), params).df
 
 
 def machines(s, n, life=10.0, target=50.0, day=DAY):

@@ -15,7 +15,7 @@ NEXT = date(2026, 1, 3)
 
 def run(ws, spark, manual, mould=(), **tables):
     r = reports(spark, mould=mould, manual=manual, **tables)
-    gaps = stage2(ws, stage1(ws, r, PARAMS), r.mould, PARAMS)
+    gaps = stage2(ws, stage1(ws, r, PARAMS), PARAMS)
     return stage3(ws, gaps, r.manual, PARAMS)
 
 
@@ -142,7 +142,7 @@ def test_missing_manual_columns_are_named(spark):
 def test_high_weights_can_beat_manual_rows(ws, spark):
     params = Params(market_weights={"OE": 400, "ST": 3, "EXP": 2, "RE": 1})
     r = reports(spark, bor=[bor_row(A)], manual=[manual_row(M)], mould=[])
-    gaps = stage2(ws, stage1(ws, r, params), r.mould, params)
+    gaps = stage2(ws, stage1(ws, r, params), params)
     final = stage3(ws, gaps, r.manual, params)
     assert [x["sku"] for x in in_order(final)] == [A, M]
     from prodseq.operators.summary import stage3_summary
