@@ -24,6 +24,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--parameters", help="CSV of the parameter table")
     parser.add_argument("--manual", help="manual demand list, CSV or Parquet")
     parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    parser.add_argument(
+        "--count-unusable", action="store_true", help="also count rows left out for missing keys"
+    )
     args = parser.parse_args(argv)
 
     spark = (
@@ -34,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     job = runner.Job(
         args.data, args.out, args.start, args.end or args.start, args.parameters, args.manual,
-        args.format,
+        args.format, args.count_unusable,
     )
     run = {"stage1": runner.run_stage1, "stage2": runner.run_stage2, "stage3": runner.run_stage3}
     summary = run[args.stage](spark, job)

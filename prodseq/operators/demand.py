@@ -27,8 +27,12 @@ def domestic_signals(bor: DataFrame) -> DataFrame:
         bor.filter(F.col("loc").startswith(PLANT) & F.col("sku").isNotNull())
         .withColumn("market", market)
         .withColumn("adjusted_target", target)
-        .withColumn("requirement", clamp_at_zero(F.col("adjusted_target") - stock))
-        .withColumn("penetration", depletion)
+        .withColumns(
+            {
+                "requirement": clamp_at_zero(F.col("adjusted_target") - stock),
+                "penetration": depletion,
+            }
+        )
     )
 
 
@@ -104,8 +108,10 @@ def combined_demand(domestic: DataFrame, export: DataFrame) -> DataFrame:
 
 def with_market_columns(df: DataFrame, params: Params) -> DataFrame:
     """Rim size, market weight (missing for an unknown market) and top flag."""
-    return (
-        df.withColumn("size", rim_size(F.col("sku")))
-        .withColumn("market_weight", case_of(F.col("market"), params.market_weights))
-        .withColumn("top_flag", F.when(F.col("top_sku") == TOP_MARK, 1).otherwise(0))
+    return df.withColumns(
+        {
+            "size": rim_size(F.col("sku")),
+            "market_weight": case_of(F.col("market"), params.market_weights),
+            "top_flag": F.when(F.col("top_sku") == TOP_MARK, 1).otherwise(0),
+        }
     )

@@ -38,10 +38,11 @@ def mould_summary(mould: DataFrame, params: Params) -> DataFrame:
 
 def with_machines(rows: DataFrame, summary: DataFrame) -> DataFrame:
     """Left join of machines and health; a product or date without moulds has zeros."""
-    return (
-        rows.join(summary, ["report_date", "sku"], "left")
-        .withColumn("machine_count", F.coalesce("machine_count", F.lit(0)))
-        .withColumn("mould_health", F.coalesce("mould_health", F.lit(0.0)))
+    return rows.join(summary, ["report_date", "sku"], "left").withColumns(
+        {
+            "machine_count": F.coalesce("machine_count", F.lit(0)),
+            "mould_health": F.coalesce("mould_health", F.lit(0.0)),
+        }
     )
 
 

@@ -56,11 +56,14 @@ def clean_manual(raw: DataFrame) -> DataFrame:
     level = amount("highest_priority")
     whole = F.when(level < 0, F.ceil(level)).otherwise(F.floor(level)).cast("int")
     return (
-        df.withColumn("sku", strip(F.col("sku").cast("string")))
-        .withColumn("market", strip(F.col("market").cast("string")))
-        .withColumn("quantity", amount("quantity"))
-        .withColumn("highest_priority", whole)
-        .filter(F.length("sku") > 0)
+        df.withColumns(
+            {
+                "sku": strip(F.col("sku").cast("string")),
+                "market": strip(F.col("market").cast("string")),
+                "quantity": amount("quantity"),
+                "highest_priority": whole,
+            }
+        ).filter(F.length("sku") > 0)
     )
 
 
@@ -157,11 +160,14 @@ def automated_rows(remaining: Rows, manual_counts: DataFrame) -> DataFrame:
         F.broadcast(manual_counts), "report_date", "left"
     )
     return (
-        numbered.withColumn("proxy_rank", F.col("_row") + F.coalesce("n_manual", F.lit(0)))
-        .withColumn("source", F.lit(AUTOMATED))
-        .withColumn("prior_requirement", F.col("requirement"))
-        .withColumn("manual_requirement", F.lit(0.0))
-        .drop("_row", "n_manual")
+        numbered.withColumns(
+            {
+                "proxy_rank": F.col("_row") + F.coalesce("n_manual", F.lit(0)),
+                "source": F.lit(AUTOMATED),
+                "prior_requirement": F.col("requirement"),
+                "manual_requirement": F.lit(0.0),
+            }
+        ).drop("_row", "n_manual")
     )
 
 

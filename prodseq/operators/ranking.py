@@ -31,7 +31,7 @@ TIE_BREAK_REST = [
 
 @dataclass(frozen=True)
 class Rows:
-    """Written rows and the size of their largest date; large ones carry a hash per row."""
+    """Written rows and a bound on the size of their largest date; large ones carry a hash per row."""
 
     df: DataFrame
     largest_date: int
@@ -43,13 +43,20 @@ class Rows:
 
 
 def stored_rows(ws: Workspace, df: DataFrame, label: str) -> Rows:
-    """Write ``df`` and measure it; rows that stand for copies are repeated after the write."""
-    table = ws.write(df.drop(SALT), label)
-    weighted = "copies" in table.columns
+    """Write ``df`` and bound its largest date; rows held as copies are repeated after that.
+
+    The total counted during the write bounds every date. Only when the total is
+    too large for one task are the dates counted one by one.
+    """
+    weighted = "copies" in df.columns
     weight = F.col("copies") if weighted else F.lit(1).cast("long")
-    per_date = table.groupBy(DATE).agg(F.sum(weight).alias("n"), F.max(weight).alias("most"))
-    size = per_date.agg(F.max("n").alias("n"), F.max("most").alias("most")).first()
-    largest, most = size["n"] or 0, size["most"] or 0
+    table, seen = ws.write_measured(
+        df.drop(SALT), label, total=F.sum(weight), most_copies=F.max(weight)
+    )
+    largest, most = seen["total"] or 0, seen["most_copies"] or 0
+    if largest > ws.single_task_rows:
+        per_date = table.groupBy(DATE).agg(F.sum(weight).alias("n"))
+        largest = per_date.agg(F.max("n")).first()[0]
     if largest > ws.single_task_rows:
         table = ws.salted(table)
     if weighted:

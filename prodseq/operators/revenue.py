@@ -20,7 +20,7 @@ def asp_by_sku(dispatch: DataFrame, params: Params) -> DataFrame:
     Thousands commas are removed from the amount only; a quantity with a comma
     is not a number and its line is left out, like a line with quantity 0.
     """
-    amount = number(F.translate("amount", ",", ""))
+    amount = number(F.replace(F.col("amount"), F.lit(","), F.lit("")))
     price = ratio(amount, number(F.col("quantity")))
     return (
         dispatch.filter((F.col("plant") == DISPATCH_PLANT) & F.col("sku").isNotNull())
@@ -47,8 +47,12 @@ def with_revenue(df: DataFrame, params: Params) -> DataFrame:
     cure = F.coalesce("cure_time", F.lit(float(params.default_cure_time))) + HANDLING_MINUTES
     cycles = ratio(F.lit(float(MINUTES_PER_DAY)), F.col("cure_time"))
     return (
-        df.withColumn("asp", F.coalesce("asp", F.lit(float(params.default_asp))))
-        .withColumn("cure_time", cure)
+        df.withColumns(
+            {
+                "asp": F.coalesce("asp", F.lit(float(params.default_asp))),
+                "cure_time": cure,
+            }
+        )
         .withColumn("daily_cure", F.ceil(cycles * float(params.efficiency_factor)).cast("long"))
         .withColumn("rev_pot", F.col("asp") * F.col("daily_cure"))
     )

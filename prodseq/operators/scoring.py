@@ -85,9 +85,13 @@ def with_demand_score(df: DataFrame, params: Params) -> DataFrame:
         (-F.col("top_flag")).alias("top_flag"),
     )
     return (
-        df.withColumn("norm_penetration", ratio(F.col("penetration"), F.col("top_penetration")))
-        .withColumn("norm_requirement", ratio(F.col("requirement"), F.col("top_requirement")))
-        .withColumn("priority", priority)
+        df.withColumns(
+            {
+                "norm_penetration": ratio(F.col("penetration"), F.col("top_penetration")),
+                "norm_requirement": ratio(F.col("requirement"), F.col("top_requirement")),
+                "priority": priority,
+            }
+        )
         .withColumn("priority_score", score)
     )
 
@@ -107,8 +111,7 @@ def with_consolidated_score(df: DataFrame, params: Params) -> DataFrame:
     )
     return (
         df.na.fill(0, [c for c in ZERO_FILLED if c in df.columns])
-        .withColumn("norm_inventory", inventory)
-        .withColumn("price_priority", price)
+        .withColumns({"norm_inventory": inventory, "price_priority": price})
         .withColumn("consolidated", total)
         .drop("top_penetration", "top_requirement", "top_inventory", "top_revenue")
     )

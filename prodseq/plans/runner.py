@@ -17,13 +17,14 @@ from prodseq.plans.params import PARAMETER_SCHEMA, Params, load_params
 from prodseq.plans.pipeline import stage1, stage2, stage3
 from prodseq.plans.workspace import Workspace
 from prodseq.sources.calendar import runnable_dates
-from prodseq.sources.reports import matching_paths, read_manual, read_reports
+from prodseq.sources.reports import Reports, matching_paths, read_manual, read_reports
 from prodseq.sources.sinks import write_report
 
 # Output names and place of the manual list.
 STAGE1_OUTPUT = "combined_data_output"
 STAGE2_OUTPUT = "deployment_analysis_report"
 STAGE3_OUTPUT = "final_hybrid_deployment_report"
+UNUSABLE_OUTPUT = "unusable_rows"
 MANUAL_LIST = "manual_frontend_demand.csv"
 
 
@@ -36,6 +37,7 @@ class Job:
     parameters: str | None = None  # CSV of sheet, Parameter, Default_Value, User_Input
     manual: str | None = None
     fmt: str = "parquet"
+    count_unusable: bool = False  # also write the number of rows left out for missing keys
 
     def params(self, spark: SparkSession) -> Params:
         if self.parameters is None:
@@ -49,6 +51,11 @@ class Job:
             raise ValueError(f"no date from {self.start} to {self.end} has all daily reports")
         return dates
 
+    def check(self, reports: Reports) -> None:
+        if self.count_unusable:
+            counts = sm.unusable_rows(reports.bor, reports.bpr, reports.dispatch)
+            counts.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/{UNUSABLE_OUTPUT}")
+
     def manual_list(self, spark: SparkSession, dates: list[date]) -> DataFrame:
         path = self.manual or f"{self.data}/{MANUAL_LIST}"
         if not matching_paths(spark, path):
@@ -60,6 +67,7 @@ def run_stage1(spark: SparkSession, job: Job) -> None:
     """Demand ranking only."""
     ws = Workspace(spark)
     reports = replace(read_reports(spark, job.data, job.dates(spark)), mould=None)
+    job.check(reports)
     ranked = stage1(ws, reports, job.params(spark))
     report = layouts.to_report(ranked.df, layouts.STAGE1)
     write_report(report, f"{job.out}/{STAGE1_OUTPUT}", "Rank_ConsolidatedPriorityScore", job.fmt)
@@ -71,6 +79,7 @@ def run_stage2(spark: SparkSession, job: Job) -> DataFrame:
     ws = Workspace(spark)
     params = job.params(spark)
     reports = read_reports(spark, job.data, job.dates(spark))
+    job.check(reports)
     gaps = stage2(ws, stage1(ws, reports, params), params)
     report = layouts.to_report(gaps.df, layouts.STAGE2)
     write_report(report, f"{job.out}/{STAGE2_OUTPUT}", "ProxyRank", job.fmt)
@@ -83,6 +92,7 @@ def run_stage3(spark: SparkSession, job: Job) -> DataFrame:
     params = job.params(spark)
     dates = job.dates(spark)
     reports = read_reports(spark, job.data, dates)
+    job.check(reports)
     gaps = stage2(ws, stage1(ws, reports, params), params)
     final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
     report = layouts.to_report(final, layouts.STAGE3)

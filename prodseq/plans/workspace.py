@@ -12,8 +12,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A date with at most this many rows is ranked by one task, which takes about a
@@ -58,6 +59,17 @@ class Workspace:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_measured(
+        self, df: DataFrame, label: str, **measures: Column
+    ) -> tuple[DataFrame, dict[str, Any]]:
+        """As ``write``, with aggregates over the rows taken during the same pass.
+
+        A task that runs twice may count twice, so sums are upper bounds.
+        """
+        seen = Observation()
+        named = [c.alias(n) for n, c in measures.items()]
+        return self.write(df.observe(seen, *named), label), seen.get
+
     @staticmethod
     def salted(scan: DataFrame) -> DataFrame:
         """Add a hash that differs per row and is the same on every read of the table."""

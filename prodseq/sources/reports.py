@@ -131,6 +131,9 @@ CURING = Report(
 )
 DAILY = [SPOR, BOR, BMR, BPR]
 
+# Cells read per row of a sheet with a banner; its header must lie within them.
+SHEET_COLUMNS = 64
+
 
 def typed(raw: DataFrame, report: Report) -> DataFrame:
     """Internal names and types of the used columns; NaN becomes missing."""
@@ -174,9 +177,11 @@ def read_promoted(
     """Read a sheet whose header stands below a banner row.
 
     The header is the row that names the report's columns. Its cell positions,
-    one row per date, are broadcast onto the cells.
+    one row per date, are broadcast onto the cells. A date without such a row is
+    an error.
     """
-    cells = spark.read.option("header", "false").csv(f"{base}/{report.glob(dates)}")
+    width = ", ".join(f"_c{i} string" for i in range(SHEET_COLUMNS))
+    cells = spark.read.schema(width).csv(f"{base}/{report.glob(dates)}", header=False)
     rows = cells.select(
         report.date_in(F.col("_metadata.file_path")).alias("report_date"),
         F.array(*[F.col(c) for c in cells.columns]).alias("cell"),
@@ -191,13 +196,18 @@ def read_promoted(
         .groupBy("report_date")
         .agg(*[F.max(F.array_position("cell", n)).alias(f"_at{i}") for i, n in enumerate(names)])
     )
+    message = F.concat(
+        F.lit(f"no header row in report {report.kind} of "), F.col("report_date").cast("string")
+    )
+
+    def value(i: int) -> Column:
+        place = F.coalesce(F.col(f"_at{i}"), F.raise_error(message).cast("long"))
+        return F.get("cell", place - 1)
+
     named = (
         rows.filter(~is_header)
-        .join(F.broadcast(places), "report_date")
-        .select(
-            "report_date",
-            *[F.get("cell", F.col(f"_at{i}") - 1).alias(n) for i, n in enumerate(names)],
-        )
+        .join(F.broadcast(places), "report_date", "left")
+        .select("report_date", *[value(i).alias(n) for i, n in enumerate(names)])
     )
     return typed(named, report)
 

@@ -31,7 +31,7 @@ def land(root: Path) -> None:
         )
         put(
             root, f"{v}/BMR/Prod_OverAll_BMReport__{spelled.replace('-', '_')}.csv",
-            "Export report,,,,\nSr,Plant Code,BPP,Item Code,Pending CCR Qty\n"
+            "Export report\nSr,Plant Code,BPP,Item Code,Pending CCR Qty\n"
             f"1,1300,150,{C},40\n2,1400,10,{A},9\n3,1300,n/a,{B},n/a\n",
         )
         put(
@@ -100,6 +100,12 @@ def test_codes_keep_leading_zeros_and_header_below_banner(spark, data):
     assert "Item Code" not in rows
 
 
+def test_sheet_without_header_stops_the_job(spark, tmp_path):
+    put(tmp_path, "Vectordata/BMR/Prod_OverAll_BMReport__02_01_2026.csv", "a,b\n1300,X\n")
+    with pytest.raises(Exception, match="no header row in report BMR of 2026-01-02"):
+        rp.read_promoted(spark, str(tmp_path), rp.BMR).collect()
+
+
 def test_other_column_order_stops_the_job(spark, tmp_path):
     put(tmp_path, "curing_cycletime.csv/a.csv", "SKUCode,Cure Time\nX,1\n")
     put(tmp_path, "curing_cycletime.csv/b.csv", "Cure Time,SKUCode\n1,X\n")
@@ -108,11 +114,13 @@ def test_other_column_order_stops_the_job(spark, tmp_path):
 
 
 def test_full_run_writes_reports(spark, data, tmp_path):
-    job = Job(str(data), str(tmp_path), FIRST, THIRD)
+    job = Job(str(data), str(tmp_path), FIRST, THIRD, count_unusable=True)
     summary = {r["report_date"]: r for r in run_stage3(spark, job).collect()}
     assert set(summary) == {FIRST, SECOND}
     assert summary[FIRST]["manual_entries"] == 1 and summary[FIRST]["overstock"] == 1
     assert summary[FIRST]["mould_alerts"] == 1
+    left_out = {r["report"]: r["rows"] for r in spark.read.parquet(f"{tmp_path}/unusable_rows").collect()}
+    assert left_out == {"BOR": 4, "BPR": 0, "DISPATCH": 0}
     report = spark.read.parquet(f"{tmp_path}/final_hybrid_deployment_report")
     first = report.filter(F.col("report_date") == FIRST).orderBy("Final Rank").collect()
     assert [r["SKUCode"] for r in first] == [B, A, G, C]
