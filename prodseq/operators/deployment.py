@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from prodseq.functions import ratio, rim_size, rounded
 from prodseq.operators.ranking import Rows, with_rank
 from prodseq.plans.params import Params
+from prodseq.plans.workspace import SALT
 
 # What a product without demand is given.
 GHOST_MARKET = "RE"
@@ -95,6 +96,8 @@ def ghost_rows(demand: DataFrame, summary: DataFrame, products: DataFrame | None
 
 def with_ghosts(deployed: DataFrame, ghosts: DataFrame) -> DataFrame:
     """Append ghost rows; columns they lack are missing until the fill."""
+    if SALT in deployed.columns:
+        ghosts = ghosts.withColumn(SALT, F.xxhash64("report_date", "sku"))
     return deployed.unionByName(ghosts, allowMissingColumns=True)
 
 

@@ -37,6 +37,11 @@ class Rows:
     largest_date: int
     workspace: Workspace
 
+    @property
+    def is_large(self) -> bool:
+        """Whether some date may be too large for one task."""
+        return self.largest_date > self.workspace.single_task_rows
+
     def using(self, df: DataFrame, more_rows: int = 0) -> Rows:
         """The same rows, or fewer, after narrow steps; ``more_rows`` bounds additions."""
         return replace(self, df=df, largest_date=self.largest_date + more_rows)
@@ -82,7 +87,7 @@ def with_rank(rows: Rows, score: Column, out: str) -> DataFrame:
     keyed = rows.df.withColumn("_score", score + 0.0)  # +0.0 makes -0.0 equal to 0.0
     order = [F.col("_score").desc_nulls_last()]
     known = F.col("_score").isNotNull()
-    if rows.largest_date <= rows.workspace.single_task_rows:
+    if not rows.is_large:
         window = Window.partitionBy(DATE).orderBy(*order)
         ranked = keyed.withColumn(out, F.when(known, F.rank().over(window)))
         return ranked.withColumn(out, F.col(out).cast("long")).drop("_score")
@@ -104,7 +109,7 @@ def with_rank(rows: Rows, score: Column, out: str) -> DataFrame:
 
 def with_row_number(rows: Rows, order: list[Column], out: str) -> DataFrame:
     """1, 2, 3 … per date in the given order."""
-    if rows.largest_date <= rows.workspace.single_task_rows:
+    if not rows.is_large:
         window = Window.partitionBy(DATE).orderBy(*order)
         return rows.df.withColumn(out, F.row_number().over(window).cast("long"))
     return _placed(rows.workspace, rows.df, order).withColumnRenamed("_place", out)

@@ -55,6 +55,7 @@ class Ranking:
     rows: Rows
     products: DataFrame  # date and product pairs in demand
     moulds: DataFrame | None  # mould summary, if the reports had moulds
+    mould_rows: int  # at least the number of its rows
 
     @property
     def df(self) -> DataFrame:
@@ -67,14 +68,16 @@ def stage1(ws: Workspace, reports: Reports, params: Params) -> Ranking:
     If the reports include moulds, their summary is joined to the product table,
     not to the demand rows.
     """
-    moulds = None
+    moulds, mould_rows = None, 0
     if reports.mould is not None:
-        moulds = ws.write(dp.mould_summary(reports.mould, params), "moulds")
+        summary = dp.mould_summary(reports.mould, params)
+        moulds, seen = ws.write_measured(summary, "moulds", n=F.count(F.lit(1)))
+        mould_rows = seen["n"]
     attributes = product_attributes(ws, reports, params, moulds)
     rows = stored_rows(ws, scored_demand(reports, attributes, params), "demand")
     score = rounded(F.col("consolidated"), params.rank_scale)
     ranked = rows.using(with_rank(rows, score, "demand_rank"))
-    return Ranking(ranked, attributes.select("report_date", "sku"), moulds)
+    return Ranking(ranked, attributes.select("report_date", "sku"), moulds, mould_rows)
 
 
 def deployed_rows(ranking: Ranking) -> DataFrame:
@@ -86,9 +89,16 @@ def deployed_rows(ranking: Ranking) -> DataFrame:
 
 
 def stage2(ws: Workspace, ranking: Ranking, params: Params) -> Rows:
-    """Gap analysis of the demand ranking against machines."""
+    """Gap analysis of the demand ranking against machines.
+
+    Large dates are written again by the range-partitioned rank itself, so only
+    small ones are written here.
+    """
     scored = dp.with_proxy_score(deployed_rows(ranking), params)
-    rows = stored_rows(ws, scored, "deployment")
+    if ranking.rows.is_large:
+        rows = ranking.rows.using(scored, more_rows=ranking.mould_rows)
+    else:
+        rows = stored_rows(ws, scored, "deployment")
     flagged = dp.with_gap_flags(dp.with_proxy_rank(rows, params), params)
     return rows.using(dp.filled(flagged))
 
