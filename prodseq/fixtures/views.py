@@ -41,6 +41,9 @@ def sku_code() -> Column:
 def base_rows(spark: SparkSession, sf_dir: str, yearly: bool) -> DataFrame:
     """Lines with product, segment and report date."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    tasks = spark.sparkContext.defaultParallelism
+    if len(line.inputFiles()) < tasks:
+        line = line.repartition(tasks)  # one small file would keep every later step in one task
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_mktsegment")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_size", "p_brand")

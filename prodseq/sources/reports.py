@@ -7,9 +7,11 @@ the path. Tables that are already landed as Parquet need only ``typed``.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,9 +133,6 @@ CURING = Report(
 )
 DAILY = [SPOR, BOR, BMR, BPR]
 
-# Cells read per row of a sheet with a banner; its header must lie within them.
-SHEET_COLUMNS = 64
-
 
 def typed(raw: DataFrame, report: Report) -> DataFrame:
     """Internal names and types of the used columns; NaN becomes missing."""
@@ -176,40 +175,40 @@ def read_promoted(
 ) -> DataFrame:
     """Read a sheet whose header stands below a banner row.
 
-    The header is the row that names the report's columns. Its cell positions,
-    one row per date, are broadcast onto the cells. A date without such a row is
-    an error.
+    The header is the line that names the report's columns. It is looked up
+    first, one line per date, so that the scan itself reads only the used cells.
+    Dates whose headers differ are read apart. A date without a header is an error.
     """
-    width = ", ".join(f"_c{i} string" for i in range(SHEET_COLUMNS))
-    cells = spark.read.schema(width).csv(f"{base}/{report.glob(dates)}", header=False)
-    rows = cells.select(
-        report.date_in(F.col("_metadata.file_path")).alias("report_date"),
-        F.array(*[F.col(c) for c in cells.columns]).alias("cell"),
-    )
     names = list(report.columns)
-    is_header = F.forall(
-        F.array(*[F.lit(n) for n in names]), lambda n: F.array_contains("cell", n)
-    )
-    is_header = F.coalesce(is_header, F.lit(False))
-    places = (
-        rows.filter(is_header)
-        .groupBy("report_date")
-        .agg(*[F.max(F.array_position("cell", n)).alias(f"_at{i}") for i, n in enumerate(names)])
-    )
-    message = F.concat(
-        F.lit(f"no header row in report {report.kind} of "), F.col("report_date").cast("string")
-    )
-
-    def value(i: int) -> Column:
-        place = F.coalesce(F.col(f"_at{i}"), F.raise_error(message).cast("long"))
-        return F.get("cell", place - 1)
-
-    named = (
-        rows.filter(~is_header)
-        .join(F.broadcast(places), "report_date", "left")
-        .select("report_date", *[value(i).alias(n) for i, n in enumerate(names)])
+    shapes: dict[tuple[int, ...], list[date]] = {}
+    for day, line in _header_lines(spark, f"{base}/{report.glob(dates)}", report):
+        cells = next(csv.reader([line or ""]), [])
+        if not set(names) <= set(cells):
+            raise ValueError(f"no header row in report {report.kind} of {day}")
+        shapes.setdefault(tuple(cells.index(n) for n in names), []).append(day)
+
+    def scan(places: tuple[int, ...], days: list[date]) -> DataFrame:
+        width = ", ".join(f"_c{i} string" for i in range(max(places) + 1))
+        cells = spark.read.schema(width).csv(f"{base}/{report.glob(days)}", header=False)
+        named = cells.select(
+            report.date_in(F.col("_metadata.file_path")).alias("report_date"),
+            *[F.col(f"_c{at}").alias(n) for n, at in zip(names, places)],
+        )
+        is_header = reduce(Column.__and__, [F.col(n).eqNullSafe(F.lit(n)) for n in names])
+        return named.filter(~is_header)
+
+    sheets = reduce(DataFrame.unionByName, [scan(p, d) for p, d in sorted(shapes.items())])
+    return typed(sheets, report)
+
+
+def _header_lines(spark: SparkSession, path: str, report: Report) -> list[tuple[date, str | None]]:
+    """Date and header line of each sheet; one row per date reaches the driver."""
+    names_all = reduce(Column.__and__, [F.col("value").contains(n) for n in report.columns])
+    lines = spark.read.text(path).select(
+        report.date_in(F.col("_metadata.file_path")).alias("report_date"), "value"
     )
-    return typed(named, report)
+    found = lines.groupBy("report_date").agg(F.max(F.when(names_all, F.col("value"))))
+    return [(r[0], r[1]) for r in found.collect()]
 
 
 def read_reports(spark: SparkSession, base: str, dates: list[date]) -> Reports:

@@ -102,8 +102,19 @@ def test_codes_keep_leading_zeros_and_header_below_banner(spark, data):
 
 def test_sheet_without_header_stops_the_job(spark, tmp_path):
     put(tmp_path, "Vectordata/BMR/Prod_OverAll_BMReport__02_01_2026.csv", "a,b\n1300,X\n")
-    with pytest.raises(Exception, match="no header row in report BMR of 2026-01-02"):
-        rp.read_promoted(spark, str(tmp_path), rp.BMR).collect()
+    with pytest.raises(ValueError, match="no header row in report BMR of 2026-01-02"):
+        rp.read_promoted(spark, str(tmp_path), rp.BMR)
+
+
+def test_sheets_with_different_headers(spark, tmp_path):
+    for day, text in [
+        ("02", f"banner\nItem Code,BPP,Plant Code,Pending CCR Qty\n{A},1,1300,2\n"),
+        ("03", f"banner,,\nx,Plant Code,\"Item Code\",Pending CCR Qty,y,BPP\n0,1300,{B},3,0,4\n"),
+    ]:
+        put(tmp_path, f"Vectordata/BMR/Prod_OverAll_BMReport__{day}_01_2026.csv", text)
+    rows = rp.read_promoted(spark, str(tmp_path), rp.BMR).filter("plant = '1300'").collect()
+    found = {r["report_date"]: (r["sku"], r["requirement"], r["penetration"]) for r in rows}
+    assert found == {FIRST: (A, 2.0, 1.0), SECOND: (B, 3.0, 4.0)}
 
 
 def test_other_column_order_stops_the_job(spark, tmp_path):
