@@ -17,6 +17,12 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.quality import verdicts
+
+    return verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prodseq.llm.pieces import encode_and_decode
 
@@ -29,12 +35,23 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.secrets import secret_digest
+
+    return secret_digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
+        "op6_secrets": op6_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from prodseq.llm.quality import VERDICTS_SQL
+    from prodseq.llm.secrets import DIGEST_SQL
+
+    return {"op1_quality": VERDICTS_SQL, "op6_secrets": DIGEST_SQL}
