@@ -41,12 +41,26 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), window=2048, end_id=1)
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
         "op6_secrets": op6_secrets,
+        "op8_packing": op8_packing,
+        "op9_minhash": op9_minhash,
     }
 
 
