@@ -41,6 +41,13 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.language import learn, predict
+
+    docs = _table(spark, sf_dir, "documents")
+    return predict(docs, learn(docs))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prodseq.llm.packing import pack
 
@@ -59,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
         "op6_secrets": op6_secrets,
+        "op7_language": op7_language,
         "op8_packing": op8_packing,
         "op9_minhash": op9_minhash,
     }
