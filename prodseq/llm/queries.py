@@ -35,6 +35,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.toxicity import learn, score
+
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prodseq.llm.secrets import secret_digest
 
@@ -65,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
+        "op5_toxicity": op5_toxicity,
         "op6_secrets": op6_secrets,
         "op7_language": op7_language,
         "op8_packing": op8_packing,
