@@ -23,6 +23,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.embeddings import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prodseq.llm.pieces import encode_and_decode
 
@@ -70,6 +76,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_embeddings": op2_embeddings,
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
         "op5_toxicity": op5_toxicity,
