@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodseq.llm.batches import over_texts, sliced, texts_of
@@ -15,40 +15,56 @@ from prodseq.llm.components import components
 from prodseq.llm.scratch import Scratch
 from prodseq.llm.shingles import shingle_sets
 
-#: Signature coordinates, and coordinates that two documents must share to be compared.
+#: Signature coordinates that are posted, and how many two documents must share to be compared.
 #: At a similarity of 0.8 a pair shares fewer than 24 of 48 with a chance below 0.000002.
 COORDINATES, MATCHES = 48, 24
+#: Coordinates of the wide sketch, held as four bits each, and those that must agree before
+#: full sets are compared: a similarity of 0.8 misses this with a chance below 0.00001.
+WIDE, WIDE_MATCHES = 512, 376
+
+#: Rounds in which every node meets one pivot of each of its lists, before all pairs left are matched.
+PROBES = 2
 
 _seeds = np.random.default_rng(20240229)
-_XOR = _seeds.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
-_TIMES = _seeds.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _seeds.integers(0, 1 << 32, WIDE, dtype=np.uint32)
+_TIMES = _seeds.integers(0, 1 << 31, WIDE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The smallest value of each coordinate's hash over a set, as 32-bit numbers."""
-    least = np.full(COORDINATES, (1 << 64) - 1, np.uint64)
-    for start in range(0, len(hashes), 1 << 14):
-        part = hashes[start : start + (1 << 14)]
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(WIDE, (1 << 32) - 1, np.uint32)
+    for start in range(0, len(short), 1 << 12):
+        part = short[start : start + (1 << 12)]
         np.minimum(least, ((part[None, :] ^ _XOR[:, None]) * _TIMES[:, None]).min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return least
 
 
 def _sign(docs: DataFrame, width: int) -> DataFrame:
-    """(row, id, n_shingles, set_key, coordinates) with one row per document row."""
+    """(row, id, n_shingles, set_key, coordinates, sketch, wide) with one row per document row."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(texts_of(batch), width)
-        signed = [signature(s).view("<i4") if len(s) else np.zeros(0, "<i4") for s in sets]
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in signed])]).astype(np.int32)
-        flat = np.concatenate([*signed, np.zeros(0, "<i4")])
+        counts = np.array([len(s) > 0 for s in sets])
+        signed = np.array([signature(s) for s in sets if len(s)], np.uint32).reshape(-1, WIDE)
+        # the lowest bits of a product are poor: the bits that sketches hold come from above
+        mixed = (signed >> np.uint32(12)).astype(np.uint8)
+        narrow = mixed[:, :COORDINATES].copy().view("<i8")
+        wide = (mixed[:, 0::2] & 15 | (mixed[:, 1::2] & 15) << 4).astype(np.uint8).view("<i8")
+
+        def lists(values: np.ndarray) -> pa.Array:
+            ends = np.concatenate([[0], np.cumsum(counts * values.shape[1])]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(values).ravel()))
+
         return {
             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "set_key": pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-            "coordinates": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+            "coordinates": lists(signed[:, :COORDINATES].view("<i4")),
+            "sketch": lists(narrow),
+            "wide": lists(wide),
         }
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    return over_texts(numbered, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>")
+    return over_texts(docs, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>, sketch array<long>, wide array<long>")
 
 
 def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int) -> DataFrame:
@@ -67,31 +83,44 @@ def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int
     ranked = posted.join(shared, "key").select(
         "node", "key", F.row_number().over(by_node.orderBy("n", "key")).alias("place"), F.count("*").over(by_node).alias("held")
     )
-    return scratch.write(ranked.filter(F.col("place") <= F.col("held") - (matches - 1)).select("key", "node"), "prefixes")
+    kept = ranked.filter(F.col("place") <= F.col("held") - (matches - 1)).select("key", "node")
+    return scratch.write(kept.join(nodes.select("node", "sketch"), "node").select("key", "node", "sketch"), "prefixes")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
-    """(a, b): pairs that share enough coordinates and, on their full sets, are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("coordinates").alias("coordinates_a"), F.col("hashes").alias("hashes_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("coordinates").alias("coordinates_b"), F.col("hashes").alias("hashes_b"))
+def _collisions(a: Column, b: Column, places: int, bits: int) -> Column:
+    """Places of two sketches that agree; a sketch holds places of 4 or 8 bits in numbers of 64.
+
+    The bits of each place of the exclusive or are folded into its lowest one, which stays
+    unset where the sketches agree.
+    """
+    total = F.lit(places)
+    lowest = sum(1 << k for k in range(0, 64, bits))
+    for k in range(places * bits // 64):
+        x, shift = a[k].bitwiseXOR(b[k]), bits // 2
+        while shift:
+            mask = lowest * ((1 << shift) - 1)
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
+            shift //= 2
+        total = total - F.bit_count(x)
+    return total
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that are similar enough on their full sets."""
+    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in sliced([whole], "hashes_a"):
-                n = batch.num_rows
-                same = [
-                    batch.column(c).flatten().to_numpy().reshape(n, -1) for c in ("coordinates_a", "coordinates_b")
-                ]
-                enough = np.flatnonzero((same[0] == same[1]).sum(axis=1) >= matches)
-                linked = []
-                for i in enough.tolist():
-                    x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("hashes_a", "hashes_b"))
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        linked.append(i)
-                yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
-
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "coordinates_a", "coordinates_b", "hashes_a", "hashes_b")
+        for batch in sliced(batches, "hashes_a"):
+            linked = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("hashes_a", "hashes_b"))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    linked.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
+
+    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "hashes_a", "hashes_b")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -100,10 +129,12 @@ def near_duplicates(
 ) -> DataFrame:
     """Shingle set size, component and whether it is the component's first, per document row.
 
-    Documents with equal sets are one node of the graph, so copies are never paired. In
-    each posting list all nodes are first compared with its smallest one. Nodes of one list
-    that are still in different components are then compared with each other, so lists
-    that hold one large group cost as many comparisons as nodes, and no link is lost.
+    Documents with equal sets are one node of the graph, so copies are never paired. First
+    the nodes of each posting list are matched with one pivot of it, and each node's best
+    match is verified, in two rounds. Then, in lists that still hold several components,
+    every node outside the list's main component is matched with all nodes of other
+    components. So a list that holds one large group costs as many comparisons as it has
+    nodes, and no pair that could join two components is left out.
 
     A missing or empty text has an empty set and links with nothing; its component is its
     own id. A row without id takes the component of its group (missing if the group has no
@@ -112,56 +143,108 @@ def near_duplicates(
     """
     scratch = Scratch(docs.sparkSession, "minhash")
     plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    signed = scratch.write(_sign(plain.withColumn("row", F.monotonically_increasing_id()), width), "signatures")
+    rooted = _rooted(plain, signed, scratch, width, percent, coordinates, matches)
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = rooted.join(least, "root").select("set_key", "component_id")
+    found = signed.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
+    component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    return found.select(
+        F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept")
+    )
+
+
+def keep_one(
+    docs: DataFrame, width: int = 5, percent: int = 80, coordinates: int = COORDINATES, matches: int = MATCHES, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The input rows without near copies: of each component one row, of the smallest id.
+
+    Rows that repeat an id and text are copies too, so one of them stays; rows without id
+    stay only if their component has no id. Texts without words all stay.
+    """
+    scratch = Scratch(docs.sparkSession, "minhash")
+    numbered = scratch.write(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
+    plain = numbered.select("row", F.col("doc")[id_column].alias("id"), F.col("doc")[text_column].alias("text"))
     signed = scratch.write(_sign(plain, width), "signatures")
+    rooted = _rooted(plain.drop("row"), signed, scratch, width, percent, coordinates, matches).select("set_key", "root")
+    placed = signed.select("row", "id", "set_key").join(rooted, "set_key", "left")
+    group = F.struct(F.col("set_key").isNull().alias("empty"), F.coalesce("root", "row").alias("root"))
+    kept = placed.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row")).alias("first")).select("first.row")
+    return numbered.join(kept, "row", "left_semi").select("doc.*")
+
+
+def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, percent: int, coordinates: int, matches: int) -> DataFrame:
+    """(set_key, least_id, root): the component of each distinct set, and its smallest id."""
     nodes = scratch.write(
         signed.filter("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), F.min_by("id", "row").alias("id"), F.first("coordinates").alias("coordinates")),
+        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), F.min_by("id", "row").alias("id"), *(F.first(c).alias(c) for c in ("coordinates", "sketch", "wide"))),
         "nodes",
     )
     prefixes = _prefixes(nodes, scratch, coordinates, matches)
-    leaders = prefixes.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
-    first = scratch.write(prefixes.join(leaders, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "first-pairs")
-    wanted = first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node"))).distinct().join(nodes, "node")
-    sets = scratch.write(_sets(plain, wanted, width), "sets")
-    links = scratch.write(_verified(first, sets, matches, percent), "first-links")
-    roots = scratch.write(components(links, scratch), "roots")
-
-    labelled = prefixes.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    open_lists = scratch.write(labelled.join(mixed_keys, "key"), "open-lists")
-    left = open_lists.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = open_lists.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    second = left.join(right, "key").filter("root_a < root_b").select("a", "b").distinct()
-    second = second.join(first, (second.a == first.a) & (second.b == first.b), "left_anti")
-    second = second.join(first, (second.b == first.a) & (second.a == first.b), "left_anti")
-    more = scratch.write(_verified(second, sets, matches, percent), "second-links")
+    roots = None
+    for turn in range(PROBES):
+        probes = scratch.write(_probes(prefixes, roots, turn, coordinates, matches), "probes")
+        links = _verified(probes, scratch.write(_sets(plain, probes, nodes, width), "sets"), percent)
+        if roots is not None:
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = scratch.write(components(links, scratch), "roots")
+
+    lists = prefixes.groupBy("node").agg(F.collect_list("key").alias("keys"))  # of a node's coordinates only
+    mixed = _mixed(prefixes, roots).select("key", "node", "root", "inside").join(lists, "node")
+    mixed = scratch.write(mixed.join(nodes.select("node", "wide"), "node"), "mixed-lists")
+    left = mixed.filter("NOT inside").select("key", *(F.col(c).alias(f"{c}_a") for c in ("root", "wide", "keys")), F.col("node").alias("a"))
+    right = mixed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("root", "wide", "keys")), F.col("node").alias("b"), "inside")
+    open_pairs = (F.col("root_a") != F.col("root_b")) & (F.col("inside") | (F.col("a") < F.col("b")))
+    alike = _collisions(F.col("wide_a"), F.col("wide_b"), WIDE, 4) >= WIDE_MATCHES
+    # a pair with several common lists is matched in each, but comes out of the first only
+    once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    rest = scratch.write(left.join(right, "key").filter(open_pairs & alike & once).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "rest")
+    more = _verified(rest, scratch.write(_sets(plain, rest, nodes, width), "sets"), percent)
     known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     grouped = components(known.unionByName(more), scratch)
 
-    rooted = nodes.join(grouped, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("set_key", "component_id")
-    found = signed.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return found.select(
-        F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept")
-    )
+    return nodes.join(grouped, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
+
+
+def _mixed(prefixes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Posting lists with several components; ``inside`` marks nodes of a list's main one."""
+    labelled = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    shares = labelled.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
+    return labelled.join(shares.filter("roots > 1"), "key").withColumn("inside", F.col("root") == F.col("main"))
+
+
+def _probes(prefixes: DataFrame, roots: DataFrame | None, turn: int, coordinates: int, matches: int) -> DataFrame:
+    """(a, b): for each node the most alike of the pivots of its lists, if alike enough.
+
+    A list's pivot is chosen by a hash of node and list, so a node in many lists of one
+    group meets many of the group's nodes. Once components are known, pivots come from
+    each list's main one and only nodes outside it are matched.
+    """
+    rows = prefixes if roots is None else _mixed(prefixes, roots)
+    asked = rows if roots is None else rows.filter("NOT inside")
+    asking = rows if roots is None else rows.filter("inside")
+    chance = F.xxhash64("node", "key", F.lit(turn))
+    pivots = asking.groupBy("key").agg(F.min_by(F.struct("node", "sketch"), chance).alias("pivot"))
+    met = asked.select("key", "node", "sketch").join(pivots, "key").filter(F.col("node") != F.col("pivot.node"))
+    alike = _collisions(F.col("sketch"), F.col("pivot.sketch"), coordinates, 8)
+    scored = met.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), alike.alias("alike")).filter(F.col("alike") >= matches)
+    return scored.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a")).select("a", "b")
 
 
-def _sets(plain: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, coordinates, hashes): full shingle sets of the wanted nodes, from their texts.
+def _sets(plain: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, hashes): full shingle sets of the nodes of pairs, made anew from their texts.
 
     Texts are found by id; where an id has several, the set's key tells the right one.
     """
-    asked = wanted.select("node", F.col("id").alias("asked_id"), "set_key", "coordinates")
-    joined = plain.join(asked, F.col("id").eqNullSafe(F.col("asked_id"))).select("node", "set_key", "coordinates", "text")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = nodes.join(wanted, "node").select("node", F.col("id").alias("asked_id"), "set_key")
+    joined = plain.join(asked, F.col("id").eqNullSafe(F.col("asked_id"))).select("node", "set_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             sets = [s.tobytes() for s in shingle_sets(texts_of(batch), width)]
             right = [i for i, (s, key) in enumerate(zip(sets, batch.column("set_key").to_pylist(), strict=True)) if hashlib.md5(s).digest() == key]
-            picked = batch.select(["node", "coordinates"]).take(pa.array(right, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array([sets[i] for i in right], pa.binary())], names=["node", "coordinates", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(right, pa.int64())), pa.array([sets[i] for i in right], pa.binary())], names=["node", "hashes"])
 
-    return joined.mapInArrow(run, "node long, coordinates array<int>, hashes binary").dropDuplicates(["node"])
+    return joined.mapInArrow(run, "node long, hashes binary")
