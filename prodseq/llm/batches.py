@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes worked on at once in a task; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -39,7 +40,7 @@ def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.Reco
     """
     kept = columns[:-1]
     source = frame.select(*(F.col(c) for c in columns))
-    types = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept)
+    made_fields = StructType.fromDDL(schema).fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in sliced(batches, columns[-1]):
@@ -49,4 +50,4 @@ def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.Reco
                 names=[*kept, *made],
             )
 
-    return source.mapInArrow(run, f"{types}, {schema}")
+    return source.mapInArrow(run, StructType([*(source.schema[c] for c in kept), *made_fields]))

@@ -224,3 +224,22 @@ def predict(docs: DataFrame, network: Network | None, id_column: str = "doc_id",
 
     made = over_texts(docs.select(id_column, text_column), [id_column, text_column], run, "lang_pred string, score double")
     return made.select(id_column, held_out(id_column).alias("held_out"), "lang_pred", "score")
+
+
+def keep_known_language(docs: DataFrame, least_score: float = 0.4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The input rows whose language is told with a chance of ``least_score`` or more.
+
+    The network is learned from the rows given. Texts that are missing or have no letter go.
+    If nothing can be learned (no labelled row), texts with a letter stay.
+    """
+    network = learn(docs, id_column, text_column)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        texts = texts_of(batch)
+        names, scores = label_texts(network, texts)
+        if network is None:
+            return {"known": pa.array([_has_letter(t) for t in texts], pa.bool_())}
+        return {"known": pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores.tolist(), strict=True)], pa.bool_())}
+
+    return over_texts(rows, ["row", "text"], run, "known boolean").filter("known").select("row.*")

@@ -73,6 +73,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.pii import find_personal_data
+
+    return find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language": op7_language,
         "op8_packing": op8_packing,
         "op9_minhash": op9_minhash,
+        "op10_personal_data": op10_personal_data,
     }
 
 
