@@ -26,27 +26,27 @@ _SKU = (
 _VIEWS = {
     "base": f"""
 SELECT {{day}} AS report_date, {_SKU} AS sku,
-  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '1300_OE10' WHEN 'MACHINERY' THEN '1300_ST10'
-    WHEN 'HOUSEHOLD' THEN '1300_FG10' WHEN 'BUILDING' THEN '1400_FG10' END AS loc,
-  p_partkey % 5 <> 4 AS in_demand, p_partkey, p_brand, c_mktsegment, l_suppkey, l_linenumber,
+  CASE WHEN p_partkey % 5 = 4 AND c_mktsegment <> 'FURNITURE' THEN '1400_FG10'
+    ELSE CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '1300_OE10' WHEN 'MACHINERY' THEN '1300_ST10'
+    WHEN 'HOUSEHOLD' THEN '1300_FG10' WHEN 'BUILDING' THEN '1400_FG10' END END AS loc, p_partkey, p_brand, c_mktsegment, l_suppkey, l_linenumber,
   l_quantity, l_extendedprice, l_returnflag, l_linestatus
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey""",
     "bor": """
-SELECT report_date, sku, 'Product ' || sku AS description, loc, count(*) * 25.0::DOUBLE AS norm,
+SELECT report_date, sku, 'Tyre 15" wide, ' || sku AS description, loc, count(*) * 25.0::DOUBLE AS norm,
   sum(l_quantity) AS virtual_norm,
   2 * sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END)
     - sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS stock
-FROM base WHERE in_demand AND c_mktsegment <> 'FURNITURE' GROUP BY report_date, sku, loc""",
+FROM base WHERE c_mktsegment <> 'FURNITURE' GROUP BY report_date, sku, loc""",
     "bmr": """
-SELECT report_date, sku, CASE WHEN p_partkey % 11 = 0 THEN '1400' ELSE '1300' END AS plant,
+SELECT report_date, sku, CASE WHEN p_partkey % 11 = 0 OR p_partkey % 5 = 4 THEN '1400' ELSE '1300' END AS plant,
   sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0 END) AS requirement,
   100 * sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END)
     / nullif(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END), 0) AS penetration
-FROM base WHERE in_demand AND c_mktsegment = 'FURNITURE' GROUP BY ALL""",
+FROM base WHERE c_mktsegment = 'FURNITURE' GROUP BY ALL""",
     "places": """
 SELECT DISTINCT report_date, sku, loc, p_partkey, p_brand
-FROM base WHERE in_demand AND loc IS NOT NULL""",
+FROM base WHERE loc IS NOT NULL""",
     "bpr": """
 SELECT DISTINCT report_date, sku, 'L' || CAST(l_suppkey % 12 AS VARCHAR) AS loc,
   ['JIT','Depot','depot','Depot Mobility','Feeder','PWH','Other'][l_suppkey % 7 + 1] AS location_type,
@@ -59,21 +59,23 @@ FROM places WHERE p_partkey % 7 <> 0
 UNION ALL
 SELECT report_date, sku, loc, 'PWH', 'Black', 'T' FROM places WHERE p_partkey % 50 = 1""",
     "dispatch": """
-SELECT 1300 + l_suppkey % 2 AS plant, sku, format('{{:,.2f}}', l_extendedprice) AS amount,
-  CASE WHEN l_linenumber = 7 THEN '0' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity
-FROM base WHERE p_partkey % 13 <> 0""",
+SELECT CASE WHEN p_partkey % 13 <> 0 THEN 1300 + l_suppkey % 2 WHEN l_suppkey % 2 = 0 THEN 1300.7 ELSE 99999999999 END AS plant,
+  sku, format('{{:,.2f}}', l_extendedprice) AS amount,
+  CASE l_linenumber WHEN 7 THEN '0' WHEN 6 THEN '1,' || lpad(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), 3, '0')
+    ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity
+FROM base""",
     "curing": f"""
-SELECT {_SKU} AS sku, 10.0 + p_partkey % 20 AS cure_time FROM part WHERE p_partkey % 10 <> 0
+SELECT {_SKU} AS sku, CASE WHEN p_partkey % 10 <> 0 THEN 10.0 + p_partkey % 20 END AS cure_time FROM part
 UNION ALL
-SELECT {_SKU}, 13.0 + p_partkey % 20 FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 4 = 0""",
+SELECT {_SKU}, CASE WHEN p_partkey % 10 <> 0 THEN 13.0 + p_partkey % 20 END FROM part WHERE p_partkey % 4 = 0""",
     "mould": """
 SELECT report_date, sku, 'WC' || CAST(l_suppkey AS VARCHAR) AS machine, l_quantity AS mould_life,
   CASE WHEN p_partkey % 101 = 0 THEN 0.0 ELSE 50.0 END AS target_life
-FROM base WHERE l_linenumber = 1 AND p_partkey % 3 <> 0""",
+FROM base WHERE p_partkey % 3 <> 0""",
     "manual": f"""
 SELECT {_SINGLE} AS report_date, {_SKU} AS sku, 'Manual ' || p_name AS description,
   ['OE','ST','EXP','RE'][p_partkey % 4 + 1] AS market, CAST(p_size * 10 AS DOUBLE) AS quantity,
-  CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS highest_priority, p_partkey AS entry_no
+  CASE WHEN p_partkey % 111 = 3 THEN 9999999999 WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS highest_priority, p_partkey AS entry_no
 FROM part WHERE p_partkey % 37 = 3""",
     "flagged": """
 SELECT report_date, sku, colour,
@@ -120,7 +122,7 @@ FROM dispatch WHERE plant = 1300 GROUP BY sku""",
 SELECT *, asp * daily_cure AS rev_pot FROM (
   SELECT *, CAST(ceil(1440.0::DOUBLE / cure_time * 0.9::DOUBLE) AS BIGINT) AS daily_cure FROM (
     SELECT d.*, coalesce(i.inventory, 0) AS inventory, coalesce(a.asp, 3000.0::DOUBLE) AS asp,
-      coalesce(c.cure_time, 15.0::DOUBLE) + 2.5::DOUBLE AS cure_time, coalesce(d.raw_score, 0) AS priority_score
+      coalesce(c.cure_time, 15.0::DOUBLE) + 2.5::DOUBLE AS cure_time, coalesce(d.raw_score, 0) AS demand_score
     FROM dscore d LEFT JOIN inv i USING (report_date, sku) LEFT JOIN asp a USING (sku)
     LEFT JOIN cure c USING (sku)))""",
     "relative": """
@@ -129,7 +131,7 @@ SELECT p.*, coalesce(p.inventory / nullif(m.i, 0), 0) AS norm_inventory,
 FROM priced p JOIN (SELECT report_date, max(inventory) AS i, max(rev_pot) AS v FROM priced
   GROUP BY report_date) m USING (report_date)""",
     "scored": """
-SELECT *, priority_score * 0.4::DOUBLE + norm_inventory * 0.3::DOUBLE + price_priority * 0.3::DOUBLE AS consolidated
+SELECT *, demand_score * 0.4::DOUBLE + norm_inventory * 0.3::DOUBLE + price_priority * 0.3::DOUBLE AS consolidated
 FROM relative""",
     "stage1": """
 SELECT report_date, sku, description, size, market, coalesce(norm, 0) AS norm,
@@ -138,7 +140,7 @@ SELECT report_date, sku, description, size, market, coalesce(norm, 0) AS norm,
   coalesce(penetration, 0) AS penetration, coalesce(norm_penetration, 0) AS norm_penetration,
   coalesce(norm_requirement, 0) AS norm_requirement, top_sku, top_flag,
   coalesce(market_weight, 0) AS market_weight, inventory, norm_inventory, asp, cure_time,
-  daily_cure, rev_pot, price_priority, priority_score, consolidated,
+  daily_cure, rev_pot, price_priority, demand_score, consolidated,
   rank() OVER (PARTITION BY report_date ORDER BY round(consolidated, 9) DESC) AS demand_rank
 FROM scored""",
     "moulds": """
@@ -165,7 +167,7 @@ SELECT * REPLACE (coalesce(norm, 0) AS norm, coalesce(virtual_norm, 0) AS virtua
   coalesce(adjusted_target, 0) AS adjusted_target, coalesce(stock, 0) AS stock,
   coalesce(norm_penetration, 0) AS norm_penetration, coalesce(norm_requirement, 0) AS norm_requirement,
   coalesce(inventory, 0) AS inventory, coalesce(norm_inventory, 0) AS norm_inventory,
-  coalesce(priority_score, 0) AS priority_score, coalesce(asp, 0) AS asp,
+  coalesce(demand_score, 0) AS demand_score, coalesce(asp, 0) AS asp,
   coalesce(daily_cure, 0) AS daily_cure, coalesce(rev_pot, 0) AS rev_pot,
   coalesce(price_priority, 0) AS price_priority, coalesce(market_weight, 0) AS market_weight,
   coalesce(top_flag, 0) AS top_flag),
@@ -211,7 +213,7 @@ SELECT * REPLACE (coalesce(description, '') AS description, coalesce(top_sku, ''
   coalesce(stock, 0) AS stock, coalesce(penetration, 0) AS penetration,
   coalesce(norm_penetration, 0) AS norm_penetration, coalesce(norm_requirement, 0) AS norm_requirement,
   coalesce(inventory, 0) AS inventory, coalesce(norm_inventory, 0) AS norm_inventory,
-  coalesce(priority_score, 0) AS priority_score, coalesce(proxy, 0) AS proxy,
+  coalesce(demand_score, 0) AS demand_score, coalesce(proxy, 0) AS proxy,
   coalesce(asp, 0) AS asp, coalesce(daily_cure, 0) AS daily_cure, coalesce(rev_pot, 0) AS rev_pot,
   coalesce(price_priority, 0) AS price_priority, coalesce(market_weight, 0) AS market_weight,
   coalesce(top_flag, 0) AS top_flag)
@@ -233,7 +235,7 @@ SELECT *, 'Automated' AS source, row_number() OVER (PARTITION BY report_date
 }
 
 # Columns that are not rounded doubles.
-_TEXT = {
+_TEXT = {"machine", 
     "sku", "description", "market", "top_sku", "source", "loc", "plant", "location_type", "colour",
 }
 _WHOLE = {
@@ -282,6 +284,46 @@ def _with_views(query: str, yearly: bool = False) -> str:
     return "WITH " + ",\n".join(views) + "\n" + query if views else query
 
 
+# Other values of the parameters, each different from all defaults, and where the default stands.
+OTHER_PARAMETERS = {
+    "MARKET_WEIGHTS_OE": (7, "WHEN 'OE' THEN 4.0"),
+    "MARKET_WEIGHTS_ST": (5, "WHEN 'ST' THEN 3.0"),
+    "MARKET_WEIGHTS_EXP": (6, "WHEN 'EXP' THEN 2.0"),
+    "MARKET_WEIGHTS_RE": (8, "WHEN 'RE' THEN 1.0"),
+    "LOCATION_WEIGHTS_JIT": (9, "WHEN 'JIT' THEN 5.0"),
+    "LOCATION_WEIGHTS_Depot": (11, "WHEN 'Depot' THEN 4.0"),
+    "LOCATION_WEIGHTS_Depot_Mobility": (12, "WHEN 'Depot Mobility' THEN 3.0"),
+    "LOCATION_WEIGHTS_Feeder": (13, "WHEN 'Feeder' THEN 2.0"),
+    "LOCATION_WEIGHTS_PWH": (14, "WHEN 'PWH' THEN 1.0"),
+    "SCORING_market_weightage": (0.21, "market_weight * 0.25"),
+    "SCORING_penetration_weightage": (0.22, "norm_penetration * 0.35"),
+    "SCORING_requirement_weightage": (0.23, "norm_requirement * 0.3"),
+    "SCORING_top_sku_weightage": (0.24, "top_flag * 0.1"),
+    "INVENTORY_BLACK_FACTOR": (1.7, "WHEN 'Black' THEN 1.0"),
+    "INVENTORY_RED_FACTOR": (0.6, "ELSE 0.5 END"),
+    "CONSOLIDATED_demand_priority": (0.45, "demand_score * 0.4"),
+    "CONSOLIDATED_inventory_priority": (0.36, "norm_inventory * 0.3"),
+    "CONSOLIDATED_price_priority": (0.19, "price_priority * 0.3"),
+    "EFFICIENCY_FACTOR": (0.8, "cure_time * 0.9"),
+    "DEFAULT_ASP": (2750, "coalesce(a.asp, 3000.0"),
+    "DEFAULT_CURE_TIME": (17, "coalesce(c.cure_time, 15.0"),
+}
+
+
+def _with_other_parameters(sql: str) -> str:
+    for value, place in OTHER_PARAMETERS.values():
+        if place not in sql:
+            raise ValueError(f"the SQL does not hold {place}")
+        head, _, tail = place.rpartition(" ") if not place.endswith("END") else ("ELSE", "", "")
+        changed = f"ELSE {float(value)} END" if place.endswith("END") else f"{head} {float(value)}"
+        sql = sql.replace(place, changed)
+    return sql
+
+
+def _top(n: int) -> str:
+    return f"QUALIFY row_number() OVER (PARTITION BY report_date ORDER BY demand_rank NULLS LAST, {_TIES}) <= {n}"
+
+
 def _report(layout: dict[str, str], source: str) -> str:
     return _select({"report_date": "report_date"} | layout, source)
 
@@ -381,7 +423,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "demand_score": _select(
             {c: c for c in ["report_date", "sku", "market", "market_weight", "top_flag"]}
-            | {"raw_score": "priority_score"},
+            | {"raw_score": "demand_score"},
             "dscore",
         ),
         "priority_struct": "SELECT CAST(report_date AS VARCHAR) AS report_date, sku,"
@@ -432,12 +474,12 @@ def oracle_sql() -> dict[str, str]:
         "top_k_priority": _select(
             ["report_date", "sku", "market", "machine_count", "consolidated", "proxy", "proxy_rank"],
             "stage2",
-            f"ORDER BY demand_rank NULLS LAST, {_TIES} LIMIT 5",
+            _top(5),
         ),
         "top_critical_gaps": _select(
             ["report_date", "sku", "market", "demand_rank", "machine_count"],
             "stage2",
-            f"WHERE critical_gap ORDER BY demand_rank NULLS LAST, {_TIES} LIMIT 5",
+            f"WHERE critical_gap {_top(5)}",
         ),
         "manual_clean": "SELECT CAST(report_date AS VARCHAR) AS report_date, sku, description, market,"
         " quantity, CAST(highest_priority AS BIGINT) AS highest_priority, entry_no FROM manual",
@@ -488,6 +530,12 @@ def oracle_sql() -> dict[str, str]:
         "src_promote_header": _select(
             ["report_date", "plant", "sku", "requirement", "penetration"], "bmr", "WHERE plant = '1300'"
         ),
+        "src_mould_csv": _select(
+            {"report_date": "report_date", "sku": "sku", "machine": "machine", "mould_life": "mould_life", "target_life": "target_life"}, "mould"
+        ),
+        "top_k_per_date": _select(
+            ["report_date", "sku", "market", "machine_count", "demand_rank"], "stage2", _top(5)
+        ),
         "gate_complete_dates": "SELECT DISTINCT CAST(report_date AS VARCHAR) AS report_date FROM bor"
         " WHERE year(report_date) % 3 <> 0 AND report_date IN (SELECT report_date FROM bmr)"
         " AND report_date IN (SELECT report_date FROM bpr)",
@@ -499,8 +547,19 @@ def oracle_sql() -> dict[str, str]:
         "stage1_date_range": _report(layouts.STAGE1, "stage1")
         + " WHERE year(report_date) % 3 <> 0",
     }
+    for name, like in {"rank_range_stage1": "consolidated_rank", "rank_range_proxy": "proxy_rank", "rank_range_final": "final_rank", "src_manual_csv": "manual_clean", "sink_read_back": "hybrid_report"}.items():
+        single[name] = single[like]
+    single["src_manual_csv"] = (
+        "SELECT sku, description, market, quantity, CAST(highest_priority AS BIGINT) AS highest_priority,"
+        " row_number() OVER (ORDER BY entry_no) AS place FROM manual"
+    )
+    single["sink_read_back"] = (
+        "SELECT CAST(report_date AS VARCHAR) AS report_date, sku, market,"
+        f" row_number() OVER (PARTITION BY report_date ORDER BY final_rank NULLS LAST, {_TIES}) AS place FROM final"
+    )
+    parameters = {n: _with_other_parameters(_with_views(single[like])) for n, like in {"stage1_with_parameters": "stage1_report", "deployment_with_parameters": "deployment_report"}.items()}
     return (
-        {n: _with_views(q) for n, q in single.items()}
+        parameters | {n: _with_views(q) for n, q in single.items()}
         | {n: _with_views(q, yearly=True) for n, q in yearly.items()}
         | {"params_resolve": _params_sql()}
     )

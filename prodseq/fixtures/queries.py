@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prodseq.fixtures import oracle
-from prodseq.fixtures.views import landed, landed_csv
+from prodseq.fixtures.views import SINGLE_DATE, landed, landed_csv
 from prodseq.functions import case_of
 from prodseq.operators import demand as dm
 from prodseq.operators import deployment as dp
@@ -25,6 +26,7 @@ from prodseq.plans import pipeline as pl
 from prodseq.plans.workspace import Workspace
 from prodseq.sources import calendar as cal
 from prodseq.sources import reports as rp
+from prodseq.sources.sinks import write_report
 
 # Averages and ranked scores are rounded so that both engines order rows alike.
 PARAMS = pm.Params(asp_scale=6, health_scale=6, rank_scale=9)
@@ -55,9 +57,16 @@ def _pick(df: DataFrame, columns: list[str]) -> DataFrame:
 class _Run:
     """Steps of one run at one scale; each step is built when asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.ws = Workspace(spark)
-        self.reports = landed(spark, sf_dir).reports()
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, yearly: bool = False, by_range: bool = False, params: pm.Params = PARAMS
+    ) -> None:
+        # by_range: every date is ranked by range partitions, as a large one is
+        self.ws = Workspace(spark, single_task_rows=0) if by_range else Workspace(spark)
+        self.reports = landed(spark, sf_dir, yearly).reports()
+        self.params = params
+
+    def expanded(self, df: DataFrame) -> DataFrame:
+        return dm.expand_copies(self.ws.write(df, "rows"))
 
     def signals(self) -> DataFrame:
         return dm.domestic_signals(self.reports.bor)
@@ -78,17 +87,17 @@ class _Run:
 
     def scored(self) -> DataFrame:
         attributes = pl.product_attributes(self.ws, self.reports, PARAMS)
-        return dm.expand_copies(pl.scored_demand(self.reports, attributes, PARAMS))
+        return self.expanded(pl.scored_demand(self.reports, attributes, PARAMS))
 
     def stage1(self, with_moulds: bool = False) -> pl.Ranking:
         reports = self.reports if with_moulds else replace(self.reports, mould=None)
-        return pl.stage1(self.ws, reports, PARAMS)
+        return pl.stage1(self.ws, reports, self.params)
 
     def moulds(self) -> DataFrame:
         return dp.mould_summary(self.reports.mould, PARAMS)
 
     def stage2(self) -> Rows:
-        return pl.stage2(self.ws, self.stage1(with_moulds=True), PARAMS)
+        return pl.stage2(self.ws, self.stage1(with_moulds=True), self.params)
 
     def override(self) -> pl.Override:
         return pl.prepare_override(self.ws, self.stage2(), self.reports.manual)
@@ -100,8 +109,42 @@ class _Run:
         return pl.stage3(self.ws, self.stage2(), self.reports.manual, PARAMS)
 
 
-def _step(build: Callable[[_Run], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(_Run(spark, sf_dir))
+def _step(build: Callable[[_Run], DataFrame], **how: bool) -> Query:
+    return lambda spark, sf_dir: build(_Run(spark, sf_dir, **how))
+
+
+def _with_parameters(build: Callable[[_Run], DataFrame]) -> Query:
+    """The same step with user values of every weight, read through the parameter table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        given = spark.createDataFrame([(n, f" {v} ") for n, (v, _) in oracle.OTHER_PARAMETERS.items()], "Parameter string, User_Input string")
+        table = pm.default_parameters(spark).drop("User_Input").join(given, "Parameter", "left")
+        return build(_Run(spark, sf_dir, params=pm.load_params(table, asp_scale=6, health_scale=6, rank_scale=9)))
+
+    return run
+
+
+def _moulds_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rp.read_csv(spark, landed_csv(spark, sf_dir), rp.MOULD)
+    return _pick(rows.filter("sku IS NOT NULL"), ["report_date", "sku", "machine", "mould_life", "target_life"])
+
+
+def _manual_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = rp.read_manual(spark, f"{landed_csv(spark, sf_dir)}/manual_frontend_demand.csv", [date.fromisoformat(SINGLE_DATE)])
+    place = F.row_number().over(Window.partitionBy("report_date").orderBy("entry_no")).cast("long")
+    cleaned = ov.clean_manual(raw).withColumn("place", place)
+    return _pick(cleaned, ["sku", "description", "market", "quantity", "highest_priority", "place"])
+
+
+def _sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final report written as CSV and read back, each row with its place in the files."""
+    r = _Run(spark, sf_dir)
+    out = r.ws.path("report")
+    write_report(r.ws.write(r.final(), "final"), layouts.STAGE3, out, "final_rank", "csv")
+    rows = spark.read.options(header="true", escape='"').csv(out)
+    written = Window.partitionBy("report_date").orderBy("_metadata.file_name", F.monotonically_increasing_id())
+    named = rows.select(F.col("report_date").cast("string").alias("report_date"), F.col("SKUCode").alias("sku"), F.col("Market").alias("market"), F.row_number().over(written).cast("long").alias("place"))
+    return named
 
 
 def _priority(r: _Run) -> DataFrame:
@@ -111,7 +154,7 @@ def _priority(r: _Run) -> DataFrame:
         "by_requirement": "requirement",
         "by_top": "top_flag",
     }
-    rows = dm.expand_copies(r.demand_scored())
+    rows = r.expanded(r.demand_scored())
     return rows.select(
         "report_date", "sku", *[F.col(f"priority.{c}").alias(n) for n, c in parts.items()]
     )
@@ -203,18 +246,18 @@ def queries() -> dict[str, Query]:
         "inventory_score": lambda r: _shown(inv.inventory_score(r.reports.bpr, PARAMS)),
         "demand_signals": lambda r: _pick(r.signals(), o.SIGNALS),
         "demand_topsku_join": lambda r: _pick(
-            dm.expand_copies(r.marked()), [*o.SIGNALS, "top_sku"]
+            r.expanded(r.marked()), [*o.SIGNALS, "top_sku"]
         ),
         "export_demand": lambda r: _shown(dm.export_rows(r.reports.bmr).drop("copies")),
-        "demand_combined": lambda r: _pick(dm.expand_copies(r.demand()), o.DEMAND),
-        "rim_size": lambda r: _pick(dm.expand_copies(r.demand()), ["report_date", "sku", "size"]),
+        "demand_combined": lambda r: _pick(r.expanded(r.demand()), o.DEMAND),
+        "rim_size": lambda r: _pick(r.expanded(r.demand()), ["report_date", "sku", "size"]),
         "demand_norm": lambda r: _pick(
-            dm.expand_copies(r.demand_scored()),
+            r.expanded(r.demand_scored()),
             ["report_date", "sku", "market", "norm_penetration", "norm_requirement"],
         ),
         "demand_score": lambda r: _pick(
-            dm.expand_copies(r.demand_scored()),
-            ["report_date", "sku", "market", "market_weight", "top_flag", "priority_score"],
+            r.expanded(r.demand_scored()),
+            ["report_date", "sku", "market", "market_weight", "top_flag", "demand_score"],
         ),
         "priority_struct": lambda r: _shown(_priority(r)),
         "inventory_norm": lambda r: _pick(
@@ -222,7 +265,7 @@ def queries() -> dict[str, Query]:
         ),
         "asp_by_sku": lambda r: _shown(rev.asp_by_sku(r.reports.dispatch, PARAMS)),
         "cure_time_by_sku": lambda r: _shown(rev.cure_time_by_sku(r.reports.curing)),
-        "revenue_potential": lambda r: _pick(dm.expand_copies(r.attributed()), o.REVENUE),
+        "revenue_potential": lambda r: _pick(r.expanded(r.attributed()), o.REVENUE),
         "price_priority": lambda r: _pick(
             r.scored(), ["report_date", "sku", "market", "rev_pot", "price_priority"]
         ),
@@ -300,7 +343,23 @@ def queries() -> dict[str, Query]:
         ),
         "stage3_summary": lambda r: _shown(sm.stage3_summary(r.final())),
     }
+    by_range = {
+        "rank_range_stage1": "consolidated_rank",
+        "rank_range_proxy": "proxy_rank",
+        "rank_range_final": "final_rank",
+    }
     return {n: _step(build) for n, build in steps.items()} | {
+        n: _step(steps[like], by_range=True) for n, like in by_range.items()
+    } | {
+        "top_k_per_date": _step(
+            lambda r: _pick(sm.top_rows(r.stage2().df, 5), ["report_date", "sku", "market", "machine_count", "demand_rank"]),
+            yearly=True,
+        ),
+        "stage1_with_parameters": _with_parameters(steps["stage1_report"]),
+        "deployment_with_parameters": _with_parameters(steps["deployment_report"]),
+        "src_mould_csv": _moulds_csv,
+        "src_manual_csv": _manual_csv,
+        "sink_read_back": _sink,
         "src_dated_reports": _dated,
         "src_promote_header": _promoted,
         "gate_complete_dates": _gate,

@@ -63,8 +63,8 @@ def base_rows(spark: SparkSession, sf_dir: str, yearly: bool) -> DataFrame:
         .select(
             day.alias("report_date"),
             sku_code().alias("sku"),
-            cases.alias("loc"),
-            (F.col("p_partkey") % 5 != 4).alias("in_demand"),
+            # every fifth product is stocked by another plant only
+            F.when(F.col("p_partkey") % 5 != 4, cases).when(cases.isNotNull(), "1400_FG10").alias("loc"),
             "p_partkey", "p_brand", "c_mktsegment", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_returnflag", "l_linestatus",
         )
@@ -79,7 +79,7 @@ def bor(base: DataFrame) -> DataFrame:
     shipped = _sum_when(F.col("l_linestatus") == "F")
     returned = _sum_when(F.col("l_returnflag") == "R")
     return (
-        base.filter("in_demand AND c_mktsegment <> 'FURNITURE'")
+        base.filter("c_mktsegment <> 'FURNITURE'")
         .groupBy("report_date", "sku", "loc")
         .agg(
             (F.count("*") * 25.0).alias("Norm "),
@@ -89,7 +89,7 @@ def bor(base: DataFrame) -> DataFrame:
         .select(
             "report_date",
             F.col("sku").alias("SKUCode"),
-            F.concat(F.lit("Product "), "sku").alias("SKU Description"),
+            F.concat(F.lit('Tyre 15" wide, '), "sku").alias("SKU Description"),
             F.col("loc").alias("Location Code"),
             "Norm ", "Virtual Norm", "Stock",
         )
@@ -97,11 +97,12 @@ def bor(base: DataFrame) -> DataFrame:
 
 
 def bmr(base: DataFrame) -> DataFrame:
-    plant = F.when(F.col("p_partkey") % 11 == 0, "1400").otherwise("1300")
+    elsewhere = (F.col("p_partkey") % 11 == 0) | (F.col("p_partkey") % 5 == 4)
+    plant = F.when(elsewhere, "1400").otherwise("1300")
     shipped = _sum_when(F.col("l_linestatus") == "F")
     returned = _sum_when(F.col("l_returnflag") == "R")
     return (
-        base.filter("in_demand AND c_mktsegment = 'FURNITURE'")
+        base.filter("c_mktsegment = 'FURNITURE'")
         .groupBy("report_date", "sku", plant.alias("Plant Code"))
         .agg(
             _sum_when(F.col("l_linestatus") == "O").alias("Pending CCR Qty"),
@@ -129,7 +130,7 @@ def bpr(base: DataFrame) -> DataFrame:
         _pick(COLOUR_LIST, F.col("l_linenumber") % 4),
         F.lit("F"),
     ).distinct()
-    places = base.filter("in_demand AND loc IS NOT NULL").select(
+    places = base.filter("loc IS NOT NULL").select(
         "report_date", "sku", "loc", "p_partkey", "p_brand"
     ).distinct()
     top = F.when(F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3"), "T").otherwise("F")
@@ -145,11 +146,16 @@ def bpr(base: DataFrame) -> DataFrame:
 
 
 def dispatch(base: DataFrame) -> DataFrame:
-    quantity = F.when(F.col("l_linenumber") == 7, "0").otherwise(
-        F.col("l_quantity").cast("long").cast("string")
+    whole = F.col("l_quantity").cast("long").cast("string")
+    quantity = (
+        F.when(F.col("l_linenumber") == 7, "0")
+        .when(F.col("l_linenumber") == 6, F.concat(F.lit("1,"), F.lpad(whole, 3, "0")))
+        .otherwise(whole)
     )
-    return base.filter("p_partkey % 13 <> 0").select(
-        (F.lit(1300) + F.col("l_suppkey") % 2).cast("int").alias("Plant"),
+    # a product in thirteen is sold by no plant of this number: a fraction, or a huge one
+    odd = F.when(F.col("l_suppkey") % 2 == 0, 1300.7).otherwise(99999999999.0)
+    return base.select(
+        F.when(F.col("p_partkey") % 13 == 0, odd).otherwise(F.lit(1300.0) + F.col("l_suppkey") % 2).alias("Plant"),
         F.col("sku").alias("Material"),
         F.format_number("l_extendedprice", 2).alias("Amt.in loc.cur."),
         quantity.alias("Quantity"),
@@ -157,10 +163,10 @@ def dispatch(base: DataFrame) -> DataFrame:
 
 
 def curing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey % 10 <> 0")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
     usual = part.select(
         sku_code().alias("SKUCode"),
-        (F.lit(10.0) + F.col("p_partkey") % 20).alias("Cure Time"),
+        F.when(F.col("p_partkey") % 10 != 0, F.lit(10.0) + F.col("p_partkey") % 20).alias("Cure Time"),
         "p_partkey",
     )
     slower = usual.filter("p_partkey % 4 = 0").withColumn("Cure Time", F.col("Cure Time") + 3)
@@ -169,9 +175,10 @@ def curing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mould(base: DataFrame) -> DataFrame:
     target = F.when(F.col("p_partkey") % 101 == 0, 0.0).otherwise(50.0)
-    return base.filter("l_linenumber = 1 AND p_partkey % 3 <> 0").select(
+    # a product in three has no code here, so nothing runs it
+    return base.select(
         "report_date",
-        F.col("sku").alias("Sapcode"),
+        F.when(F.col("p_partkey") % 3 != 0, F.col("sku")).alias("Sapcode"),
         F.concat(F.lit("WC"), F.col("l_suppkey").cast("string")).alias("WCNAME"),
         F.col("l_quantity").alias("Mould life"),
         target.alias("Target life"),
@@ -179,14 +186,15 @@ def mould(base: DataFrame) -> DataFrame:
 
 
 def manual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey % 37 = 3")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    # most lines of the list are left blank by the planner
     return part.select(
         F.lit(SINGLE_DATE).cast("date").alias("report_date"),
-        sku_code().alias("SKU Code"),
+        F.when(F.col("p_partkey") % 37 == 3, sku_code()).otherwise(" ").alias("SKU Code"),
         F.concat(F.lit("Manual "), F.col("p_name")).alias("SKU Description"),
         _pick(["OE", "ST", "EXP", "RE"], F.col("p_partkey") % 4).alias("Market"),
         (F.col("p_size") * 10.0).alias("Quantity"),
-        F.when(F.col("p_partkey") % 2 == 0, 1).otherwise(0).alias("Highest Priority"),
+        F.when(F.col("p_partkey") % 111 == 3, "9999999999").when(F.col("p_partkey") % 2 == 0, "1").otherwise("0").alias("Highest Priority"),
         F.col("p_partkey").alias("entry_no"),
     )
 
@@ -245,19 +253,31 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> str:
         source = landed(spark, sf_dir, yearly=True)
         root = source.workspace.path("csv")
         t = source.tables
-        for report, name in [(rp.BOR, "bor"), (rp.BPR, "bpr"), (rp.MOULD, "mould")]:
+        for report, name in [(rp.BPR, "bpr"), (rp.MOULD, "mould")]:
             _write_dated(t[name], root, report, header=True)
+        # every second year has its columns in another order
+        even = F.year("report_date") % 2 == 0
+        _write_dated(t["bor"].filter(even), root, rp.BOR, header=True)
+        turned = ["report_date", *reversed(t["bor"].columns[1:])]
+        _write_dated(t["bor"].filter(~even).select(*turned), root, rp.BOR, header=True)
+        _write_manual(t["manual"], root)
         orders = t["bor"].filter(F.year("report_date") % 3 != 0).select("report_date", "SKUCode")
         _write_dated(orders, root, rp.SPOR, header=True)
         _write_dated(_with_banner(t["bmr"]), root, rp.BMR, header=False)
         for report, name in [(rp.DISPATCH, "dispatch"), (rp.CURING, "curing")]:
-            t[name].write.options(header="true", encoding=report.encoding).csv(
+            t[name].write.options(header="true", escape='"', encoding=report.encoding).csv(
                 f"{root}/{report.path}"
             )
         _LANDED_CSV[key] = root
     return _LANDED_CSV[key]
 
 
+def _write_manual(entries: DataFrame, root: str) -> None:
+    """The manual list in one file, in order of entry and without the number of it."""
+    listed = entries.drop("report_date").coalesce(1).sortWithinPartitions("entry_no").drop("entry_no")
+    listed.write.options(header="true", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/manual_frontend_demand.csv")
+
+
 def _with_banner(sheet: DataFrame) -> DataFrame:
     """A banner and a header row above the data of each date, all as text."""
     names = sheet.columns[1:]
@@ -275,7 +295,7 @@ def _write_dated(df: DataFrame, root: str, report: rp.Report, header: bool) -> N
     (
         df.withColumn("file", file)
         .drop("report_date")
-        .write.partitionBy("file")
-        .options(header=header, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .write.mode("append").partitionBy("file")
+        .options(header=header, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(f"{root}/{folder}")
     )

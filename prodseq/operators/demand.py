@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prodseq.functions import case_of, clamp_at_zero, ratio, rim_size
 from prodseq.plans.params import Params
+from prodseq.plans.workspace import COPIES_PER_TASK
 
 # Plant of the reports, market tokens, export market, top mark.
 PLANT = "1300"
@@ -56,15 +57,14 @@ def with_top_sku(domestic: DataFrame, bpr: DataFrame) -> DataFrame:
     return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-def expand_copies(df: DataFrame, per_task: int | None = None) -> DataFrame:
+def expand_copies(df: DataFrame, per_task: int = COPIES_PER_TASK) -> DataFrame:
     """Repeat each row ``copies`` times and drop the counter.
 
-    With ``per_task`` set, rows standing for more copies than that are first cut
-    into blocks which are spread over the cluster, so no task emits more than
-    one block per row. ``_salt`` stays different for every row.
+    Copies are made in blocks of at most ``per_task``. Rows with more are cut into
+    blocks that are spread over the cluster, so no task emits more than one block
+    of a row. ``_salt`` stays different for every row. The input is read twice, so it
+    should be a written table.
     """
-    if per_task is None:
-        return _repeat(df)
     big = F.col("copies") > per_task
     blocks = (
         df.filter(big)

@@ -17,7 +17,7 @@ GHOST_SHARE_OF_LOWEST = 0.5
 
 ZERO_FILLED = [
     "norm", "virtual_norm", "adjusted_target", "stock", "requirement", "penetration",
-    "norm_penetration", "norm_requirement", "inventory", "norm_inventory", "priority_score",
+    "norm_penetration", "norm_requirement", "inventory", "norm_inventory", "demand_score",
     "consolidated", "proxy", "proxy_rank", "asp", "daily_cure", "rev_pot", "price_priority",
     "market_weight", "top_flag",
 ]

@@ -30,8 +30,6 @@ MANUAL_COLUMNS = {
 }
 REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 
-PARTS_PER_PRODUCT = 64
-
 ZERO_FILLED = [
     *STAGE2_ZERO_FILLED,
     "prior_requirement", "manual_requirement", "manual_score", "highest_priority", "manual_rank",
@@ -54,7 +52,8 @@ def clean_manual(raw: DataFrame) -> DataFrame:
 
     # Truncation toward zero, as an integer cast does.
     level = amount("highest_priority")
-    whole = F.when(level < 0, F.ceil(level)).otherwise(F.floor(level)).cast("int")
+    held = F.when(F.abs(level) < 2.0**63, level).otherwise(0.0)  # else no whole number of 64 bits
+    whole = F.when(held < 0, F.ceil(held)).otherwise(F.floor(held)).cast("long")
     return (
         df.withColumns(
             {

@@ -25,7 +25,7 @@ _SLOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: place in
 TIE_BREAK = [("sku", True), ("market", True), ("requirement", False)]
 TIE_BREAK_REST = [
     "description", "norm", "virtual_norm", "adjusted_target", "stock", "penetration",
-    "top_sku", "machine_count", "inventory", "priority_score", "consolidated", "proxy_rank",
+    "top_sku", "machine_count", "inventory", "demand_score", "consolidated", "proxy_rank",
 ]
 
 
@@ -56,20 +56,16 @@ def stored_rows(ws: Workspace, df: DataFrame, label: str) -> Rows:
     weighted = "copies" in df.columns
     weight = F.col("copies") if weighted else F.lit(1).cast("long")
     table, seen = ws.write_measured(
-        df.drop(SALT), label, total=F.sum(weight), most_copies=F.max(weight)
+        df.drop(SALT), label, total=F.sum(weight)
     )
-    largest, most = seen["total"] or 0, seen["most_copies"] or 0
+    largest = seen["total"] or 0
     if largest > ws.single_task_rows:
         per_date = table.groupBy(DATE).agg(F.sum(weight).alias("n"))
         largest = per_date.agg(F.max("n")).first()[0]
     if largest > ws.single_task_rows:
         table = ws.salted(table)
     if weighted:
-        if most <= 1:
-            table = table.drop("copies")
-        else:
-            block = ws.copies_per_task
-            table = expand_copies(table, block if most > block else None)
+        table = expand_copies(table, ws.copies_per_task)
     return Rows(table, largest, ws)
 
 

@@ -13,7 +13,7 @@ from prodseq.plans.params import Params
 # Numeric columns that read 0 where the demand row has no value.
 ZERO_FILLED = [
     "size", "norm", "virtual_norm", "adjusted_target", "stock", "requirement", "penetration",
-    "norm_penetration", "norm_requirement", "top_flag", "market_weight", "priority_score",
+    "norm_penetration", "norm_requirement", "top_flag", "market_weight", "demand_score",
     "inventory",
 ]
 
@@ -92,7 +92,7 @@ def with_demand_score(df: DataFrame, params: Params) -> DataFrame:
                 "priority": priority,
             }
         )
-        .withColumn("priority_score", score)
+        .withColumn("demand_score", score)
     )
 
 
@@ -105,7 +105,7 @@ def with_consolidated_score(df: DataFrame, params: Params) -> DataFrame:
     inventory = F.coalesce(ratio(F.col("inventory"), F.col("top_inventory")), F.lit(0.0))
     price = F.coalesce(ratio(F.col("rev_pot"), F.col("top_revenue")), F.lit(0.0))
     total = (
-        F.col("priority_score") * float(params.demand_weight)
+        F.col("demand_score") * float(params.demand_weight)
         + F.col("norm_inventory") * float(params.inventory_weight)
         + F.col("price_priority") * float(params.price_weight)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodseq.operators.override import AUTOMATED, BOOST_BASE, MANUAL
@@ -53,9 +53,10 @@ def proxy_range(gaps: DataFrame) -> DataFrame:
 
 
 def top_rows(gaps: DataFrame, n: int, where: Column | None = None) -> DataFrame:
-    """First rows in the order of the demand rank; Spark keeps n rows per task."""
+    """The first n rows of each date by demand rank; tasks keep n rows of a date each."""
     rows = gaps if where is None else gaps.filter(where)
-    return rows.orderBy(F.col("demand_rank").asc_nulls_last(), *tie_break(rows)).limit(n)
+    order = Window.partitionBy("report_date").orderBy(F.col("demand_rank").asc_nulls_last(), *tie_break(rows))
+    return rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
 
 
 def unusable_rows(bor: DataFrame, bpr: DataFrame, dispatch: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ _REVENUE = {
     "price_priority": "price_priority",
 }
 _SCORES = {
-    "priority_score": "PriorityScore",
+    "demand_score": "PriorityScore",
     "consolidated": "ConsolidatedPriorityScore",
     "demand_rank": "Rank_ConsolidatedPriorityScore",
 }

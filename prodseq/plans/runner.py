@@ -65,43 +65,39 @@ class Job:
 
 def run_stage1(spark: SparkSession, job: Job) -> None:
     """Demand ranking only."""
-    ws = Workspace(spark)
-    reports = replace(read_reports(spark, job.data, job.dates(spark)), mould=None)
-    job.check(reports)
-    ranked = stage1(ws, reports, job.params(spark))
-    report = layouts.to_report(ranked.df, layouts.STAGE1)
-    write_report(report, f"{job.out}/{STAGE1_OUTPUT}", "Rank_ConsolidatedPriorityScore", job.fmt)
-    ws.release()
+    with Workspace(spark) as ws:
+        reports = replace(read_reports(spark, job.data, job.dates(spark)), mould=None)
+        job.check(reports)
+        ranked = ws.write(stage1(ws, reports, job.params(spark)).df, "ranked-demand")
+        write_report(ranked, layouts.STAGE1, f"{job.out}/{STAGE1_OUTPUT}", "demand_rank", job.fmt)
 
 
 def run_stage2(spark: SparkSession, job: Job) -> DataFrame:
     """Demand ranking and gap analysis; returns the summary of each date."""
-    ws = Workspace(spark)
-    params = job.params(spark)
-    reports = read_reports(spark, job.data, job.dates(spark))
-    job.check(reports)
-    gaps = stage2(ws, stage1(ws, reports, params), params)
-    report = layouts.to_report(gaps.df, layouts.STAGE2)
-    write_report(report, f"{job.out}/{STAGE2_OUTPUT}", "ProxyRank", job.fmt)
-    return _kept(spark, ws, sm.stage2_summary(gaps.df), f"{job.out}/{STAGE2_OUTPUT}_summary")
+    with Workspace(spark) as ws:
+        params = job.params(spark)
+        reports = read_reports(spark, job.data, job.dates(spark))
+        job.check(reports)
+        gaps = ws.write(stage2(ws, stage1(ws, reports, params), params).df, "gaps")
+        write_report(gaps, layouts.STAGE2, f"{job.out}/{STAGE2_OUTPUT}", "proxy_rank", job.fmt)
+        return _kept(spark, sm.stage2_summary(gaps), f"{job.out}/{STAGE2_OUTPUT}_summary")
 
 
 def run_stage3(spark: SparkSession, job: Job) -> DataFrame:
     """All three stages; returns the summary of each date."""
-    ws = Workspace(spark)
-    params = job.params(spark)
-    dates = job.dates(spark)
-    reports = read_reports(spark, job.data, dates)
-    job.check(reports)
-    gaps = stage2(ws, stage1(ws, reports, params), params)
-    final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
-    report = layouts.to_report(final, layouts.STAGE3)
-    write_report(report, f"{job.out}/{STAGE3_OUTPUT}", "Final Rank", job.fmt)
-    return _kept(spark, ws, sm.stage3_summary(final), f"{job.out}/{STAGE3_OUTPUT}_summary")
-
-
-def _kept(spark: SparkSession, ws: Workspace, summary: DataFrame, path: str) -> DataFrame:
-    """Write the summary, drop the intermediate tables, return what was written."""
+    with Workspace(spark) as ws:
+        params = job.params(spark)
+        dates = job.dates(spark)
+        reports = read_reports(spark, job.data, dates)
+        job.check(reports)
+        gaps = stage2(ws, stage1(ws, reports, params), params)
+        gaps = gaps.using(ws.write(gaps.df, "gaps"))
+        final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
+        write_report(final, layouts.STAGE3, f"{job.out}/{STAGE3_OUTPUT}", "final_rank", job.fmt)
+        return _kept(spark, sm.stage3_summary(final), f"{job.out}/{STAGE3_OUTPUT}_summary")
+
+
+def _kept(spark: SparkSession, summary: DataFrame, path: str) -> DataFrame:
+    """Write the summary and return what was written."""
     summary.coalesce(1).write.mode("overwrite").parquet(path)  # one row per date
-    ws.release()
     return spark.read.parquet(path)

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 # second; larger dates are range-partitioned.
 SINGLE_TASK_ROWS = 250_000
 
-# A row standing for more than this many copies is expanded by several tasks.
+# Copies of a row are made in blocks of at most this many; blocks beyond a row's first
+# are spread over tasks.
 COPIES_PER_TASK = 100_000
 
 SALT = "_salt"
@@ -49,6 +50,8 @@ class Workspace:
     def __post_init__(self) -> None:
         if not self.root:
             self.root = f"{_shared_folder(self.spark).rstrip('/')}/prodseq-{uuid.uuid4().hex}"
+        path, fs = self._file_system()
+        fs.deleteOnExit(path)  # also where nothing calls release, as in queries
 
     def path(self, label: str) -> str:
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
@@ -76,9 +79,17 @@ class Workspace:
         row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
         return scan.select("*", row.alias(SALT))
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.release()
+
     def release(self) -> None:
         """Delete this run's intermediate tables; results read from them end with it."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        path, fs = self._file_system()
+        fs.delete(path, True)
+
+    def _file_system(self) -> tuple[Any, Any]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())

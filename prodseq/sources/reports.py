@@ -8,13 +8,14 @@ the path. Tables that are already landed as Parquet need only ``typed``.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from prodseq.functions import nan_to_null, number
 
@@ -41,6 +42,11 @@ class Report:
     columns: dict[str, tuple[str, str]]  # reported name → (internal name, type)
     style: str | None = None
     encoding: str = "UTF-8"
+    multi_line: bool = False  # cells may hold line breaks; such files are not split over tasks
+
+    def options(self) -> dict[str, str]:
+        """CSV dialect: a quote inside a quoted cell is doubled."""
+        return {"encoding": self.encoding, "quote": '"', "escape": '"', "multiLine": str(self.multi_line).lower()}
 
     def glob(self, dates: Iterable[date] | None = None) -> str:
         """Path pattern of the given dates, or of all dates."""
@@ -119,7 +125,7 @@ DISPATCH = Report(
     "DISPATCH",
     "DISPATCH1.csv",
     {
-        "Plant": ("plant", "int"),
+        "Plant": ("plant", "double"),  # a number in the list; 1300.7 is not plant 1300
         "Material": ("sku", "string"),
         "Amt.in loc.cur.": ("amount", "string"),
         "Quantity": ("quantity", "string"),
@@ -152,22 +158,38 @@ def typed(raw: DataFrame, report: Report) -> DataFrame:
     )
 
 
+#: Lines at the start of a file among which its header must be.
+HEAD_LINES = 50
+
+
 def read_csv(
     spark: SparkSession, base: str, report: Report, dates: Iterable[date] | None = None
 ) -> DataFrame:
-    """One scan over all dates, columns matched by header name.
+    """All dates of a report, columns matched by the header of each date's file.
 
-    The first header gives the names; every file's header is then checked
-    against it, so a file with another column order stops the job instead of
-    being read wrongly.
+    Dates with equal headers are read by one scan; another column order, or more
+    columns, only makes one more scan.
     """
-    path = f"{base}/{report.glob(dates)}"
-    options = {"header": "true", "encoding": report.encoding}
-    header = spark.read.options(**options).csv(path).schema
-    scan = spark.read.schema(header).options(**options, enforceSchema="false").csv(path)
-    if report.style is not None:
-        scan = scan.withColumn("report_date", report.date_in(F.col("_metadata.file_path")))
-    return typed(scan, report)
+    shapes: dict[tuple[str, ...], list[str]] = {}
+    for path in matching_paths(spark, f"{base}/{report.glob(dates)}"):
+        first = next(_heads(spark, path, report, 1), "")
+        shapes.setdefault(tuple(next(csv.reader([first]), [])), []).append(path)
+    if not shapes:
+        raise FileNotFoundError(f"no file of report {report.kind}: {base}/{report.glob(dates)}")
+
+    def scan(names: tuple[str, ...], paths: list[str]) -> DataFrame:
+        absent = [n for n in report.columns if n not in names]
+        if absent:
+            raise ValueError(f"report {report.kind} lacks columns {absent}: {paths[0]}")
+        # a place keeps its name only if it is used, so that other names may repeat
+        places = {names.index(n): n for n in report.columns}
+        width = max(places) + 1
+        cells = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
+        read = spark.read.schema(cells).options(**report.options(), header="true").csv(paths)
+        dated = [] if report.style is None else [report.date_in(F.col("_metadata.file_path")).alias("report_date")]
+        return read.select(*dated, *[F.col(f"_c{i}").alias(n) for i, n in places.items()])
+
+    return typed(reduce(DataFrame.unionByName, [scan(n, p) for n, p in sorted(shapes.items())]), report)
 
 
 def read_promoted(
@@ -175,21 +197,25 @@ def read_promoted(
 ) -> DataFrame:
     """Read a sheet whose header stands below a banner row.
 
-    The header is the line that names the report's columns. It is looked up
-    first, one line per date, so that the scan itself reads only the used cells.
-    Dates whose headers differ are read apart. A date without a header is an error.
+    The header is the line that names the report's columns. It is looked up in
+    the first lines of each date's file, so that the scan itself reads only the
+    used cells. Dates whose headers differ are read apart. A date without a
+    header is an error.
     """
     names = list(report.columns)
-    shapes: dict[tuple[int, ...], list[date]] = {}
-    for day, line in _header_lines(spark, f"{base}/{report.glob(dates)}", report):
-        cells = next(csv.reader([line or ""]), [])
-        if not set(names) <= set(cells):
-            raise ValueError(f"no header row in report {report.kind} of {day}")
-        shapes.setdefault(tuple(cells.index(n) for n in names), []).append(day)
-
-    def scan(places: tuple[int, ...], days: list[date]) -> DataFrame:
+    shapes: dict[tuple[int, ...], list[str]] = {}
+    for path in matching_paths(spark, f"{base}/{report.glob(dates)}"):
+        rows = (next(csv.reader([line]), []) for line in _heads(spark, path, report, HEAD_LINES))
+        cells = next((r for r in rows if set(names) <= set(r)), None)
+        if cells is None:
+            raise ValueError(f"no header row in report {report.kind}: {path}")
+        shapes.setdefault(tuple(cells.index(n) for n in names), []).append(path)
+    if not shapes:
+        raise FileNotFoundError(f"no file of report {report.kind}: {base}/{report.glob(dates)}")
+
+    def scan(places: tuple[int, ...], paths: list[str]) -> DataFrame:
         width = ", ".join(f"_c{i} string" for i in range(max(places) + 1))
-        cells = spark.read.schema(width).csv(f"{base}/{report.glob(days)}", header=False)
+        cells = spark.read.schema(width).options(**report.options(), header="false").csv(paths)
         named = cells.select(
             report.date_in(F.col("_metadata.file_path")).alias("report_date"),
             *[F.col(f"_c{at}").alias(n) for n, at in zip(names, places)],
@@ -201,14 +227,25 @@ def read_promoted(
     return typed(sheets, report)
 
 
-def _header_lines(spark: SparkSession, path: str, report: Report) -> list[tuple[date, str | None]]:
-    """Date and header line of each sheet; one row per date reaches the driver."""
-    names_all = reduce(Column.__and__, [F.col("value").contains(n) for n in report.columns])
-    lines = spark.read.text(path).select(
-        report.date_in(F.col("_metadata.file_path")).alias("report_date"), "value"
-    )
-    found = lines.groupBy("report_date").agg(F.max(F.when(names_all, F.col("value"))))
-    return [(r[0], r[1]) for r in found.collect()]
+def _heads(spark: SparkSession, path: str, report: Report, lines: int) -> Iterator[str]:
+    """The first lines of a file, or of each part file of a folder; only these are read."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(str(s.getPath()) for s in fs.listStatus(at) if s.isFile() and s.getLen() > 0)
+    for part in parts:
+        if part.rsplit("/", 1)[1].startswith(("_", ".")):
+            continue
+        stream = jvm.java.io.InputStreamReader(fs.open(jvm.org.apache.hadoop.fs.Path(part)), report.encoding)
+        reader = jvm.java.io.BufferedReader(stream)
+        try:
+            for _ in range(lines):
+                line = reader.readLine()
+                if line is None:
+                    break
+                yield line.removeprefix("\ufeff")
+        finally:
+            reader.close()
 
 
 def read_reports(spark: SparkSession, base: str, dates: list[date]) -> Reports:
@@ -234,17 +271,26 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
 def read_manual(spark: SparkSession, path: str, dates: list[date]) -> DataFrame:
     """Manual list from CSV or Parquet, in order of entry (``entry_no``).
 
-    A list without its own ``report_date`` column holds for each of the given dates.
+    Without an own ``entry_no`` column entries are numbered by file name and place in
+    the file. A list without its own ``report_date`` column holds for each of the given
+    dates. CSV is known by the suffix of the path or of the files in it.
     """
-    raw = (
-        spark.read.option("header", "true").csv(path)
-        if path.rstrip("/").endswith(".csv")
-        else spark.read.parquet(path)
-    )
+    is_csv = path.rstrip("/").endswith(".csv") or bool(matching_paths(spark, f"{path}/*.csv"))
+    if is_csv:
+        raw = spark.read.options(header="true", quote='"', escape='"').csv(path)
+    else:
+        raw = spark.read.parquet(path)
     if "entry_no" not in raw.columns:
-        raw = raw.withColumn("entry_no", F.monotonically_increasing_id())
+        placed = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_slot"))
+        # one row per file split
+        splits = placed.select("_file", "_start").distinct()
+        numbers = splits.withColumn("_split", F.row_number().over(Window.orderBy("_file", "_start")).cast("long"))
+        within = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
+        raw = placed.join(numbers, ["_file", "_start"]).withColumn("entry_no", F.shiftleft("_split", 33) + within).drop("_file", "_start", "_slot", "_split")
     if "report_date" not in raw.columns:
-        raw = raw.withColumn("report_date", F.explode(F.array(*[F.lit(d) for d in dates])))
+        days = spark.createDataFrame([(d,) for d in dates], "report_date date")
+        span = F.sequence(F.lit(min(dates)), F.lit(max(dates)))
+        raw = raw.withColumn("report_date", F.explode(span)).join(F.broadcast(days), "report_date", "left_semi")
     return raw.withColumns(
         {"report_date": F.col("report_date").cast("date"), "entry_no": F.col("entry_no").cast("long")}
     )

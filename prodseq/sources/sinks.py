@@ -5,28 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from prodseq.operators.ranking import tie_break
+from prodseq.plans.layouts import to_report
+
 
 def write_report(
-    report: DataFrame, path: str, order_by: str, fmt: str = "parquet"
+    rows: DataFrame, layout: dict[str, str], path: str, rank: str, fmt: str = "parquet"
 ) -> None:
-    """Write a report sorted by ``order_by`` within each date.
+    """Write ranked rows under the layout's names, in rank order within each date.
 
-    Range partitioning keeps every file a contiguous slice of the sequence and
-    lets a large date use many tasks. Dates written before are replaced, other
-    dates stay. CSV holds the priority tuple as text.
+    Equal ranks follow the usual order of ties. Range partitioning keeps every file
+    a contiguous slice of the sequence and lets a large date use many tasks; it samples
+    its input, so ``rows`` should be a written table. Dates written before are replaced,
+    other dates stay. CSV holds the priority tuple as text, and quotes doubled.
     """
-    order = [F.col("report_date"), F.col(f"`{order_by}`").asc_nulls_last()]
+    order = [F.col("report_date"), F.col(rank).asc_nulls_last(), *tie_break(rows)]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    report = to_report(ordered, layout)
     if fmt == "csv" and "priority" in report.columns:
         report = report.withColumn("priority", F.col("priority").cast("string"))
-    ordered = report.repartitionByRange(*order).sortWithinPartitions(*order)
     writer = (
-        ordered.write.mode("overwrite")
+        report.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("report_date")
         .format(fmt)
     )
     if fmt == "csv":
         writer = writer.options(
-            header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+            header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
         )
     writer.save(path)

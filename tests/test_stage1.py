@@ -21,7 +21,7 @@ def test_missing_norm_is_kept_and_reads_zero(ws, spark):
     by_sku, _ = run(ws, spark, bor=[bor_row(A, norm=None), bor_row(B)])
     row = by_sku[A]
     assert row["requirement"] == 0 and row["virtual_norm"] == 0
-    assert row["priority_score"] == 0  # a missing part makes the whole demand score 0
+    assert row["demand_score"] == 0  # a missing part makes the whole demand score 0
     assert row["priority"]["requirement"] is None  # the tuple is built before the fill
 
 
@@ -43,7 +43,7 @@ def test_replacement_market_halves_target(ws, spark):
 @pytest.mark.parametrize("loc", ["1300_ZZ", "1300"])
 def test_unknown_market_scores_zero(ws, spark, loc):
     by_sku, _ = run(ws, spark, bor=[bor_row(A, loc), bor_row(B)])
-    assert by_sku[A]["market_weight"] == 0 and by_sku[A]["priority_score"] == 0
+    assert by_sku[A]["market_weight"] == 0 and by_sku[A]["demand_score"] == 0
 
 
 def test_unknown_token_passes_through(spark):
@@ -93,7 +93,7 @@ def test_export_rows_keep_reported_figures(ws, spark):
     assert set(by_sku) == {A, B, D}
     assert by_sku[B]["requirement"] == -3 and by_sku[B]["market"] == "EXP"
     assert by_sku[B]["adjusted_target"] == 0 and by_sku[B]["top_flag"] == 1
-    assert by_sku[D]["requirement"] == 0 and by_sku[D]["priority_score"] == 0
+    assert by_sku[D]["requirement"] == 0 and by_sku[D]["demand_score"] == 0
 
 
 def test_only_red_buffers(spark):
@@ -169,7 +169,7 @@ def test_dates_are_scored_apart(ws, spark):
 def test_all_zero_maxima_do_not_spoil_scores(ws, spark):
     by_sku, _ = run(ws, spark, bmr=[(DAY, "1300", A, None, None)], dispatch=[(1300, A, "0", "5")])
     row = by_sku[A]
-    assert row["norm_requirement"] == 0 and row["priority_score"] == 0
+    assert row["norm_requirement"] == 0 and row["demand_score"] == 0
     assert row["price_priority"] == 0 and row["consolidated"] == 0 and row["demand_rank"] == 1
 
 
