@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,22 +19,18 @@ from prodseq.llm.shingles import shingle_sets
 #: Signature coordinates that are posted, and how many two documents must share to be compared.
 #: At a similarity of 0.8 a pair shares fewer than 24 of 48 with a chance below 0.000002.
 COORDINATES, MATCHES = 48, 24
-#: Coordinates of the wide sketch, held as four bits each, and those that must agree before
-#: full sets are compared: a similarity of 0.8 misses this with a chance below 0.00001.
-WIDE, WIDE_MATCHES = 512, 376
-
-#: Rounds in which every node meets one pivot of each of its lists, before all pairs left are matched.
-PROBES = 2
+#: Nodes of a block in which the undecided part of a cluster is compared.
+BLOCK = 512
 
 _seeds = np.random.default_rng(20240229)
-_XOR = _seeds.integers(0, 1 << 32, WIDE, dtype=np.uint32)
-_TIMES = _seeds.integers(0, 1 << 31, WIDE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_XOR = _seeds.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
+_TIMES = _seeds.integers(0, 1 << 31, COORDINATES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The smallest value of each coordinate's hash over a set, as 32-bit numbers."""
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(WIDE, (1 << 32) - 1, np.uint32)
+    least = np.full(COORDINATES, (1 << 32) - 1, np.uint32)
     for start in range(0, len(short), 1 << 12):
         part = short[start : start + (1 << 12)]
         np.minimum(least, ((part[None, :] ^ _XOR[:, None]) * _TIMES[:, None]).min(axis=1), out=least)
@@ -41,30 +38,27 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def _sign(docs: DataFrame, width: int) -> DataFrame:
-    """(row, id, n_shingles, set_key, coordinates, sketch, wide) with one row per document row."""
+    """(row, id, n_shingles, set_key, coordinates, sketch) with one row per document row."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(texts_of(batch), width)
         counts = np.array([len(s) > 0 for s in sets])
-        signed = np.array([signature(s) for s in sets if len(s)], np.uint32).reshape(-1, WIDE)
+        signed = np.array([signature(s) for s in sets if len(s)], np.uint32).reshape(-1, COORDINATES)
         # the lowest bits of a product are poor: the bits that sketches hold come from above
-        mixed = (signed >> np.uint32(12)).astype(np.uint8)
-        narrow = mixed[:, :COORDINATES].copy().view("<i8")
-        wide = (mixed[:, 0::2] & 15 | (mixed[:, 1::2] & 15) << 4).astype(np.uint8).view("<i8")
+        bytes_ = (signed >> np.uint32(12)).astype(np.uint8).view("<i8")
 
         def lists(values: np.ndarray) -> pa.Array:
             ends = np.concatenate([[0], np.cumsum(counts * values.shape[1])]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(values).ravel()))
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
 
         return {
             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "set_key": pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-            "coordinates": lists(signed[:, :COORDINATES].view("<i4")),
-            "sketch": lists(narrow),
-            "wide": lists(wide),
+            "coordinates": lists(signed.view("<i4")),
+            "sketch": lists(bytes_),
         }
 
-    return over_texts(docs, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>, sketch array<long>, wide array<long>")
+    return over_texts(docs, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>, sketch array<long>")
 
 
 def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int) -> DataFrame:
@@ -87,20 +81,17 @@ def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int
     return scratch.write(kept.join(nodes.select("node", "sketch"), "node").select("key", "node", "sketch"), "prefixes")
 
 
-def _collisions(a: Column, b: Column, places: int, bits: int) -> Column:
-    """Places of two sketches that agree; a sketch holds places of 4 or 8 bits in numbers of 64.
+def _collisions(a: Column, b: Column, coordinates: int) -> Column:
+    """Coordinates whose bytes in two sketches agree, at least as many as those that agree.
 
-    The bits of each place of the exclusive or are folded into its lowest one, which stays
-    unset where the sketches agree.
+    A sketch holds eight bytes in a number. The bits of each byte of the exclusive or are
+    folded into its lowest one, which stays unset where the sketches agree.
     """
-    total = F.lit(places)
-    lowest = sum(1 << k for k in range(0, 64, bits))
-    for k in range(places * bits // 64):
-        x, shift = a[k].bitwiseXOR(b[k]), bits // 2
-        while shift:
-            mask = lowest * ((1 << shift) - 1)
+    total = F.lit(coordinates)
+    for k in range(coordinates // 8):
+        x = a[k].bitwiseXOR(b[k])
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask))
-            shift //= 2
         total = total - F.bit_count(x)
     return total
 
@@ -131,10 +122,11 @@ def near_duplicates(
 
     Documents with equal sets are one node of the graph, so copies are never paired. First
     the nodes of each posting list are matched with one pivot of it, and each node's best
-    match is verified, in two rounds. Then, in lists that still hold several components,
-    every node outside the list's main component is matched with all nodes of other
-    components. So a list that holds one large group costs as many comparisons as it has
-    nodes, and no pair that could join two components is left out.
+    match is verified; so a group of copies that resemble each other becomes one component
+    with as many comparisons as nodes. Nodes that matched are clusters. Within a cluster,
+    nodes outside its main component are compared with all others in blocks; between
+    clusters, nodes of one posting list are matched pair by pair. So no pair that shares a
+    list and could join two components is left out.
 
     A missing or empty text has an empty set and links with nothing; its component is its
     own id. A row without id takes the component of its group (missing if the group has no
@@ -178,66 +170,116 @@ def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, p
     nodes = scratch.write(
         signed.filter("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), F.min_by("id", "row").alias("id"), *(F.first(c).alias(c) for c in ("coordinates", "sketch", "wide"))),
+        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), F.min_by("id", "row").alias("id"), *(F.first(c).alias(c) for c in ("coordinates", "sketch"))),
         "nodes",
     )
     prefixes = _prefixes(nodes, scratch, coordinates, matches)
-    roots = None
-    for turn in range(PROBES):
-        probes = scratch.write(_probes(prefixes, roots, turn, coordinates, matches), "probes")
-        links = _verified(probes, scratch.write(_sets(plain, probes, nodes, width), "sets"), percent)
-        if roots is not None:
-            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = scratch.write(components(links, scratch), "roots")
-
-    lists = prefixes.groupBy("node").agg(F.collect_list("key").alias("keys"))  # of a node's coordinates only
-    mixed = _mixed(prefixes, roots).select("key", "node", "root", "inside").join(lists, "node")
-    mixed = scratch.write(mixed.join(nodes.select("node", "wide"), "node"), "mixed-lists")
-    left = mixed.filter("NOT inside").select("key", *(F.col(c).alias(f"{c}_a") for c in ("root", "wide", "keys")), F.col("node").alias("a"))
-    right = mixed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("root", "wide", "keys")), F.col("node").alias("b"), "inside")
-    open_pairs = (F.col("root_a") != F.col("root_b")) & (F.col("inside") | (F.col("a") < F.col("b")))
-    alike = _collisions(F.col("wide_a"), F.col("wide_b"), WIDE, 4) >= WIDE_MATCHES
-    # a pair with several common lists is matched in each, but comes out of the first only
-    once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
-    rest = scratch.write(left.join(right, "key").filter(open_pairs & alike & once).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "rest")
-    more = _verified(rest, scratch.write(_sets(plain, rest, nodes, width), "sets"), percent)
-    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    grouped = components(known.unionByName(more), scratch)
+    probes = scratch.write(_probes(prefixes, coordinates, matches), "probes")
+    first = probes.select("a", "b")
+    links = scratch.write(_verified(first, scratch.write(_sets(plain, _ends(first), nodes, width), "sets"), percent), "links")
+    roots = components(links, scratch)
+
+    tried = probes.select(F.explode(F.array("a", "low")).alias("a"), "b")
+    clusters = components(tried, scratch).withColumnRenamed("root", "cluster")
+    inner = _within_clusters(clusters, roots, lambda wanted: _sets(plain, wanted, nodes, width), scratch, percent)
+
+    mixed = scratch.write(_mixed(prefixes, clusters).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed-lists")
+    names = ("node", "root", "cluster", "sketch")
+    left = mixed.filter("NOT inside").select("key", *(F.col(c).alias(f"{c}_a") for c in names))
+    right = mixed.select("key", "inside", *(F.col(c).alias(f"{c}_b") for c in names))
+    apart = (F.col("cluster_a") != F.col("cluster_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("inside") | (F.col("node_a") < F.col("node_b")))
+    alike = _collisions(F.col("sketch_a"), F.col("sketch_b"), coordinates) >= matches
+    rest = scratch.write(left.join(right, "key").filter(apart & alike).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
+    outer = _verified(rest, scratch.write(_sets(plain, _ends(rest), nodes, width), "sets"), percent)
+    grouped = components(links.unionByName(inner).unionByName(outer), scratch)
 
     return nodes.join(grouped, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
 
 
-def _mixed(prefixes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Posting lists with several components; ``inside`` marks nodes of a list's main one."""
-    labelled = prefixes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    shares = labelled.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
-    return labelled.join(shares.filter("roots > 1"), "key").withColumn("inside", F.col("root") == F.col("main"))
-
-
-def _probes(prefixes: DataFrame, roots: DataFrame | None, turn: int, coordinates: int, matches: int) -> DataFrame:
-    """(a, b): for each node the most alike of the pivots of its lists, if alike enough.
+def _probes(prefixes: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """(a, b, low): for each node b the pivot of its lists most like it, and the smallest one, if alike enough.
 
     A list's pivot is chosen by a hash of node and list, so a node in many lists of one
-    group meets many of the group's nodes. Once components are known, pivots come from
-    each list's main one and only nodes outside it are matched.
+    group meets many of the group's nodes.
     """
-    rows = prefixes if roots is None else _mixed(prefixes, roots)
-    asked = rows if roots is None else rows.filter("NOT inside")
-    asking = rows if roots is None else rows.filter("inside")
-    chance = F.xxhash64("node", "key", F.lit(turn))
-    pivots = asking.groupBy("key").agg(F.min_by(F.struct("node", "sketch"), chance).alias("pivot"))
-    met = asked.select("key", "node", "sketch").join(pivots, "key").filter(F.col("node") != F.col("pivot.node"))
-    alike = _collisions(F.col("sketch"), F.col("pivot.sketch"), coordinates, 8)
+    pivots = prefixes.groupBy("key").agg(F.min_by(F.struct("node", "sketch"), F.xxhash64("node", "key")).alias("pivot"))
+    met = prefixes.join(pivots, "key").filter(F.col("node") != F.col("pivot.node"))
+    alike = _collisions(F.col("sketch"), F.col("pivot.sketch"), coordinates)
     scored = met.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), alike.alias("alike")).filter(F.col("alike") >= matches)
-    return scored.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a")).select("a", "b")
+    return scored.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a"), F.min("a").alias("low"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def _sets(plain: DataFrame, pairs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, hashes): full shingle sets of the nodes of pairs, made anew from their texts.
+def _within_clusters(clusters: DataFrame, roots: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, percent: int) -> DataFrame:
+    """(a, b): links between different components of one cluster of alike nodes.
+
+    Nodes outside a cluster's main component are compared with all of the cluster, block
+    by block: a task holds two blocks, counts common shingles by a matrix product, and
+    returns one link for each node and component it meets. Pairs are never written.
+    """
+    placed = clusters.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    shares = placed.groupBy("cluster", "root").count().groupBy("cluster").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("roots")
+    )
+    undecided = placed.join(shares.filter("roots > 1"), "cluster").select(
+        "cluster", "node", "root", (F.col("root") == F.col("main")).alias("inside"), F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    )
+    undecided = scratch.write(undecided, "undecided")
+    held = scratch.write(undecided.join(sets_of(undecided.select("node")), "node"), "held")
+    asked = held.filter("NOT inside")
+    left = asked.join(undecided.select("cluster", F.col("block").alias("against")).distinct(), "cluster").withColumn("asking", F.col("block"))
+    right = held.join(undecided.filter("NOT inside").select("cluster", F.col("block").alias("asking")).distinct(), "cluster").withColumn("against", F.col("block"))
+    columns = ["cluster", "asking", "against", "side", "node", "root", "hashes"]
+    both = left.withColumn("side", F.lit(0)).select(*columns).unionByName(right.withColumn("side", F.lit(1)).select(*columns))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        sides = [frame[frame["side"] == k] for k in (0, 1)]
+        sets = [[np.frombuffer(h, np.uint64) for h in side["hashes"]] for side in sides]
+        both = _common(*sets)
+        sizes = [np.array([len(x) for x in s]) for s in sets]
+        linked = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+        linked &= sides[0]["root"].to_numpy()[:, None] != sides[1]["root"].to_numpy()[None, :]
+        at = np.argwhere(linked)
+        found = pd.DataFrame({"a": sides[0]["node"].to_numpy()[at[:, 0]], "b": sides[1]["node"].to_numpy()[at[:, 1]], "root": sides[1]["root"].to_numpy()[at[:, 1]]})
+        return found.drop_duplicates(["a", "root"])[["a", "b"]]
+
+    return scratch.write(both.groupBy("cluster", "asking", "against").applyInPandas(compare, "a long, b long"), "inner-links")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set."""
+    flat = [np.concatenate([*s, np.zeros(0, np.uint64)]) for s in (left, right)]
+    owner = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)]
+    shared = np.intersect1d(flat[0], flat[1])
+    total = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(shared), 4096):
+        part = shared[start : start + 4096]
+        tables = []
+        for values, rows, count in ((flat[0], owner[0], len(left)), (flat[1], owner[1], len(right))):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            table = np.zeros((count, len(part)), np.float32)
+            table[rows[hit], at[hit]] = 1
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return total.astype(np.int64)
+
+
+def _mixed(prefixes: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Posting lists with several clusters; ``inside`` marks nodes of a list's main one."""
+    labelled = prefixes.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    shares = labelled.groupBy("key", "cluster").count().groupBy("key").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("main"), F.count("*").alias("clusters"))
+    return labelled.join(shares.filter("clusters > 1"), "key").select("key", "node", "sketch", "cluster", (F.col("cluster") == F.col("main")).alias("inside"))
+
+
+def _sets(plain: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, hashes): full shingle sets of the wanted nodes, made anew from their texts.
 
     Texts are found by id; where an id has several, the set's key tells the right one.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = nodes.join(wanted, "node").select("node", F.col("id").alias("asked_id"), "set_key")
     joined = plain.join(asked, F.col("id").eqNullSafe(F.col("asked_id"))).select("node", "set_key", "text")
 

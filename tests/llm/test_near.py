@@ -10,7 +10,7 @@ from odd import ODD, documents, local, table
 from prodseq.llm import queries
 from prodseq.llm.components import components
 from prodseq.llm.embeddings import Shard, _stored, links_between, near_duplicates
-from prodseq.llm.minhash import WIDE, _collisions, keep_one
+from prodseq.llm.minhash import COORDINATES, _collisions, _common, keep_one
 from prodseq.llm.minhash import near_duplicates as near_texts
 from prodseq.llm.scratch import Scratch
 from prodseq.llm.shingles import shingle_sets
@@ -107,10 +107,18 @@ def test_minhash_odd_rows(spark):
 
 def test_sketch_collisions(spark):
     random.seed(2)
-    a, b = ([random.randrange(16) for _ in range(WIDE)] for _ in range(2))
-    number = lambda x: [int.from_bytes(bytes(x[i + 2 * k] | x[i + 2 * k + 1] << 4 for k in range(8)), "little", signed=True) for i in range(0, WIDE, 16)]
+    a, b = ([random.choice([0, 1, 128, 255]) for _ in range(COORDINATES)] for _ in range(2))
+    number = lambda x: [int.from_bytes(bytes(x[i : i + 8]), "little", signed=True) for i in range(0, COORDINATES, 8)]
     frame = spark.createDataFrame([(number(a), number(b))], "a array<long>, b array<long>")
-    assert frame.select(_collisions(frame.a, frame.b, WIDE, 4)).first()[0] == sum(x == y for x, y in zip(a, b))
+    assert frame.select(_collisions(frame.a, frame.b, COORDINATES)).first()[0] == sum(x == y for x, y in zip(a, b))
+
+
+def test_common_counts():
+    random.seed(8)
+    sets = [sorted(random.sample(range(40), random.randint(0, 20))) for _ in range(9)]
+    arrays = [np.array(s, np.uint64) for s in sets]
+    assert _common(arrays[:4], arrays[4:]).tolist() == [[len(set(a) & set(b)) for b in sets[4:]] for a in sets[:4]]
+    assert _common(arrays[:0], arrays).shape == (0, 9)
 
 
 def brute_vectors(vectors, labels, least=0.93):
