@@ -44,7 +44,7 @@ class Machine:
 def train(features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_features: int, place: np.ndarray, factors: int = 4, rounds: int = 400, rate: float = 0.08, decay: float = 1e-6, seed: int = 5) -> Machine:
     """Fit bias, weights and factors by Adam on the mean logistic loss with L2 decay.
 
-    Each round sees a random half of the features, so that each of them has to count alone
+    Each round sees a random three quarters of the features, so that each of them has to count alone
     as well as with the others.
     """
     random = np.random.default_rng(seed)
@@ -53,8 +53,8 @@ def train(features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_featu
     every, owners = features, np.repeat(np.arange(len(lengths)), lengths)
     state = [np.zeros(1), np.zeros(1), np.zeros_like(machine.weights), np.zeros_like(machine.weights), np.zeros_like(machine.factors), np.zeros_like(machine.factors)]
     for step in range(1, rounds + 1 if len(labels) else 0):
-        half = random.random(len(every)) < 0.5
-        features, owner = every[half], owners[half]
+        seen = random.random(len(every)) < 0.75
+        features, owner = every[seen], owners[seen]
         lengths = np.bincount(owner, minlength=len(labels))
         error = (1 / (1 + np.exp(-machine.logits(features, lengths))) - labels) / len(labels)
         by_place = error[owner]
@@ -113,7 +113,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_feat
     place[chosen] = np.arange(len(chosen))
     million = 1_000_000
     share = min(million, million * most_rows // max(1, clean + toxic) + 1)
-    sample = _features(rows.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share).select("id", "toxic", "terms"), place).toPandas().sort_values("id")
+    picked = rows.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share).select("id", "toxic", _only(F.col("terms"), place).alias("terms"))
+    sample = _features(picked, place).toPandas().sort_values("id")
     lists = sample["features"].tolist()
     flat = np.concatenate([*map(np.asarray, lists), np.zeros(0)]).astype(np.int64)
     machine = train(flat, np.array([len(x) for x in lists], np.int64), sample["toxic"].to_numpy(float), len(chosen), place)
@@ -125,7 +126,7 @@ def _features(rows: DataFrame, place: np.ndarray) -> DataFrame:
     """Rows with their terms replaced by the numbers of those that are features."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _short(batches):
             flat, lengths = _picked(batch.column("terms"), place)
             offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["id", "toxic", "features"])
@@ -133,6 +134,17 @@ def _features(rows: DataFrame, place: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, toxic int, features array<int>")
 
 
+def _only(slots: Column, place: np.ndarray) -> Column:
+    """Those slots that are features, so that no others leave the JVM."""
+    return F.array_intersect(slots, F.array(*(F.lit(int(s)) for s in np.flatnonzero(place >= 0))).cast("array<int>"))
+
+
+def _short(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _picked(column: pa.ListArray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = place[column.flatten().to_numpy()]
@@ -147,10 +159,10 @@ def score(docs: DataFrame, machine: Machine, id_column: str = "doc_id", text_col
     judged each by themselves, also with missing or repeated ids; other columns are not read.
     The machine is as large as its slots and features, whatever the data.
     """
-    sets = docs.select(F.col(id_column).alias("id"), terms(F.col(text_column)).alias("terms"))
+    sets = docs.select(F.col(id_column).alias("id"), _only(terms(F.col(text_column)), machine.place).alias("terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _short(batches):
             flat, lengths = _picked(batch.column("terms"), machine.place)
             chance = 1 / (1 + np.exp(-machine.logits(flat, lengths)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))], names=["id", "score", "predicted"])
