@@ -79,15 +79,17 @@ class _Run:
         return dm.with_market_columns(both, PARAMS)
 
     def attributed(self) -> DataFrame:
-        attributes = pl.product_attributes(self.ws, self.reports, PARAMS)
+        rows = pl.demand_rows(self.ws, self.reports)
+        attributes = pl.product_attributes(self.ws, rows, self.reports, PARAMS)
         return sc.with_attributes(self.demand(), attributes)
 
     def demand_scored(self) -> DataFrame:
         return sc.with_demand_score(self.attributed(), PARAMS)
 
     def scored(self) -> DataFrame:
-        attributes = pl.product_attributes(self.ws, self.reports, PARAMS)
-        return self.expanded(pl.scored_demand(self.reports, attributes, PARAMS))
+        rows = pl.demand_rows(self.ws, self.reports)
+        attributes = pl.product_attributes(self.ws, rows, self.reports, PARAMS)
+        return self.expanded(pl.scored_demand(rows, attributes, PARAMS))
 
     def stage1(self, with_moulds: bool = False) -> pl.Ranking:
         reports = self.reports if with_moulds else replace(self.reports, mould=None)

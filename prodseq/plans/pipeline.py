@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,15 +20,25 @@ from prodseq.plans.workspace import Workspace
 from prodseq.sources.reports import Reports
 
 
+def demand_rows(ws: Workspace, reports: Reports) -> DataFrame:
+    """Written demand rows of every date; rows that repeat are held as ``copies``.
+
+    Products, scores and maxima are all taken from this table, so the demand reports are
+    parsed once.
+    """
+    rows = dm.combined_demand(
+        dm.with_top_sku(dm.domestic_signals(reports.bor), reports.bpr),
+        dm.export_rows(reports.bmr),
+    )
+    return ws.write(rows.drop("loc"), "signals")
+
+
 def product_attributes(
-    ws: Workspace, reports: Reports, params: Params, moulds: DataFrame | None = None
+    ws: Workspace, demand: DataFrame, reports: Reports, params: Params, moulds: DataFrame | None = None
 ) -> DataFrame:
     """Written table of one row per date and product in demand."""
-    signals = dm.combined_demand(
-        dm.domestic_signals(reports.bor), dm.export_rows(reports.bmr).drop("copies")
-    )
     table = sc.sku_attributes(
-        signals,
+        demand,
         inv.inventory_score(reports.bpr, params),
         rev.asp_by_sku(reports.dispatch, params),
         rev.cure_time_by_sku(reports.curing),
@@ -38,13 +48,9 @@ def product_attributes(
     return ws.write(table, "attributes")
 
 
-def scored_demand(reports: Reports, attributes: DataFrame, params: Params) -> DataFrame:
+def scored_demand(demand: DataFrame, attributes: DataFrame, params: Params) -> DataFrame:
     """Demand rows with every score; rows that repeat are still held as ``copies``."""
-    rows = dm.combined_demand(
-        dm.with_top_sku(dm.domestic_signals(reports.bor), reports.bpr),
-        dm.export_rows(reports.bmr),
-    ).drop("loc")
-    rows = sc.with_attributes(dm.with_market_columns(rows, params), attributes)
+    rows = sc.with_attributes(dm.with_market_columns(demand, params), attributes)
     return sc.with_consolidated_score(sc.with_demand_score(rows, params), params)
 
 
@@ -73,8 +79,11 @@ def stage1(ws: Workspace, reports: Reports, params: Params) -> Ranking:
         summary = dp.mould_summary(reports.mould, params)
         moulds, seen = ws.write_measured(summary, "moulds", n=F.count(F.lit(1)))
         mould_rows = seen["n"]
-    attributes = product_attributes(ws, reports, params, moulds)
-    rows = stored_rows(ws, scored_demand(reports, attributes, params), "demand")
+    # two steps read the buffer report: its used columns are parsed once
+    reports = replace(reports, bpr=ws.write(reports.bpr, "buffer"))
+    demand = demand_rows(ws, reports)
+    attributes = product_attributes(ws, demand, reports, params, moulds)
+    rows = stored_rows(ws, scored_demand(demand, attributes, params), "demand")
     score = rounded(F.col("consolidated"), params.rank_scale)
     ranked = rows.using(with_rank(rows, score, "demand_rank"))
     return Ranking(ranked, attributes.select("report_date", "sku"), moulds, mould_rows)

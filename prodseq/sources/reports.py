@@ -57,6 +57,12 @@ class Report:
         folder, name = self.path.rsplit("/", 1)
         return f"{folder}/*{name.replace('{date}', choice)}"
 
+    def day_of(self, path: str) -> date:
+        """The same on the driver, for the path of a file or folder."""
+        before, after = self.path.rsplit("/", 1)[1].split("{date}")
+        name = path.replace("%20", " ").rsplit("/", 1)[1]
+        return _unspelled(name[len(name) - len(after) - len(self.style) : len(name) - len(after)], self.style)
+
     def date_in(self, path: Column) -> Column:
         """Date written in a file path (blanks may be percent-encoded there)."""
         digits = "".join(r"\d" if ch.isalpha() else ch for ch in self.style)
@@ -65,6 +71,11 @@ class Report:
         return F.try_to_timestamp(found, F.lit(self.style)).cast("date")
 
 
+def _unspelled(text: str, style: str) -> date:
+    part = {k: int(text[style.index(k) : style.index(k) + len(k)]) for k in ("yyyy", "MM", "dd")}
+    return date(part["yyyy"], part["MM"], part["dd"])
+
+
 def _spell(d: date, style: str) -> str:
     return style.replace("yyyy", f"{d.year:04d}").replace("MM", f"{d.month:02d}").replace(
         "dd", f"{d.day:02d}"
@@ -181,13 +192,11 @@ def read_csv(
         absent = [n for n in report.columns if n not in names]
         if absent:
             raise ValueError(f"report {report.kind} lacks columns {absent}: {paths[0]}")
-        # a place keeps its name only if it is used, so that other names may repeat
-        places = {names.index(n): n for n in report.columns}
-        width = max(places) + 1
-        cells = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
-        read = spark.read.schema(cells).options(**report.options(), header="true").csv(paths)
+        # part files of one date share its header: another order there is an error, not a shift
+        cells = StructType([StructField(n, StringType()) for n in names])
+        read = spark.read.schema(cells).options(**report.options(), header="true", enforceSchema="false").csv(paths)
         dated = [] if report.style is None else [report.date_in(F.col("_metadata.file_path")).alias("report_date")]
-        return read.select(*dated, *[F.col(f"_c{i}").alias(n) for i, n in places.items()])
+        return read.select(*dated, *[F.col(f"`{n}`") for n in report.columns])
 
     return typed(reduce(DataFrame.unionByName, [scan(n, p) for n, p in sorted(shapes.items())]), report)
 
@@ -208,7 +217,7 @@ def read_promoted(
         rows = (next(csv.reader([line]), []) for line in _heads(spark, path, report, HEAD_LINES))
         cells = next((r for r in rows if set(names) <= set(r)), None)
         if cells is None:
-            raise ValueError(f"no header row in report {report.kind}: {path}")
+            raise ValueError(f"no header row in report {report.kind} of {report.day_of(path)}")
         shapes.setdefault(tuple(cells.index(n) for n in names), []).append(path)
     if not shapes:
         raise FileNotFoundError(f"no file of report {report.kind}: {base}/{report.glob(dates)}")
