@@ -33,7 +33,7 @@ def _shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder
     master = spark.conf.get("spark.master", "")
-    if master.startswith("local"):
+    if master == "local" or master.startswith("local["):
         return tempfile.mkdtemp(prefix="prodseq-")
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
