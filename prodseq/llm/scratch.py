@@ -19,7 +19,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            if not spark.sparkContext.master.startswith("local"):
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="prodseq-llm-")
         self.spark = spark
