@@ -15,6 +15,7 @@ GHOST_MARKET = "RE"
 GHOST_CURE_TIME = 20.0
 GHOST_SHARE_OF_LOWEST = 0.5
 
+# Columns whose missing numbers become 0.
 ZERO_FILLED = [
     "norm", "virtual_norm", "adjusted_target", "stock", "requirement", "penetration",
     "norm_penetration", "norm_requirement", "inventory", "norm_inventory", "demand_score",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from prodseq.functions import case_of
 from prodseq.plans.params import LOCATION_TYPES, Params
 
+# Colours that count as stock-out.
 COLOURS = ["Black", "Red"]
 
 

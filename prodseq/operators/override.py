@@ -30,6 +30,7 @@ MANUAL_COLUMNS = {
 }
 REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 
+# Columns whose missing numbers become 0, and whose missing texts become empty.
 ZERO_FILLED = [
     *STAGE2_ZERO_FILLED,
     "prior_requirement", "manual_requirement", "manual_score", "highest_priority", "manual_rank",

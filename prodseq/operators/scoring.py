@@ -10,7 +10,7 @@ from prodseq.operators.deployment import with_machines
 from prodseq.operators.revenue import with_revenue
 from prodseq.plans.params import Params
 
-# Numeric columns that read 0 where the demand row has no value.
+# Numeric columns that read 0 where the demand row has no value.
 ZERO_FILLED = [
     "size", "norm", "virtual_norm", "adjusted_target", "stock", "requirement", "penetration",
     "norm_penetration", "norm_requirement", "top_flag", "market_weight", "demand_score",

@@ -123,6 +123,8 @@ class Override:
 
 
 def prepare_override(ws: Workspace, gaps: Rows, manual: DataFrame) -> Override:
+    # manual and automated parts both read the ranked rows
+    gaps = gaps.using(ws.write(gaps.df, "gaps"))
     dates = gaps.df.select("report_date").distinct()
     entries = ov.with_manual_score(ov.clean_manual(manual))
     # One row per calendar day on the broadcast side.

@@ -91,7 +91,6 @@ def run_stage3(spark: SparkSession, job: Job) -> DataFrame:
         reports = read_reports(spark, job.data, dates)
         job.check(reports)
         gaps = stage2(ws, stage1(ws, reports, params), params)
-        gaps = gaps.using(ws.write(gaps.df, "gaps"))
         final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
         write_report(final, layouts.STAGE3, f"{job.out}/{STAGE3_OUTPUT}", "final_rank", job.fmt)
         return _kept(spark, sm.stage3_summary(final), f"{job.out}/{STAGE3_OUTPUT}_summary")
