@@ -97,7 +97,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_feat
     scratch = Scratch(docs.sparkSession, "toxicity")
     marked = labels.filter(~held_out(id_column)).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("toxic")).filter("toxic IS NOT NULL")
     sets = docs.filter(~held_out(id_column)).select(F.col(id_column).alias("id"), terms(F.col(text_column)).alias("terms"))
-    joined = sets.join(marked, "id").select("id", "toxic", "terms", F.array_min("terms").alias("least"), F.array_max("terms").alias("greatest"))
+    # labels grow with the documents, so both sides are shuffled at every size
+    joined = sets.join(marked.hint("merge"), "id").select("id", "toxic", "terms", F.array_min("terms").alias("least"), F.array_max("terms").alias("greatest"))
     rows = scratch.write(joined.dropDuplicates(["toxic", "least", "greatest"]).select("id", "toxic", "terms"), "labelled")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
