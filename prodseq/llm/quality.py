@@ -86,6 +86,8 @@ def ledger(docs: DataFrame, text_column: str = "text") -> DataFrame:
         .withColumn("n", F.size("words"))
         .select(
             "row",
+            # a generator: filters on measurements stay above it and measure nothing again
+            F.explode(F.array(F.struct(
             F.col("n").cast("long").alias("n_words"),
             F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -93,8 +95,10 @@ def ledger(docs: DataFrame, text_column: str = "text") -> DataFrame:
             F.size("lines").cast("long").alias("n_lines"),
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
             _repeat_words(F.col("words"), F.col("n")).cast("long").alias("n_repeat_words"),
+            ))).alias("m"),
         )
-    )
+        .select("row", "m.*")
+    )
     bits = [F.when(F.expr(rule.fails), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long") for bit, rule in enumerate(RULES)]
     total = bits[0]
     for bit in bits[1:]:
