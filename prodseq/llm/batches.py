@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from prodseq.llm.shipping import send_package
+
 #: Text bytes worked on at once in a task; one longer text makes a slice of its own.
 SLICE_BYTES = 4 << 20
 
@@ -38,6 +40,7 @@ def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.Reco
 
     All columns but the text are passed through in front of the new ones.
     """
+    send_package(frame.sparkSession)
     kept = columns[:-1]
     source = frame.select(*(F.col(c) for c in columns))
     made_fields = StructType.fromDDL(schema).fields

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from prodseq.llm.shipping import send_package
+
 
 class Scratch:
     """A folder below ``spark.checkpoint.dir`` for the written tables of one operator call.
@@ -23,6 +25,7 @@ class Scratch:
             if master != "local" and not master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="prodseq-llm-")
+        send_package(spark)
         self.spark = spark
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self._count = 0
