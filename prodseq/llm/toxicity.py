@@ -86,8 +86,7 @@ def terms(text: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_features: int = 2048, least_seen: int = 8, least_z: float = 6.0, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
     """Choose features over all labelled rows and fit on up to about ``most_rows`` of them.
 
-    Slots are counted by label over every labelled row that may be learned from, where rows
-    with equal label, least and greatest slot (near copies, as a rule) count once. The
+    Slots are counted by label over every labelled row that may be learned from. The
     ``most_features`` whose rates differ most between the labels, seen ``least_seen`` times or
     more and ``least_z`` standard errors apart, become features. The fit
     then takes rows by a hash of their id: the bound is on this sample only. Labels that
@@ -98,8 +97,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_feat
     marked = labels.filter(~held_out(id_column)).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("toxic")).filter("toxic IS NOT NULL")
     sets = docs.filter(~held_out(id_column)).select(F.col(id_column).alias("id"), terms(F.col(text_column)).alias("terms"))
     # labels grow with the documents, so both sides are shuffled at every size
-    joined = sets.join(marked.hint("merge"), "id").select("id", "toxic", "terms", F.array_min("terms").alias("least"), F.array_max("terms").alias("greatest"))
-    rows = scratch.write(joined.dropDuplicates(["toxic", "least", "greatest"]).select("id", "toxic", "terms"), "labelled")
+    joined = sets.join(marked.hint("merge"), "id").select("id", "toxic", "terms")
+    rows = scratch.write(joined, "labelled")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
     rate = lambda c, of: (c + 0.5) / F.lit(of + 1.0)

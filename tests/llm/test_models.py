@@ -4,11 +4,12 @@ import zlib
 
 import numpy as np
 from odd import ODD, documents, local, table
+from pyspark.sql import functions as F
 
 from prodseq.llm import queries
 from prodseq.llm.language import UNKNOWN, Network, keep_known_language, label_texts, learn, predict
 from prodseq.llm.toxicity import learn as learn_toxic
-from prodseq.llm.toxicity import score, train
+from prodseq.llm.toxicity import score, terms, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -98,3 +99,16 @@ def test_toxicity_odd_rows(spark):
     assert len(rows) == len(ODD) and score(docs.limit(0), machine).count() == 0
     nothing = learn_toxic(docs, labels.limit(0))
     assert {r.score for r in score(docs, nothing).collect()} == {0.5}
+
+
+def test_toxicity_counts_texts_that_share_their_extreme_slots(spark):
+    # every text holds the words of the least and the greatest slot
+    names = [f"w{k}" for k in range(2000)]
+    slots = {r.w: r.s[0] for r in spark.createDataFrame([(w,) for w in names], "w string").select("w", terms(F.col("w")).alias("s")).collect()}
+    order = sorted(names, key=slots.get)
+    least, greatest, inner = order[0], order[-1], order[1:-1]
+    texts = [f"{least} {greatest} {inner[k]} {inner[-1] if k % 2 else inner[-2]}" for k in range(400)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
+    rows = local(score(docs, learn_toxic(docs, labels))).set_index("doc_id")
+    assert (rows["predicted"] == rows.index % 2).all()
