@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prodseq.llm.language import held_out
-from prodseq.llm.scratch import Scratch
+from prodseq.llm.shipping import send_package
 
 #: Slots that terms are hashed to.
 SLOTS = 1 << 18
@@ -19,13 +19,12 @@ SLOTS = 1 << 18
 
 @dataclass
 class Machine:
-    """``place[slot]`` is a feature's number or -1; weights, factors and bias by feature.
+    """A weight and a row of factors for every slot, and the bias.
 
-    The score of a set of features is the bias, their weights and, for every pair, the
+    The score of a set of slots is the bias, their weights and, for every pair, the
     product of their factor rows; a logistic curve makes it a chance.
     """
 
-    place: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
     bias: float
@@ -33,48 +32,79 @@ class Machine:
     def logits(self, features: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Scores of many feature lists laid end to end."""
         owner = np.repeat(np.arange(len(lengths)), lengths)
-        total = np.full(len(lengths), self.bias)
-        total += np.bincount(owner, weights=self.weights[features], minlength=len(lengths))
-        for f in range(self.factors.shape[1]):
-            v = self.factors[features, f]
-            total += 0.5 * (np.bincount(owner, weights=v, minlength=len(lengths)) ** 2 - np.bincount(owner, weights=v * v, minlength=len(lengths)))
-        return total
+        return self.bias + _raised(self.weights[features], self.factors[features], owner, len(lengths))[0]
 
 
-def train(features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_features: int, place: np.ndarray, factors: int = 4, rounds: int = 400, rate: float = 0.08, decay: float = 1e-6, seed: int = 5) -> Machine:
-    """Fit bias, weights and factors by Adam on the mean logistic loss with L2 decay.
+def _raised(weights: np.ndarray, factors: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the features of each owner add to its score, and the sums of their factors."""
+    sums = np.stack([np.bincount(owner, weights=v, minlength=n) for v in factors.T], axis=1)
+    own = np.bincount(owner, weights=weights - 0.5 * (factors * factors).sum(axis=1), minlength=n)
+    return own + 0.5 * (sums * sums).sum(axis=1), sums
 
-    Each round sees a random three quarters of the features, so that each of them has to count alone
-    as well as with the others.
+
+def train(
+    features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_features: int, place: np.ndarray | None = None, factors: int = 4, rounds: int | None = None, batch: int = 256,
+    rate: float = 0.5, pressure: float = 0.8, shrink: float = 2.0, start_size: float = 0.2, decay: float = 1e-4, seed: int = 5,
+) -> Machine:
+    """Fit every feature's weight and factors, and the bias, on the mean logistic loss.
+
+    Weights follow the regularised leader: a weight leaves zero once the mean gradient exceeds
+    ``pressure`` times what chance would give a feature that is seen as often. After four
+    tenths of the rounds those that left are no longer held back. A row of factors shrinks by
+    ``shrink`` times the gradient that chance would give it; it needs no weight of its own.
+    Few rows are seen in up to 40 rounds, many in 12. Each step sees a random three quarters of the features, so that each of them has to
+    count alone as well as with the others.
     """
     random = np.random.default_rng(seed)
-    share = np.clip(labels.mean() if len(labels) else 0.5, 1e-3, 1 - 1e-3)
-    machine = Machine(place, np.zeros(n_features), random.standard_normal((n_features, factors)) * 0.01, float(np.log(share / (1 - share))))
-    every, owners = features, np.repeat(np.arange(len(lengths)), lengths)
-    state = [np.zeros(1), np.zeros(1), np.zeros_like(machine.weights), np.zeros_like(machine.weights), np.zeros_like(machine.factors), np.zeros_like(machine.factors)]
-    for step in range(1, rounds + 1 if len(labels) else 0):
-        seen = random.random(len(every)) < 0.75
-        features, owner = every[seen], owners[seen]
-        lengths = np.bincount(owner, minlength=len(labels))
-        error = (1 / (1 + np.exp(-machine.logits(features, lengths))) - labels) / len(labels)
-        by_place = error[owner]
-        d_weights = np.bincount(features, weights=by_place, minlength=n_features) + decay * machine.weights
-        d_factors = np.empty_like(machine.factors)
-        for f in range(factors):
-            v = machine.factors[features, f]
-            sums = np.bincount(owner, weights=v, minlength=len(lengths))[owner]
-            d_factors[:, f] = np.bincount(features, weights=by_place * (sums - v), minlength=n_features)
-        d_factors += 100 * decay * machine.factors
-        moved = []
-        for k, gradient in enumerate((np.array([error.sum()]), d_weights, d_factors)):
-            m, v = state[2 * k], state[2 * k + 1]
-            m += 0.1 * (gradient - m)
-            v += 0.001 * (gradient**2 - v)
-            moved.append(rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8))
-        machine.bias -= float(moved[0][0])
-        machine.weights -= moved[1]
-        machine.factors -= moved[2] / 4
-    return machine
+    n = len(labels)
+    rounds = int(np.clip(600 * batch // max(n, 1), 12, 40)) if rounds is None else rounds
+    share = np.clip(labels.mean() if n else 0.5, 1e-3, 1 - 1e-3)
+    used = np.bincount(features, minlength=n_features) if n else np.zeros(n_features)
+    weights, bias = np.zeros(n_features), float(np.log(share / (1 - share)))
+    # longer texts hold more pairs, so that their sum starts alike
+    small = start_size / np.sqrt(factors * max(1.0, len(features) / max(n, 1)))
+    rows = random.standard_normal((n_features, factors)) * small * (used > 0)[:, None]
+    chance = pressure * (np.sqrt(used * share * (1 - share)) + 1) / max(n, 1)
+    pulled, squares, row_squares, bias_squares = np.zeros(n_features), np.zeros(n_features), np.full(n_features, 1e-8), 1.0
+    held, kept_back, step = np.ones(n_features, bool), 0, 0
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+
+    def leader(u: np.ndarray) -> np.ndarray:
+        over = np.abs(pulled[u]) - chance[u] * np.where(held[u], step, kept_back)
+        return np.where(over > 0, -np.sign(pulled[u]) * over / (np.sqrt(squares[u]) / rate + 0.1), 0)
+
+    for number in range(rounds if n else 0):
+        if number == rounds * 4 // 10:
+            kept_back = step
+            held = np.abs(pulled) <= chance * step
+        order = random.permutation(n)
+        for start in range(0, n, batch):
+            picked = order[start : start + batch]
+            owner = np.repeat(np.arange(len(picked)), lengths[picked])
+            flat = np.concatenate([features[starts[i] : starts[i + 1]] for i in picked])
+            seen = random.random(len(flat)) < 0.75
+            owner = owner[seen]
+            u, at = np.unique(flat[seen], return_inverse=True)
+            step += 1
+            w, v = leader(u), rows[u]
+            added, sums = _raised(w[at], v[at], owner, len(picked))
+            error = (1 / (1 + np.exp(-np.clip(bias + added, -30, 30))) - labels[picked]) / len(picked)
+            by_place = error[owner]
+            d_w = np.bincount(at, weights=by_place, minlength=len(u))
+            d_v = np.stack([np.bincount(at, weights=by_place * s[owner], minlength=len(u)) for s in sums.T], axis=1) - d_w[:, None] * v + decay * v
+            more = squares[u] + d_w**2
+            pulled[u] += d_w - (np.sqrt(more) - np.sqrt(squares[u])) / rate * w
+            squares[u] = more
+            row_squares[u] += (d_v**2).sum(axis=1)
+            pace = 0.6 * small / np.sqrt(row_squares[u])
+            v = v - pace[:, None] * d_v
+            size = np.maximum(np.sqrt((v * v).sum(axis=1)), 1e-12)
+            around = np.sqrt((sums * sums).sum(axis=1).mean())
+            rows[u] = v * np.maximum(0, 1 - shrink * chance[u] * around * pace / size)[:, None]
+            bias_squares += error.sum() ** 2
+            bias -= 0.1 * float(error.sum()) / np.sqrt(bias_squares)
+    weights = leader(np.arange(n_features))
+    return Machine(weights, rows, bias)
 
 
 def terms(text: Column) -> Column:
@@ -83,73 +113,38 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(SLOTS)).cast("int")))
 
 
-def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, most_features: int = 2048, least_seen: int = 8, least_z: float = 6.0, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
-    """Choose features over all labelled rows and fit on up to about ``most_rows`` of them.
+def learn(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic") -> Machine:
+    """Fit a weight and factors for every slot on up to about ``most_rows`` labelled rows.
 
-    Slots are counted by label over every labelled row that may be learned from. The
-    ``most_features`` whose rates differ most between the labels, seen ``least_seen`` times or
-    more and ``least_z`` standard errors apart, become features. The fit
-    then takes rows by a hash of their id: the bound is on this sample only. Labels that
-    disagree count as toxic; rows without label or id are not used. Without any labelled row
-    every score is one half.
+    The fit takes rows by a hash of their id: the bound is on this sample only, and no term
+    of a sampled row is left out. Labels that disagree count as toxic; rows without label or
+    id are not used. Without any labelled row every score is one half.
     """
-    scratch = Scratch(docs.sparkSession, "toxicity")
+    send_package(docs.sparkSession)
     marked = labels.filter(~held_out(id_column)).groupBy(F.col(id_column).alias("id")).agg(F.max(F.col(label_column).cast("int")).alias("toxic")).filter("toxic IS NOT NULL")
-    sets = docs.filter(~held_out(id_column)).select(F.col(id_column).alias("id"), terms(F.col(text_column)).alias("terms"))
+    texts = docs.filter(~held_out(id_column)).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     # labels grow with the documents, so both sides are shuffled at every size
-    joined = sets.join(marked.hint("merge"), "id").select("id", "toxic", "terms")
-    rows = scratch.write(joined, "labelled")
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    clean, toxic = n.get(0, 0), n.get(1, 0)
-    rate = lambda c, of: (c + 0.5) / F.lit(of + 1.0)
-    spread = rate(F.col("seen"), clean + toxic) * (1 - rate(F.col("seen"), clean + toxic) / 1.0001) * (1.0 / (clean + 1) + 1.0 / (toxic + 1))
-    counted = rows.select("toxic", F.explode("terms").alias("slot")).groupBy("slot").agg(F.sum("toxic").alias("hits"), F.count("*").alias("seen"))
-    chosen = (
-        counted.filter(F.col("seen") >= least_seen)
-        .withColumn("z", F.abs(rate(F.col("hits"), toxic) - rate(F.col("seen") - F.col("hits"), clean)) / F.sqrt(spread))
-        .filter(F.col("z") >= least_z).orderBy(F.desc("z"), "slot").limit(most_features).select("slot").toPandas()["slot"].to_numpy()
-    )
-    place = np.full(SLOTS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
+    n = texts.select("id").join(marked.hint("merge"), "id").count()
     million = 1_000_000
-    share = min(million, million * most_rows // max(1, clean + toxic) + 1)
-    picked = rows.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share).select("id", "toxic", _only(F.col("terms"), place).alias("terms"))
-    sample = _features(picked, place).toPandas().sort_values("id")
-    lists = sample["features"].tolist()
-    flat = np.concatenate([*map(np.asarray, lists), np.zeros(0)]).astype(np.int64)
-    machine = train(flat, np.array([len(x) for x in lists], np.int64), sample["toxic"].to_numpy(float), len(chosen), place)
-    scratch.drop(rows)
-    return machine
-
-
-def _features(rows: DataFrame, place: np.ndarray) -> DataFrame:
-    """Rows with their terms replaced by the numbers of those that are features."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _short(batches):
-            flat, lengths = _picked(batch.column("terms"), place)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["id", "toxic", "features"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, toxic int, features array<int>")
-
+    share = min(million, million * most_rows // max(1, n) + 1)
+    sampled = lambda rows: rows.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share)
+    joined = sampled(texts).join(sampled(marked).hint("merge"), "id")
+    sample = joined.select("id", "toxic", terms(F.col("text")).alias("terms")).toArrow().sort_by("id")
+    lists = sample["terms"].combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return train(lists.flatten().to_numpy(), lengths, sample["toxic"].to_numpy().astype(float), SLOTS)
 
-def _only(slots: Column, place: np.ndarray) -> Column:
-    """Those slots that are features, so that no others leave the JVM."""
-    return F.array_intersect(slots, F.array(*(F.lit(int(s)) for s in np.flatnonzero(place >= 0))).cast("array<int>"))
 
-
-def _short(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _short(batches: Iterator[pa.RecordBatch], rows: int = 512, slots: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of up to so many rows and slots; a row with more stands alone."""
     for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
-def _picked(column: pa.ListArray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = place[column.flatten().to_numpy()]
-    owner = np.repeat(np.arange(len(lengths)), lengths)[flat >= 0]
-    return flat[flat >= 0], np.bincount(owner, minlength=len(lengths))
+        ends = np.cumsum(batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            end = min(start + rows, max(start + 1, int(np.searchsorted(ends, before + slots, side="right"))))
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def score(docs: DataFrame, machine: Machine, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -157,14 +152,16 @@ def score(docs: DataFrame, machine: Machine, id_column: str = "doc_id", text_col
 
     A missing or empty text has no terms and gets the chance of the bias alone. Rows are
     judged each by themselves, also with missing or repeated ids; other columns are not read.
-    The machine is as large as its slots and features, whatever the data.
+    The machine is as large as its slots, whatever the data.
     """
-    sets = docs.select(F.col(id_column).alias("id"), _only(terms(F.col(text_column)), machine.place).alias("terms"))
+    send_package(docs.sparkSession)
+    sets = docs.select(F.col(id_column).alias("id"), terms(F.col(text_column)).alias("terms"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _short(batches):
-            flat, lengths = _picked(batch.column("terms"), machine.place)
-            chance = 1 / (1 + np.exp(-machine.logits(flat, lengths)))
+            column = batch.column("terms")
+            lengths = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            chance = 1 / (1 + np.exp(-machine.logits(column.flatten().to_numpy(), lengths)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(chance), pa.array((chance >= 0.5).astype(np.int32))], names=["id", "score", "predicted"])
 
     made = sets.mapInArrow(run, f"id {sets.schema['id'].dataType.simpleString()}, score double, predicted int")

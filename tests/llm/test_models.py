@@ -112,3 +112,14 @@ def test_toxicity_counts_texts_that_share_their_extreme_slots(spark):
     labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, toxic int")
     rows = local(score(docs, learn_toxic(docs, labels))).set_index("doc_id")
     assert (rows["predicted"] == rows.index % 2).all()
+
+
+def test_toxicity_learns_terms_that_are_toxic_only_together(spark):
+    # each term alone is as frequent in clean as in toxic texts
+    kinds = ["", "alpha", "beta", "alpha beta"]
+    fillers = np.random.default_rng(2).integers(0, 58, (4000, 6))
+    docs = spark.createDataFrame([(k, f"{kinds[k % 4]} {' '.join(f'f{x}' for x in fillers[k])}") for k in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 in (0, 3))) for k in range(4000)], "doc_id long, toxic int")
+    rows = local(score(docs, learn_toxic(docs, labels))).set_index("doc_id")
+    chance = [rows[rows.index % 4 == k]["score"].mean() for k in range(4)]
+    assert chance[3] > 0.55 and max(chance[1:3]) < 0.5
