@@ -17,8 +17,10 @@ from prodseq.llm.scratch import Scratch
 
 #: Vectors of one shard, about; a label with more is split by a hash.
 SHARD_ROWS = 8192
-#: Links of an audit's sample that the search must find, and the beam it starts with.
+#: Rows with links in an audit's sample whose links must all be found, and the beam it starts with.
 RECALL, BEAM = 0.99, 32
+#: Rows with links that an audit sees on each side, if there are as many.
+LINKED = 100
 #: What 32-bit vectors may be off; pairs are decided in double precision.
 MARGIN = 1e-5
 
@@ -55,30 +57,39 @@ class Shard:
 def links_between(a: Shard, b: Shard, least: float, recall: float = RECALL, beam: int = BEAM) -> tuple[np.ndarray, float]:
     """Links of two shards as a truth table, and the last audit's recall.
 
-    Each side searches the other's graph. The audit compares every 64th vector (32 at least)
-    of both sides with all of the other. If too few of its links were found, the beam is
-    doubled and the walk around what it finds widened; a beam as large as the shard is
-    replaced by comparing all. The audit's own links are kept.
+    Each side searches the other's graph. The audit compares rows of both sides, in steps over
+    the shard, with all of the other until ``LINKED`` rows of a side have a link or no row is
+    left; a side without any link has then been compared in whole. Recall is the share of rows
+    with links whose links were all found. If it is too small, the beam is doubled and the walk
+    around what it finds widened; a beam as large as the shard is replaced by comparing all.
+    The audit's own links are kept.
     """
     same = a is b
     sides = [(a, b)] if same else [(a, b), (b, a)]
-    audits = []
+    audits, slack, whole = [], 0.0, False
     for asking, asked in sides:
-        every = max(1, min(64, len(asking.nodes) // 32))
-        rows = np.arange(0, len(asking.nodes), every)
-        audits.append((rows, asked.exact(asking.vectors[rows], least)))
-    slack = 0.0
-    while True:
+        audits.append(_audit(asking, asked, least, same))
+        whole = len(audits[-1][0]) == len(asking.nodes)
+        if whole:
+            break
+    while not whole:
         wide = beam >= max(len(a.nodes), len(b.nodes))
         tables = [asked.exact(asking.vectors, least) if wide else asked.found(asking.vectors, least, beam, slack) for asking, asked in sides]
         linked = tables[0] | (tables[0].T if same else tables[1].T)
-        expected = sum(int(truth.sum()) for _, truth in audits)
-        got = 0
+        expected = got = 0
         for (rows, truth), turned in zip(audits, (linked, linked.T), strict=False):
-            got += int((truth & turned[rows]).sum())
+            counted = truth.copy()
+            if same:
+                counted[np.arange(len(rows)), rows] = False
+            has = counted.any(axis=1)
+            expected += int(has.sum())
+            got += int((has & ~(counted & ~turned[rows]).any(axis=1)).sum())
         if wide or got >= recall * expected:
             break
         beam, slack = beam * 2, slack + 0.03
+    else:
+        # a side was compared in whole, which has all links
+        linked, expected, got = np.zeros((len(a.nodes), len(b.nodes)), bool), 0, 0
     for (rows, truth), side in zip(audits, range(2), strict=False):
         if side == 0:
             linked[rows] |= truth
@@ -91,6 +102,23 @@ def links_between(a: Shard, b: Shard, least: float, recall: float = RECALL, beam
     return linked, 1.0 if not expected else got / expected
 
 
+def _audit(asking: Shard, asked: Shard, least: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a side and their true links: every 64th row, then more until enough have a link."""
+    n = len(asking.nodes)
+    every = max(1, min(64, n // 32))
+    rows, truths, seen = [], [], 0
+    for first in range(every):
+        part = np.arange(first, n, every)
+        truth = asked.exact(asking.vectors[part], least)
+        rows.append(part)
+        truths.append(truth)
+        others = truth.sum(axis=1) - (truth[np.arange(len(part)), part] if same else 0)
+        seen += int((others > 0).sum())
+        if seen >= LINKED:
+            break
+    return np.concatenate(rows), np.concatenate(truths)
+
+
 def _roots(a: Shard, b: Shard, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The smallest node that each node of either side reaches within the table."""
     left, right = a.nodes.copy(), (a.nodes.copy() if a is b else b.nodes.copy())

@@ -173,3 +173,24 @@ def test_audit_widens_until_links_are_found():
     np.fill_diagonal(truth, False)
     linked, recall = links_between(shard, shard, 0.6, recall=1.0, beam=2)
     assert recall == 1.0 and not (linked & ~truth).any() and linked.sum() >= 0.99 * truth.sum()
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_audit_sees_sparse_links(hot):
+    # few rows have a link, or one hot group has nearly all; the search finds the hot ones only
+    random_ = np.random.default_rng(1)
+    left, right = random_.standard_normal((2, 1280, 48))
+    left[1 : hot + 1], right[1 : hot + 1] = left[0], left[0]
+    pairs = np.arange(401, 1280, 8)
+    right[pairs] = left[pairs] + 0.01 * random_.standard_normal((len(pairs), 48))
+    a, b = (Shard(_stored(np.arange(1280) + k, np.ones(1280, int), v / np.linalg.norm(v, axis=1, keepdims=True))) for k, v in ((0, left), (5000, right)))
+    truth = b.exact(a.vectors, 0.93)
+    for shard in (a, b):
+
+        def found(asking, least, beam, slack, shard=shard):
+            linked = shard.exact(asking, least)
+            return linked if beam > 64 else linked & (linked.sum(axis=1, keepdims=True) > 1)
+
+        shard.found = found
+    linked, _ = links_between(a, b, 0.93)
+    assert truth.any() and (linked == truth).all()
