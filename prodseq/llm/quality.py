@@ -200,3 +200,15 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
   CASE fail_bits & {mask(CURRENT)} {" ".join(f"WHEN {1 << bit} THEN '{rule.name}'" for bit, rule in enumerate(RULES))} END AS sole_failure
 FROM b
 """
+
+#: The ablations as DuckDB SQL over the documents table.
+ABLATION_SQL = f"""
+WITH v AS ({VERDICTS_SQL}),
+s(policy, rule, mask, bit) AS (VALUES {", ".join(f"('{policy}', '{rule.name}', {mask(policy)}, {1 << bit})" for policy, names in POLICIES.items() for bit, rule in enumerate(RULES) if rule.name in names)})
+SELECT s.policy AS policy, s.rule AS rule, count(*) AS n_rows,
+  count(*) FILTER (WHERE (fail_bits & bit) <> 0) AS n_failed,
+  count(*) FILTER (WHERE (fail_bits & mask) = bit) AS n_sole,
+  count(*) FILTER (WHERE (fail_bits & mask) = 0) AS n_kept,
+  count(*) FILTER (WHERE (fail_bits & (mask - bit)) = 0) AS n_kept_without
+FROM v, s GROUP BY s.policy, s.rule
+"""

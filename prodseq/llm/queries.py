@@ -23,6 +23,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.quality import ablation, ledger
+
+    return ablation(ledger(_table(spark, sf_dir, "documents")))
+
+
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from prodseq.llm.embeddings import near_duplicates
 
@@ -82,6 +88,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op1_ablation": op1_ablation,
         "op2_embeddings": op2_embeddings,
         "op3_pieces": op3_pieces,
         "op4_token_counts": op4_token_counts,
@@ -95,7 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from prodseq.llm.quality import VERDICTS_SQL
+    from prodseq.llm.quality import ABLATION_SQL, VERDICTS_SQL
     from prodseq.llm.secrets import DIGEST_SQL
 
-    return {"op1_quality": VERDICTS_SQL, "op6_secrets": DIGEST_SQL}
+    return {"op1_quality": VERDICTS_SQL, "op1_ablation": ABLATION_SQL, "op6_secrets": DIGEST_SQL}

@@ -97,3 +97,13 @@ def test_candidates_come_from_postings(spark):
     found = {r.key: set(r.rules) for r in candidates(texts).collect()}
     assert found[1] == {"assign"} and found[2] == {"access"} and 3 not in found and found[5] == {"key_block", "web_token"}
     assert candidates(texts.limit(0)).count() == 0
+
+
+def test_ablation_query_equals_sql(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.queries()["op1_ablation"](spark, sf)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    expected = con.execute(queries.oracle_sql()["op1_ablation"])
+    assert rows.columns == [d[0] for d in expected.description]
+    assert sorted(map(tuple, rows.collect())) == sorted(expected.fetchall())
