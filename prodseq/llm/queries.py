@@ -18,12 +18,14 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.max_sketches import RANKED_SQL
     from prodseq.llm.quality import verdicts
 
     return verdicts(_table(spark, sf_dir, "documents"))
 
 
 def op1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.max_sketches import RANKED_SQL
     from prodseq.llm.quality import ablation, ledger
 
     return ablation(ledger(_table(spark, sf_dir, "documents")))
@@ -85,6 +87,25 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.max_sketches import rank_documents
+
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.periodic_runs import run_digest
+
+    return run_digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from prodseq.llm.neighbour_votes import learn, score
+
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, learn(docs, _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -98,11 +119,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_minhash": op9_minhash,
         "op10_personal_data": op10_personal_data,
+        "op11_search": op11_search,
+        "op12_runs": op12_runs,
+        "op13_quality_votes": op13_quality_votes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    from prodseq.llm.max_sketches import RANKED_SQL
     from prodseq.llm.quality import ABLATION_SQL, VERDICTS_SQL
     from prodseq.llm.secrets import DIGEST_SQL
 
-    return {"op1_quality": VERDICTS_SQL, "op1_ablation": ABLATION_SQL, "op6_secrets": DIGEST_SQL}
+    return {"op1_quality": VERDICTS_SQL, "op1_ablation": ABLATION_SQL, "op6_secrets": DIGEST_SQL, "op11_search": RANKED_SQL}

@@ -30,15 +30,18 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of lower-cased (A-Z) texts end to end, and words per text.
+    """Hashes of all words of lower-cased (A-Z) texts end to end, and words per text."""
+    return hashes_of_runs([t.encode().lower() for t in texts])
 
-    A word is a run of bytes other than space and bytes 9 to 13. Its hash is taken from
-    one running polynomial sum over the batch.
+
+def hashes_of_runs(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of bytes other than space and bytes 9 to 13, and runs per entry.
+
+    A run's hash is taken from one running polynomial sum over all entries.
     """
-    raw = [t.encode().lower() for t in texts]
     flat = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     if not len(flat):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(raw), np.int64)
     inside = ~((flat == 32) | ((flat >= 9) & (flat <= 13)))
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
