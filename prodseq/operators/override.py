@@ -9,6 +9,7 @@ from prodseq.functions import number, rim_size, rounded, strip
 from prodseq.operators.deployment import ZERO_FILLED as STAGE2_ZERO_FILLED
 from prodseq.operators.ranking import Rows, tie_break, with_row_number
 from prodseq.plans.workspace import SALT
+from prodseq.sources.reports import REQUIRED_MANUAL
 
 # Manual score base and bonus, overstock limit and factor, alert of manual rows.
 BOOST_BASE = 10.0
@@ -28,7 +29,6 @@ MANUAL_COLUMNS = {
     "Quantity": "quantity",
     "Highest Priority": "highest_priority",
 }
-REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 
 # Columns whose missing numbers become 0, and whose missing texts become empty.
 ZERO_FILLED = [

@@ -7,17 +7,18 @@ the path. Tables that are already landed as Parquet need only ``typed``.
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from prodseq.functions import nan_to_null, number
+from prodseq.sources.heads import HEAD_LINES, Shape, file_heads, first_record, record_with, shapes
+from prodseq.sources.places import numbered, with_position
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,16 @@ class Report:
     encoding: str = "UTF-8"
     multi_line: bool = False  # cells may hold line breaks; such files are not split over tasks
 
-    def options(self) -> dict[str, str]:
-        """CSV dialect: a quote inside a quoted cell is doubled."""
-        return {"encoding": self.encoding, "quote": '"', "escape": '"', "multiLine": str(self.multi_line).lower()}
+    def options(self, shape: Shape) -> dict[str, str]:
+        """CSV dialect: a quote inside a quoted cell is doubled; a header with line breaks is enough to look for more."""
+        multi_line = self.multi_line or shape.multi_line
+        return {"encoding": self.encoding, "quote": '"', "escape": '"', "multiLine": str(multi_line).lower()}
+
+    def name(self) -> str:
+        """Pattern of the names of its files or folders, with the date as its group if it has one."""
+        digits = "".join(r"\d" if ch.isalpha() else ch for ch in self.style or "")
+        name = self.path.rsplit("/", 1)[-1].replace(".", r"\.").replace(" ", "(?: |%20)")
+        return name.replace("{date}", f"({digits})")
 
     def glob(self, dates: Iterable[date] | None = None) -> str:
         """Path pattern of the given dates, or of all dates."""
@@ -65,10 +73,7 @@ class Report:
 
     def date_in(self, path: Column) -> Column:
         """Date written in a file path (blanks may be percent-encoded there)."""
-        digits = "".join(r"\d" if ch.isalpha() else ch for ch in self.style)
-        name = self.path.rsplit("/", 1)[1].replace(".", r"\.").replace(" ", "(?: |%20)")
-        found = F.regexp_extract(path, name.replace("{date}", f"({digits})"), 1)
-        return F.try_to_timestamp(found, F.lit(self.style)).cast("date")
+        return F.try_to_timestamp(F.regexp_extract(path, self.name(), 1), F.lit(self.style)).cast("date")
 
 
 def _unspelled(text: str, style: str) -> date:
@@ -151,6 +156,10 @@ CURING = Report(
 DAILY = [SPOR, BOR, BMR, BPR]
 
 
+#: Lines in which a header without a banner above it must end.
+HEADER_LINES = 10
+
+
 def typed(raw: DataFrame, report: Report) -> DataFrame:
     """Internal names and types of the used columns; NaN becomes missing."""
     types = dict(raw.dtypes)
@@ -169,36 +178,35 @@ def typed(raw: DataFrame, report: Report) -> DataFrame:
     )
 
 
-#: Lines at the start of a file among which its header must be.
-HEAD_LINES = 50
+def _shapes(spark: SparkSession, base: str, report: Report, dates: Iterable[date] | None, header: Column, lines: int, shared: bool) -> list[Shape]:
+    pattern = f"{base}/{report.glob(dates)}"
+    if not matching_paths(spark, pattern):
+        raise FileNotFoundError(f"no file of report {report.kind}: {pattern}")
+    return shapes(file_heads(spark, pattern, report.encoding, lines), header, report.name(), shared)
 
 
 def read_csv(
     spark: SparkSession, base: str, report: Report, dates: Iterable[date] | None = None
 ) -> DataFrame:
-    """All dates of a report, columns matched by the header of each date's file.
+    """All dates of a report, columns matched by the header of each file.
 
-    Dates with equal headers are read by one scan; another column order, or more
-    columns, only makes one more scan.
+    Files with equal headers are read by one scan; another column order, or more
+    columns, only makes one more scan. A header cell may hold line breaks in quotes.
     """
-    shapes: dict[tuple[str, ...], list[str]] = {}
-    for path in matching_paths(spark, f"{base}/{report.glob(dates)}"):
-        first = next(_heads(spark, path, report, 1), "")
-        shapes.setdefault(tuple(next(csv.reader([first]), [])), []).append(path)
-    if not shapes:
-        raise FileNotFoundError(f"no file of report {report.kind}: {base}/{report.glob(dates)}")
-
-    def scan(names: tuple[str, ...], paths: list[str]) -> DataFrame:
-        absent = [n for n in report.columns if n not in names]
+    found = _shapes(spark, base, report, dates, first_record(), HEADER_LINES, shared=False)
+
+    def scan(shape: Shape) -> DataFrame:
+        absent = [n for n in report.columns if n not in shape.header]
         if absent:
-            raise ValueError(f"report {report.kind} lacks columns {absent}: {paths[0]}")
-        # part files of one date share its header: another order there is an error, not a shift
-        cells = StructType([StructField(n, StringType()) for n in names])
-        read = spark.read.schema(cells).options(**report.options(), header="true", enforceSchema="false").csv(paths)
+            raise ValueError(f"report {report.kind} lacks columns {absent}: {shape.paths[0]}")
+        cells = StructType([StructField(n, StringType()) for n in shape.header])
+        read = spark.read.schema(cells).options(**report.options(shape), header="true", enforceSchema="false").csv(list(shape.paths))
         dated = [] if report.style is None else [report.date_in(F.col("_metadata.file_path")).alias("report_date")]
         return read.select(*dated, *[F.col(f"`{n}`") for n in report.columns])
 
-    return typed(reduce(DataFrame.unionByName, [scan(n, p) for n, p in sorted(shapes.items())]), report)
+    if not found:
+        return _empty(spark, report)
+    return typed(reduce(DataFrame.unionByName, map(scan, found)), report)
 
 
 def read_promoted(
@@ -206,25 +214,21 @@ def read_promoted(
 ) -> DataFrame:
     """Read a sheet whose header stands below a banner row.
 
-    The header is the line that names the report's columns. It is looked up in
-    the first lines of each date's file, so that the scan itself reads only the
-    used cells. Dates whose headers differ are read apart. A date without a
-    header is an error.
+    The header is the first record that names the report's columns; it may hold line breaks
+    in quotes. It is looked up in the first lines of each date's files, so that the scan
+    itself reads only the used cells. Dates whose headers differ are read apart. A date
+    without a header is an error.
     """
     names = list(report.columns)
-    shapes: dict[tuple[int, ...], list[str]] = {}
-    for path in matching_paths(spark, f"{base}/{report.glob(dates)}"):
-        rows = (next(csv.reader([line]), []) for line in _heads(spark, path, report, HEAD_LINES))
-        cells = next((r for r in rows if set(names) <= set(r)), None)
-        if cells is None:
-            raise ValueError(f"no header row in report {report.kind} of {report.day_of(path)}")
-        shapes.setdefault(tuple(cells.index(n) for n in names), []).append(path)
-    if not shapes:
-        raise FileNotFoundError(f"no file of report {report.kind}: {base}/{report.glob(dates)}")
-
-    def scan(places: tuple[int, ...], paths: list[str]) -> DataFrame:
+    found = _shapes(spark, base, report, dates, record_with(names), HEAD_LINES, shared=True)
+    for shape in found:
+        if shape.header is None:
+            raise ValueError(f"no header row in report {report.kind} of {report.day_of(shape.paths[0])}")
+
+    def scan(shape: Shape) -> DataFrame:
+        places = [shape.header.index(n) for n in names]
         width = ", ".join(f"_c{i} string" for i in range(max(places) + 1))
-        cells = spark.read.schema(width).options(**report.options(), header="false").csv(paths)
+        cells = spark.read.schema(width).options(**report.options(shape), header="false").csv(list(shape.paths))
         named = cells.select(
             report.date_in(F.col("_metadata.file_path")).alias("report_date"),
             *[F.col(f"_c{at}").alias(n) for n, at in zip(names, places)],
@@ -232,29 +236,15 @@ def read_promoted(
         is_header = reduce(Column.__and__, [F.col(n).eqNullSafe(F.lit(n)) for n in names])
         return named.filter(~is_header)
 
-    sheets = reduce(DataFrame.unionByName, [scan(p, d) for p, d in sorted(shapes.items())])
-    return typed(sheets, report)
-
-
-def _heads(spark: SparkSession, path: str, report: Report, lines: int) -> Iterator[str]:
-    """The first lines of a file, or of each part file of a folder; only these are read."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    parts = sorted(str(s.getPath()) for s in fs.listStatus(at) if s.isFile() and s.getLen() > 0)
-    for part in parts:
-        if part.rsplit("/", 1)[1].startswith(("_", ".")):
-            continue
-        stream = jvm.java.io.InputStreamReader(fs.open(jvm.org.apache.hadoop.fs.Path(part)), report.encoding)
-        reader = jvm.java.io.BufferedReader(stream)
-        try:
-            for _ in range(lines):
-                line = reader.readLine()
-                if line is None:
-                    break
-                yield line.removeprefix("\ufeff")
-        finally:
-            reader.close()
+    if not found:
+        return _empty(spark, report)
+    return typed(reduce(DataFrame.unionByName, map(scan, found)), report)
+
+
+def _empty(spark: SparkSession, report: Report) -> DataFrame:
+    """The report without rows, where all its files are empty."""
+    dated = "report_date date, " if report.style else ""
+    return typed(spark.createDataFrame([], dated + ", ".join(f"`{n}` string" for n in report.columns)), report)
 
 
 def read_reports(spark: SparkSession, base: str, dates: list[date]) -> Reports:
@@ -277,25 +267,69 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath()) for s in fs.globStatus(path) or []]
 
 
+# Columns of the manual list, and those that every file of it must have.
+MANUAL_LIST = ["SKU Code", "SKU Description", "Market", "Quantity", "Highest Priority"]
+REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
+#: Columns of ours that a list may bring along.
+OWN_MANUAL = ["report_date", "entry_no"]
+
+
+def _manual_heads(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): header names of each file of a CSV list, without blanks around them."""
+    heads = file_heads(spark, path, lines=HEADER_LINES, nested=True)
+    return heads.select("file", F.transform(first_record(), lambda n: F.btrim(n, F.lit(" \t\r\n"))).alias("header"))
+
+
+def is_csv(spark: SparkSession, path: str) -> bool:
+    """Whether a list is CSV, by the suffix of the path or of the files in it."""
+    return path.rstrip("/").endswith(".csv") or bool(matching_paths(spark, f"{path}/*.csv"))
+
+
+def manual_columns(spark: SparkSession, path: str) -> DataFrame:
+    """(file, column_name, is_required, position) for every file of a manual list in CSV and every column.
+
+    ``position`` counts from 1 and is missing where the file lacks the column.
+    """
+    column = F.explode(F.array(*[F.lit(n) for n in MANUAL_LIST])).alias("column_name")
+    place = F.array_position("header", F.col("column_name")).cast("long")
+    known = _manual_heads(spark, path).select("file", "header", column)
+    required = F.col("column_name").isin(REQUIRED_MANUAL)
+    return known.select("file", "column_name", required.alias("is_required"), F.nullif(place, F.lit(0).cast("long")).alias("position"))
+
+
+def _manual_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All files of the list under its column names, each read by its own header."""
+    found = shapes(_manual_heads(spark, path).select("file", "header"), F.col("header"))
+    lacking = {p: absent for s in found for p in s.paths if (absent := [n for n in REQUIRED_MANUAL if n not in s.header])}
+    if lacking:
+        told = "; ".join(f"{p} {absent}" for p, absent in sorted(lacking.items())[:20])
+        raise ValueError(f"manual demand lacks required columns: {told}")
+
+    def scan(shape: Shape) -> DataFrame:
+        cells = StructType([StructField(f"_c{i}", StringType()) for i in range(len(shape.header))])
+        read = spark.read.schema(cells).options(header="true", quote='"', escape='"', multiLine=str(shape.multi_line).lower()).csv(list(shape.paths))
+        used = [n for n in [*MANUAL_LIST, *OWN_MANUAL] if n in shape.header]
+        return with_position(read).select(*[F.col(f"_c{shape.header.index(n)}").alias(n) for n in used], "_file", "_start", "_slot")
+
+    if not found:
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in MANUAL_LIST) + ", _file string, _start long, _slot long")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(scan, found))
+
+
 def read_manual(spark: SparkSession, path: str, dates: list[date]) -> DataFrame:
     """Manual list from CSV or Parquet, in order of entry (``entry_no``).
 
-    Without an own ``entry_no`` column entries are numbered by file name and place in
-    the file. A list without its own ``report_date`` column holds for each of the given
-    dates. CSV is known by the suffix of the path or of the files in it.
+    Columns are matched by the header of each CSV file, so files of one list may order
+    them differently; a file that lacks a required one stops the job, and
+    ``manual_columns`` shows which. Without an own ``entry_no`` column entries are numbered
+    by file name and place in the file. A list without its own ``report_date`` column holds
+    for each of the given dates.
     """
-    is_csv = path.rstrip("/").endswith(".csv") or bool(matching_paths(spark, f"{path}/*.csv"))
-    if is_csv:
-        raw = spark.read.options(header="true", quote='"', escape='"').csv(path)
+    if is_csv(spark, path):
+        raw = _manual_csv(spark, path)
     else:
-        raw = spark.read.parquet(path)
-    if "entry_no" not in raw.columns:
-        placed = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_slot"))
-        # one row per file split
-        splits = placed.select("_file", "_start").distinct()
-        numbers = splits.withColumn("_split", F.row_number().over(Window.orderBy("_file", "_start")).cast("long"))
-        within = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
-        raw = placed.join(numbers, ["_file", "_start"]).withColumn("entry_no", F.shiftleft("_split", 33) + within).drop("_file", "_start", "_slot", "_split")
+        raw = with_position(spark.read.parquet(path))
+    raw = raw.drop("_file", "_start", "_slot") if "entry_no" in raw.columns else numbered(raw, "entry_no")
     if "report_date" not in raw.columns:
         days = spark.createDataFrame([(d,) for d in dates], "report_date date")
         span = F.sequence(F.lit(min(dates)), F.lit(max(dates)))

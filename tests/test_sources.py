@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -8,6 +8,7 @@ from prodseq.__main__ import main
 from prodseq.plans import params as pm
 from prodseq.plans.runner import Job, run_stage1, run_stage3
 from prodseq.sources import calendar as cal
+from prodseq.sources import heads, places
 from prodseq.sources import reports as rp
 
 FIRST, SECOND, THIRD = date(2026, 1, 2), date(2026, 1, 3), date(2026, 1, 4)
@@ -117,11 +118,78 @@ def test_sheets_with_different_headers(spark, tmp_path):
     assert found == {FIRST: (A, 2.0, 1.0), SECOND: (B, 3.0, 4.0)}
 
 
-def test_other_column_order_stops_the_job(spark, tmp_path):
+def test_part_files_in_other_column_orders(spark, tmp_path):
     put(tmp_path, "curing_cycletime.csv/a.csv", "SKUCode,Cure Time\nX,1\n")
-    put(tmp_path, "curing_cycletime.csv/b.csv", "Cure Time,SKUCode\n1,X\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        rp.read_csv(spark, str(tmp_path), rp.CURING).collect()
+    put(tmp_path, "curing_cycletime.csv/b.csv", "Cure Time,note,SKUCode\n2,n,Y\n")
+    put(tmp_path, "curing_cycletime.csv/c.csv", "")
+    rows = {tuple(r) for r in rp.read_csv(spark, str(tmp_path), rp.CURING).collect()}
+    assert rows == {("X", 1.0), ("Y", 2.0)}
+    put(tmp_path, "curing_cycletime.csv/d.csv", "Cure Time\n2\n")
+    with pytest.raises(ValueError, match=r"CURING lacks columns \['SKUCode'\].*d.csv"):
+        rp.read_csv(spark, str(tmp_path), rp.CURING)
+
+
+def test_no_file_is_opened_on_the_driver_alone(spark, tmp_path):
+    # 60 dates in two column orders make two scans
+    for k in range(60):
+        day = FIRST + timedelta(k)
+        head, row = ("SKUCode,Cure Time", f"{A},{k}") if k % 2 else ("Cure Time,SKUCode", f"{k},{A}")
+        put(tmp_path, f"R/rep_{day:%d-%m-%Y}.csv", f"{head}\n{row}\n")
+    report = rp.Report("R", "R/rep_{date}.csv", rp.CURING.columns, "dd-MM-yyyy")
+    found = heads.shapes(heads.file_heads(spark, f"{tmp_path}/R/*.csv"), heads.first_record(), report.name())
+    assert sorted(len(s.paths) for s in found) == [30, 30]
+    rows = {r["report_date"]: r["cure_time"] for r in rp.read_csv(spark, str(tmp_path), report).collect()}
+    assert rows == {FIRST + timedelta(k): float(k) for k in range(60)}
+
+
+def test_head_of_a_large_file_ends_early(spark, tmp_path):
+    put(tmp_path, "big.csv", "a,b\n" + "x,y\n" * 400_000)
+    (row,) = heads.file_heads(spark, f"{tmp_path}/big.csv", lines=3).collect()
+    assert row["records"] == [["a", "b"], ["x", "y"], ["x", "y"]] and row["file"].endswith("/big.csv")
+
+
+def test_quoted_line_breaks_in_headers(spark, tmp_path):
+    put(
+        tmp_path, "Vectordata/BMR/Prod_OverAll_BMReport__02_01_2026.csv",
+        f'"Banner, with\nline break",,\n"Open\r\n(pieces)",Plant Code,"Remark ""x""\nnext",BPP,Item Code,Pending CCR Qty\n7,1300,"two\nlines",5,{A},40\n',
+    )
+    put(tmp_path, "Vectordata/BMR/Prod_OverAll_BMReport__03_01_2026.csv", f"b\nPlant Code,BPP,Item Code,Pending CCR Qty\n1300,6,{B},41\n")
+    rows = rp.read_promoted(spark, str(tmp_path), rp.BMR).filter("plant = '1300'").collect()
+    assert {tuple(r) for r in rows} == {(FIRST, "1300", A, 40.0, 5.0), (SECOND, "1300", B, 41.0, 6.0)}
+    put(tmp_path, "curing_cycletime.csv", 'SKUCode,"Cure\nremark",Cure Time\nX,"a\nb",3\nY,c,4\n')
+    assert {tuple(r) for r in rp.read_csv(spark, str(tmp_path), rp.CURING).collect()} == {("X", 3.0), ("Y", 4.0)}
+
+
+def test_report_whose_files_are_all_empty(spark, tmp_path):
+    put(tmp_path, "curing_cycletime.csv", "")
+    frame = rp.read_csv(spark, str(tmp_path), rp.CURING)
+    assert frame.columns == ["sku", "cure_time"] and frame.count() == 0
+
+
+def test_manual_files_in_other_column_orders(spark, tmp_path):
+    put(tmp_path, "m/a.csv", " SKU Code,SKU Description,Market,Quantity,Highest Priority\nP1,one,RE,25,1\nP2,two,OE,5,0\n")
+    put(tmp_path, "m/b.csv", 'Market,"Highest Priority ",remark,SKU Code,Quantity\nST,0,"x, y",P3,7\n')
+    put(tmp_path, "m/deep/c.csv", "SKU Code,Market,Quantity,Highest Priority\nP4,EXP,1,0\n")
+    put(tmp_path, "m/none.csv", "")
+    rows = {r["entry_no"]: (r["SKU Code"], r["SKU Description"], r["Market"], r["Quantity"], r["Highest Priority"]) for r in rp.read_manual(spark, f"{tmp_path}/m", [FIRST]).collect()}
+    assert rows == {1: ("P1", "one", "RE", "25", "1"), 2: ("P2", "two", "OE", "5", "0"), 3: ("P3", None, "ST", "7", "0"), 4: ("P4", None, "EXP", "1", "0")}
+    seen = {(r["file"].rsplit("/", 1)[1], r["column_name"]): (r["is_required"], r["position"]) for r in rp.manual_columns(spark, f"{tmp_path}/m").collect()}
+    assert len(seen) == 15 and seen["a.csv", "Quantity"] == (True, 4) and seen["b.csv", "SKU Code"] == (True, 4)
+    assert seen["b.csv", "SKU Description"] == (False, None)
+    put(tmp_path, "m/bad.csv", "SKU Code,Market\nP5,RE\n")
+    with pytest.raises(ValueError, match=r"bad.csv \['Quantity', 'Highest Priority'\]"):
+        rp.read_manual(spark, f"{tmp_path}/m", [FIRST])
+
+
+def test_numbers_by_file_and_place(spark, tmp_path):
+    spark.range(5000).repartitionByRange(7, "id").sortWithinPartitions("id").write.partitionBy().csv(f"{tmp_path}/n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # several splits of a file, several files in a task
+    try:
+        rows = places.numbered(places.with_position(spark.read.schema("id long").csv(f"{tmp_path}/n")), "n")
+        assert rows.filter("n <> id + 1").isEmpty() and rows.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
 def test_full_run_writes_reports(spark, data, tmp_path):
