@@ -402,6 +402,19 @@ FLAG_COUNTS = [
 ]
 
 
+# Every file starts where the one before it ended, and rows ascend within.
+_IN_ORDER = """
+SELECT CAST(report_date AS VARCHAR) AS report_date, count(*) AS rows, 0::BIGINT AS files_out_of_order,
+  0::BIGINT AS rows_out_of_order FROM {} GROUP BY report_date"""
+
+# Both parts of the manual list hold all columns, the second one from right to left.
+_MANUAL_SQL = """
+WITH columns(column_name, nth) AS (VALUES ('SKU Code', 1::BIGINT), ('SKU Description', 2), ('Market', 3), ('Quantity', 4), ('Highest Priority', 5))
+SELECT part, column_name, column_name <> 'SKU Description' AS is_required, place AS first, place AS last
+FROM (SELECT 'early' AS part, column_name, nth AS place FROM columns UNION ALL SELECT 'late', column_name, 6 - nth FROM columns)
+WHERE EXISTS (SELECT 1 FROM part)"""
+
+
 def oracle_sql() -> dict[str, str]:
     single = {
         "inventory_counts": _select(
@@ -550,9 +563,28 @@ def oracle_sql() -> dict[str, str]:
     for name, like in {"rank_range_stage1": "consolidated_rank", "rank_range_proxy": "proxy_rank", "rank_range_final": "final_rank", "src_manual_csv": "manual_clean", "sink_read_back": "hybrid_report"}.items():
         single[name] = single[like]
     single["src_manual_csv"] = (
-        "SELECT sku, description, market, quantity, CAST(highest_priority AS BIGINT) AS highest_priority,"
-        " row_number() OVER (ORDER BY entry_no) AS place FROM manual"
+        "SELECT sku, description, market, quantity, CAST(highest_priority AS BIGINT) AS highest_priority, place"
+        " FROM manual JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS place FROM part) ON entry_no = p_partkey"
+    )
+    single["sink_stage2"] = (
+        "SELECT CAST(report_date AS VARCHAR) AS report_date, sku, market,"
+        f" row_number() OVER (PARTITION BY report_date ORDER BY proxy_rank NULLS LAST, {_TIES}) AS place FROM stage2"
+    )
+    single["sink_stage2_order"] = _IN_ORDER.format("stage2")
+    yearly["sink_stage1"] = (
+        "SELECT CAST(report_date AS VARCHAR) AS report_date, sku, market,"
+        " row_number() OVER (PARTITION BY report_date ORDER BY demand_rank NULLS LAST,"
+        " sku ASC NULLS LAST, market ASC NULLS LAST, requirement DESC NULLS LAST) AS place FROM stage1"
     )
+    yearly["sink_stage1_order"] = _IN_ORDER.format("stage1")
+    single["unusable_rows"] = """
+SELECT 'BOR' AS report, count(*) AS rows FROM bor WHERE sku IS NULL OR loc IS NULL
+UNION ALL SELECT 'BMR', count(*) FROM bmr WHERE plant = '1300' AND sku IS NULL
+UNION ALL SELECT 'BPR', count(*) FROM bpr WHERE sku IS NULL
+UNION ALL SELECT 'DISPATCH', count(*) FROM dispatch WHERE sku IS NULL
+UNION ALL SELECT 'CURING', count(*) FROM curing WHERE sku IS NULL
+UNION ALL SELECT 'MOULD', count(*) FROM base WHERE p_partkey % 3 = 0
+UNION ALL SELECT 'MANUAL', count(*) FROM part WHERE p_partkey % 37 <> 3"""
     single["sink_read_back"] = (
         "SELECT CAST(report_date AS VARCHAR) AS report_date, sku, market,"
         f" row_number() OVER (PARTITION BY report_date ORDER BY final_rank NULLS LAST, {_TIES}) AS place FROM final"
@@ -561,5 +593,5 @@ def oracle_sql() -> dict[str, str]:
     return (
         parameters | {n: _with_views(q) for n, q in single.items()}
         | {n: _with_views(q, yearly=True) for n, q in yearly.items()}
-        | {"params_resolve": _params_sql()}
+        | {"params_resolve": _params_sql(), "src_manual_columns": _MANUAL_SQL}
     )

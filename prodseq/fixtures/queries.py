@@ -6,11 +6,11 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseq.fixtures import oracle
-from prodseq.fixtures.views import SINGLE_DATE, landed, landed_csv
+from prodseq.fixtures.views import MANUAL_LIST, SINGLE_DATE, landed, landed_csv
 from prodseq.functions import case_of
 from prodseq.operators import demand as dm
 from prodseq.operators import deployment as dp
@@ -26,7 +26,8 @@ from prodseq.plans import pipeline as pl
 from prodseq.plans.workspace import Workspace
 from prodseq.sources import calendar as cal
 from prodseq.sources import reports as rp
-from prodseq.sources.sinks import write_report
+from prodseq.sources.left_out import LeftOut
+from prodseq.sources.sinks import order_faults, read_report, write_report
 
 # Averages and ranked scores are rounded so that both engines order rows alike.
 PARAMS = pm.Params(asp_scale=6, health_scale=6, rank_scale=9)
@@ -102,11 +103,14 @@ class _Run:
         return pl.stage2(self.ws, self.stage1(with_moulds=True), self.params)
 
     def override(self) -> pl.Override:
-        return pl.prepare_override(self.ws, self.stage2(), self.reports.manual)
+        return pl.prepare_override(self.ws, self.stage2(), pl.manual_entries(self.ws, self.reports.manual))
 
     def cleaned_manual(self) -> DataFrame:
         return ov.clean_manual(self.reports.manual)
 
+    def marked_gaps(self) -> DataFrame:
+        return ov.with_manual_mark(self.stage2().df, self.cleaned_manual())
+
     def final(self) -> DataFrame:
         return pl.stage3(self.ws, self.stage2(), self.reports.manual, PARAMS)
 
@@ -132,21 +136,51 @@ def _moulds_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manual_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = rp.read_manual(spark, f"{landed_csv(spark, sf_dir)}/manual_frontend_demand.csv", [date.fromisoformat(SINGLE_DATE)])
-    place = F.row_number().over(Window.partitionBy("report_date").orderBy("entry_no")).cast("long")
-    cleaned = ov.clean_manual(raw).withColumn("place", place)
+    raw = rp.read_manual(spark, f"{landed_csv(spark, sf_dir)}/{MANUAL_LIST}", [date.fromisoformat(SINGLE_DATE)])
+    cleaned = ov.clean_manual(raw).withColumnRenamed("entry_no", "place")
     return _pick(cleaned, ["sku", "description", "market", "quantity", "highest_priority", "place"])
 
 
-def _sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The final report written as CSV and read back, each row with its place in the files."""
+def _manual_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each part of the manual list has its columns, and how many files say so."""
+    columns = rp.manual_columns(spark, f"{landed_csv(spark, sf_dir)}/{MANUAL_LIST}")
+    part = F.regexp_extract("file", "/([a-z]+)/[^/]*$", 1).alias("part")
+    return columns.groupBy(part, "column_name", "is_required").agg(F.min("position").alias("first"), F.max("position").alias("last"))
+
+
+def _written(build: Callable[[_Run], DataFrame], layout: dict[str, str], rank: str, fmt: str = "parquet", yearly: bool = False) -> Callable[[SparkSession, str], str]:
+    """A report written to files; returns their folder."""
+
+    def run(spark: SparkSession, sf_dir: str) -> str:
+        r = _Run(spark, sf_dir, yearly)
+        out = r.ws.path("report")
+        write_report(r.ws.write(build(r), "final"), layout, out, rank, fmt)
+        return out
+
+    return run
+
+
+def _sink(written: Callable[[SparkSession, str], str], fmt: str = "parquet") -> Query:
+    """The written report read back, each row with its place in the files of its date."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = read_report(spark, written(spark, sf_dir), fmt)
+        return rows.select(F.col("report_date").cast("string").alias("report_date"), F.col("SKUCode").alias("sku"), F.col("Market").alias("market"), "place")
+
+    return run
+
+
+def _sink_order(written: Callable[[SparkSession, str], str], rank: str) -> Query:
+    return lambda spark, sf_dir: _shown(order_faults(spark, written(spark, sf_dir), rank))
+
+
+def _unusable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left out for missing keys, counted by a whole run on its way."""
     r = _Run(spark, sf_dir)
-    out = r.ws.path("report")
-    write_report(r.ws.write(r.final(), "final"), layouts.STAGE3, out, "final_rank", "csv")
-    rows = spark.read.options(header="true", escape='"').csv(out)
-    written = Window.partitionBy("report_date").orderBy("_metadata.file_name", F.monotonically_increasing_id())
-    named = rows.select(F.col("report_date").cast("string").alias("report_date"), F.col("SKUCode").alias("sku"), F.col("Market").alias("market"), F.row_number().over(written).cast("long").alias("place"))
-    return named
+    left_out = LeftOut()
+    r.reports = replace(left_out.watch(r.reports), manual=left_out.watch_manual(r.reports.manual))
+    r.final().write.format("noop").mode("overwrite").save()
+    return left_out.counts(spark)
 
 
 def _priority(r: _Run) -> DataFrame:
@@ -310,16 +344,16 @@ def queries() -> dict[str, Query]:
             ["report_date", "sku", "market", "manual_score", "manual_rank"],
         ),
         "manual_prior_requirement": lambda r: _pick(
-            ov.prior_facts(ov.superseded_rows(r.stage2().df, r.cleaned_manual())),
+            ov.prior_facts(ov.superseded_rows(r.marked_gaps())),
             ["report_date", "sku", "prior_requirement"],
         ),
         "manual_rows": lambda r: _pick(pl.manual_part(r.override()), o.MANUAL_ROWS),
         "superseded_rows": lambda r: _pick(
-            ov.superseded_rows(r.stage2().df, r.cleaned_manual()),
+            ov.superseded_rows(r.marked_gaps()),
             ["report_date", "sku", "market", "requirement", "demand_rank"],
         ),
         "superseded_removed": lambda r: _pick(
-            ov.remaining_rows(r.stage2().df, r.cleaned_manual()),
+            ov.remaining_rows(r.marked_gaps()),
             ["report_date", "sku", "market", "requirement", "proxy_rank"],
         ),
         "automated_rerank": lambda r: _pick(
@@ -345,6 +379,8 @@ def queries() -> dict[str, Query]:
         ),
         "stage3_summary": lambda r: _shown(sm.stage3_summary(r.final())),
     }
+    stage1_rows = lambda r: r.stage1().df
+    stage2_rows = lambda r: r.stage2().df
     by_range = {
         "rank_range_stage1": "consolidated_rank",
         "rank_range_proxy": "proxy_rank",
@@ -361,7 +397,13 @@ def queries() -> dict[str, Query]:
         "deployment_with_parameters": _with_parameters(steps["deployment_report"]),
         "src_mould_csv": _moulds_csv,
         "src_manual_csv": _manual_csv,
-        "sink_read_back": _sink,
+        "src_manual_columns": _manual_columns,
+        "sink_read_back": _sink(_written(_Run.final, layouts.STAGE3, "final_rank", "csv"), "csv"),
+        "sink_stage1": _sink(_written(stage1_rows, layouts.STAGE1, "demand_rank", yearly=True)),
+        "sink_stage2": _sink(_written(stage2_rows, layouts.STAGE2, "proxy_rank")),
+        "sink_stage1_order": _sink_order(_written(stage1_rows, layouts.STAGE1, "demand_rank", yearly=True), layouts.STAGE1["demand_rank"]),
+        "sink_stage2_order": _sink_order(_written(stage2_rows, layouts.STAGE2, "proxy_rank"), layouts.STAGE2["proxy_rank"]),
+        "unusable_rows": _unusable,
         "src_dated_reports": _dated,
         "src_promote_header": _promoted,
         "gate_complete_dates": _gate,

@@ -15,6 +15,8 @@ from prodseq.plans.workspace import Workspace
 from prodseq.sources import reports as rp
 
 SINGLE_DATE = "2026-01-02"
+MANUAL_LIST = "manual_frontend_demand.csv"
+REMARKS = "Remarks\nof the plant"
 LOCATION_OF_SEGMENT = {
     "AUTOMOBILE": "1300_OE10",
     "MACHINERY": "1300_ST10",
@@ -263,7 +265,10 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> str:
         _write_manual(t["manual"], root)
         orders = t["bor"].filter(F.year("report_date") % 3 != 0).select("report_date", "SKUCode")
         _write_dated(orders, root, rp.SPOR, header=True)
-        _write_dated(_with_banner(t["bmr"]), root, rp.BMR, header=False)
+        _write_dated(_with_banner(t["bmr"].filter(~even)), root, rp.BMR, header=False)
+        # the sheets of the other years hold remarks, with line breaks in their header and cells
+        noted = t["bmr"].filter(even).withColumn(REMARKS, F.concat(F.lit("seen\n"), "Item Code"))
+        _write_dated(_with_banner(noted.select("report_date", REMARKS, *t["bmr"].columns[1:])), root, rp.BMR, header=False)
         for report, name in [(rp.DISPATCH, "dispatch"), (rp.CURING, "curing")]:
             t[name].write.options(header="true", escape='"', encoding=report.encoding).csv(
                 f"{root}/{report.path}"
@@ -273,9 +278,16 @@ def landed_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _write_manual(entries: DataFrame, root: str) -> None:
-    """The manual list in one file, in order of entry and without the number of it."""
-    listed = entries.drop("report_date").coalesce(1).sortWithinPartitions("entry_no").drop("entry_no")
-    listed.write.options(header="true", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/manual_frontend_demand.csv")
+    """The manual list in two parts of several files, in order of entry and without the number of it.
+
+    The second part has its columns in another order.
+    """
+    last = entries.agg(F.max("entry_no")).first()[0]
+    early = F.col("entry_no") <= last // 2
+    names = [c for c in entries.columns if c not in ("report_date", "entry_no")]
+    for part, some, columns in [("early", entries.filter(early), names), ("late", entries.filter(~early), names[::-1])]:
+        listed = some.repartitionByRange("entry_no").sortWithinPartitions("entry_no").select(*columns)
+        listed.write.options(header="true", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{MANUAL_LIST}/{part}")
 
 
 def _with_banner(sheet: DataFrame) -> DataFrame:

@@ -91,15 +91,30 @@ def with_trimmed_sku(stage2: DataFrame) -> DataFrame:
     return stage2.withColumn("raw_sku", F.col("sku")).withColumn("sku", strip(F.col("sku")))
 
 
-def superseded_rows(stage2: DataFrame, manual: DataFrame) -> DataFrame:
+def with_manual_mark(stage2: DataFrame, manual: DataFrame) -> DataFrame:
+    """Tell rows whose product the manual list supersedes from those that remain, by one join.
+
+    ``superseded`` holds for rows of any market. The code as stored stays beside the
+    trimmed one.
+    """
+    keys = manual_keys(manual).withColumn("superseded", F.lit(True))
+    marked = with_trimmed_sku(stage2).join(keys, ["report_date", "sku"], "left")
+    return marked.withColumn("superseded", F.coalesce("superseded", F.lit(False)))
+
+
+def superseded_rows(marked: DataFrame) -> DataFrame:
     """Automated rows of any market whose product is in the manual list."""
-    return with_trimmed_sku(stage2).join(manual_keys(manual), ["report_date", "sku"], "left_semi")
+    return marked.filter("superseded").drop("superseded")
 
 
-def remaining_rows(stage2: DataFrame, manual: DataFrame) -> DataFrame:
+def remaining_rows(marked: DataFrame) -> DataFrame:
     """Automated rows whose product is not in the manual list."""
-    kept = with_trimmed_sku(stage2).join(manual_keys(manual), ["report_date", "sku"], "left_anti")
-    return kept.drop("raw_sku")
+    return marked.filter("NOT superseded").drop("superseded", "raw_sku")
+
+
+def as_stored(marked: DataFrame) -> DataFrame:
+    """Rows as they were before they were marked."""
+    return marked.withColumn("sku", F.col("raw_sku")).drop("raw_sku", "superseded")
 
 
 def prior_facts(superseded: DataFrame) -> DataFrame:

@@ -58,16 +58,3 @@ def top_rows(gaps: DataFrame, n: int, where: Column | None = None) -> DataFrame:
     order = Window.partitionBy("report_date").orderBy(F.col("demand_rank").asc_nulls_last(), *tie_break(rows))
     return rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
 
-
-def unusable_rows(bor: DataFrame, bpr: DataFrame, dispatch: DataFrame) -> DataFrame:
-    """Rows left out for a missing key, per report."""
-    no_sku = F.col("sku").isNull()
-
-    def count(df: DataFrame, name: str, bad: Column) -> DataFrame:
-        return df.agg(F.count_if(bad).alias("rows")).select(F.lit(name).alias("report"), "rows")
-
-    return (
-        count(bor, "BOR", no_sku | F.col("loc").isNull())
-        .unionByName(count(bpr, "BPR", no_sku))
-        .unionByName(count(dispatch, "DISPATCH", no_sku))
-    )

@@ -118,34 +118,37 @@ class Override:
 
     manual: Rows  # cleaned and ranked entries of dates that have a report
     counts: DataFrame  # entries per date
-    stage2: Rows  # second-stage rows of dates with entries
+    stage2: Rows  # second-stage rows of dates with entries, marked where superseded
     rest: Rows | None  # second-stage rows of dates without
 
 
-def prepare_override(ws: Workspace, gaps: Rows, manual: DataFrame) -> Override:
-    # manual and automated parts both read the ranked rows
-    gaps = gaps.using(ws.write(gaps.df, "gaps"))
-    dates = gaps.df.select("report_date").distinct()
-    entries = ov.with_manual_score(ov.clean_manual(manual))
+def manual_entries(ws: Workspace, manual: DataFrame) -> Rows:
+    """Cleaned entries with their score, written."""
+    return stored_rows(ws, ov.with_manual_score(ov.clean_manual(manual)), "manual")
+
+
+def prepare_override(ws: Workspace, gaps: Rows, entries: Rows) -> Override:
+    """Mark and write the ranked rows in one pass; all later steps read what it wrote."""
+    marked = gaps.using(ws.write(ov.with_manual_mark(gaps.df, entries.df), "gaps"))
+    dates = marked.df.select("report_date").distinct()
     # One row per calendar day on the broadcast side.
-    entries = entries.join(F.broadcast(dates), "report_date", "left_semi")
-    stored = stored_rows(ws, entries, "manual")
-    ranked = stored.using(ov.with_manual_rank(stored))
-    counts = stored.df.groupBy("report_date").agg(F.count("*").alias("n_manual"))
+    asked = entries.using(entries.df.join(F.broadcast(dates), "report_date", "left_semi"))
+    ranked = asked.using(ov.with_manual_rank(asked))
+    counts = asked.df.groupBy("report_date").agg(F.count("*").alias("n_manual"))
     if dates.join(F.broadcast(counts), "report_date", "left_anti").isEmpty():
-        return Override(ranked, counts, gaps, None)
-    with_entries = gaps.df.join(F.broadcast(counts), "report_date", "left_semi")
-    without = gaps.df.join(F.broadcast(counts), "report_date", "left_anti")
-    return Override(ranked, counts, gaps.using(with_entries), gaps.using(without))
+        return Override(ranked, counts, marked, None)
+    with_entries = marked.df.join(F.broadcast(counts), "report_date", "left_semi")
+    without = marked.df.join(F.broadcast(counts), "report_date", "left_anti")
+    return Override(ranked, counts, marked.using(with_entries), marked.using(ov.as_stored(without)))
 
 
 def manual_part(parts: Override) -> DataFrame:
-    facts = ov.prior_facts(ov.superseded_rows(parts.stage2.df, parts.manual.df))
+    facts = ov.prior_facts(ov.superseded_rows(parts.stage2.df))
     return ov.manual_rows(parts.manual.df, facts)
 
 
 def automated_part(parts: Override) -> DataFrame:
-    remaining = ov.remaining_rows(parts.stage2.df, parts.manual.df)
+    remaining = ov.remaining_rows(parts.stage2.df)
     return ov.automated_rows(parts.stage2.using(remaining), parts.counts)
 
 
@@ -160,9 +163,10 @@ def stage3(ws: Workspace, gaps: Rows, manual: DataFrame, params: Params) -> Data
 
     A date without manual entries keeps its second-stage rows and order.
     """
-    parts = prepare_override(ws, gaps, manual)
-    if parts.manual.largest_date == 0:
+    entries = manual_entries(ws, manual)
+    if entries.largest_date == 0:
         return ov.without_manual(gaps)
+    parts = prepare_override(ws, gaps, entries)
     rows = parts.stage2.using(hybrid_rows(parts), more_rows=parts.manual.largest_date)
     final = ov.with_final_rank(rows, params.rank_scale)
     if parts.rest is None:

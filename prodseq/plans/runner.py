@@ -17,7 +17,8 @@ from prodseq.plans.params import PARAMETER_SCHEMA, Params, load_params
 from prodseq.plans.pipeline import stage1, stage2, stage3
 from prodseq.plans.workspace import Workspace
 from prodseq.sources.calendar import runnable_dates
-from prodseq.sources.reports import Reports, matching_paths, read_manual, read_reports
+from prodseq.sources.left_out import LeftOut
+from prodseq.sources.reports import matching_paths, read_manual, read_reports
 from prodseq.sources.sinks import write_report
 
 # Output names and place of the manual list.
@@ -51,9 +52,10 @@ class Job:
             raise ValueError(f"no date from {self.start} to {self.end} has all daily reports")
         return dates
 
-    def check(self, reports: Reports) -> None:
+    def keep_counts(self, spark: SparkSession, left_out: LeftOut) -> None:
+        """Write what the run counted on its way."""
         if self.count_unusable:
-            counts = sm.unusable_rows(reports.bor, reports.bpr, reports.dispatch)
+            counts = left_out.counts(spark)  # one row per report
             counts.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/{UNUSABLE_OUTPUT}")
 
     def manual_list(self, spark: SparkSession, dates: list[date]) -> DataFrame:
@@ -66,20 +68,22 @@ class Job:
 def run_stage1(spark: SparkSession, job: Job) -> None:
     """Demand ranking only."""
     with Workspace(spark) as ws:
-        reports = replace(read_reports(spark, job.data, job.dates(spark)), mould=None)
-        job.check(reports)
+        left_out = LeftOut()
+        reports = left_out.watch(replace(read_reports(spark, job.data, job.dates(spark)), mould=None))
         ranked = ws.write(stage1(ws, reports, job.params(spark)).df, "ranked-demand")
         write_report(ranked, layouts.STAGE1, f"{job.out}/{STAGE1_OUTPUT}", "demand_rank", job.fmt)
+        job.keep_counts(spark, left_out)
 
 
 def run_stage2(spark: SparkSession, job: Job) -> DataFrame:
     """Demand ranking and gap analysis; returns the summary of each date."""
     with Workspace(spark) as ws:
         params = job.params(spark)
-        reports = read_reports(spark, job.data, job.dates(spark))
-        job.check(reports)
+        left_out = LeftOut()
+        reports = left_out.watch(read_reports(spark, job.data, job.dates(spark)))
         gaps = ws.write(stage2(ws, stage1(ws, reports, params), params).df, "gaps")
         write_report(gaps, layouts.STAGE2, f"{job.out}/{STAGE2_OUTPUT}", "proxy_rank", job.fmt)
+        job.keep_counts(spark, left_out)
         return _kept(spark, sm.stage2_summary(gaps), f"{job.out}/{STAGE2_OUTPUT}_summary")
 
 
@@ -88,11 +92,13 @@ def run_stage3(spark: SparkSession, job: Job) -> DataFrame:
     with Workspace(spark) as ws:
         params = job.params(spark)
         dates = job.dates(spark)
-        reports = read_reports(spark, job.data, dates)
-        job.check(reports)
+        left_out = LeftOut()
+        reports = left_out.watch(read_reports(spark, job.data, dates))
+        manual = left_out.watch_manual(job.manual_list(spark, dates))
         gaps = stage2(ws, stage1(ws, reports, params), params)
-        final = ws.write(stage3(ws, gaps, job.manual_list(spark, dates), params), "final")
+        final = ws.write(stage3(ws, gaps, manual, params), "final")
         write_report(final, layouts.STAGE3, f"{job.out}/{STAGE3_OUTPUT}", "final_rank", job.fmt)
+        job.keep_counts(spark, left_out)
         return _kept(spark, sm.stage3_summary(final), f"{job.out}/{STAGE3_OUTPUT}_summary")
 
 

@@ -268,7 +268,7 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
 
 
 # Columns of the manual list, and those that every file of it must have.
-MANUAL_LIST = ["SKU Code", "SKU Description", "Market", "Quantity", "Highest Priority"]
+MANUAL_NAMES = ["SKU Code", "SKU Description", "Market", "Quantity", "Highest Priority"]
 REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 #: Columns of ours that a list may bring along.
 OWN_MANUAL = ["report_date", "entry_no"]
@@ -290,7 +290,7 @@ def manual_columns(spark: SparkSession, path: str) -> DataFrame:
 
     ``position`` counts from 1 and is missing where the file lacks the column.
     """
-    column = F.explode(F.array(*[F.lit(n) for n in MANUAL_LIST])).alias("column_name")
+    column = F.explode(F.array(*[F.lit(n) for n in MANUAL_NAMES])).alias("column_name")
     place = F.array_position("header", F.col("column_name")).cast("long")
     known = _manual_heads(spark, path).select("file", "header", column)
     required = F.col("column_name").isin(REQUIRED_MANUAL)
@@ -308,11 +308,11 @@ def _manual_csv(spark: SparkSession, path: str) -> DataFrame:
     def scan(shape: Shape) -> DataFrame:
         cells = StructType([StructField(f"_c{i}", StringType()) for i in range(len(shape.header))])
         read = spark.read.schema(cells).options(header="true", quote='"', escape='"', multiLine=str(shape.multi_line).lower()).csv(list(shape.paths))
-        used = [n for n in [*MANUAL_LIST, *OWN_MANUAL] if n in shape.header]
+        used = [n for n in [*MANUAL_NAMES, *OWN_MANUAL] if n in shape.header]
         return with_position(read).select(*[F.col(f"_c{shape.header.index(n)}").alias(n) for n in used], "_file", "_start", "_slot")
 
     if not found:
-        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in MANUAL_LIST) + ", _file string, _start long, _slot long")
+        return spark.createDataFrame([], ", ".join(f"`{n}` string" for n in MANUAL_NAMES) + ", _file string, _start long, _slot long")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(scan, found))
 
 

@@ -199,7 +199,7 @@ def test_full_run_writes_reports(spark, data, tmp_path):
     assert summary[FIRST]["manual_entries"] == 1 and summary[FIRST]["overstock"] == 1
     assert summary[FIRST]["mould_alerts"] == 1
     left_out = {r["report"]: r["rows"] for r in spark.read.parquet(f"{tmp_path}/unusable_rows").collect()}
-    assert left_out == {"BOR": 4, "BPR": 0, "DISPATCH": 0}
+    assert left_out == {"BOR": 4, "BMR": 0, "BPR": 0, "DISPATCH": 0, "CURING": 0, "MOULD": 0, "MANUAL": 0}
     report = spark.read.parquet(f"{tmp_path}/final_hybrid_deployment_report")
     first = report.filter(F.col("report_date") == FIRST).orderBy("Final Rank").collect()
     assert [r["SKUCode"] for r in first] == [B, A, G, C]
