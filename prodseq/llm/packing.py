@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -17,6 +19,10 @@ from prodseq.llm.batches import over_texts, texts_of
 from prodseq.llm.scratch import Scratch
 from prodseq.llm.token_counts import _byte_letters
 
+#: White space in a row from which a text goes to the library that names the vocabulary: the
+#: faster one gives up on about a million.
+LONG_BLANKS = 100_000
+
 #: Fixed: how the byte-level vocabulary cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -34,15 +40,30 @@ def byte_encoder(path: str):
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special), tuple(special)
 
 
+@lru_cache(maxsize=2)
+def _named_encoder(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _has_long_blanks(text: str) -> bool:
+    return len(text) >= LONG_BLANKS and re.search(r"\s{%d}" % LONG_BLANKS, text) is not None
+
+
+def token_ids(text: str, path: str) -> list[int]:
+    """Ids of a text without begin or end, its special strings as special tokens."""
+    if _has_long_blanks(text):
+        return _named_encoder(path).encode(text, add_special_tokens=False).ids
+    encoder, special = byte_encoder(path)
+    return encoder.encode(text, allowed_special="all") if any(s in text for s in special) else encoder.encode_ordinary(text)
+
+
 def tokenize(frame: DataFrame, path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(row, id, n_tokens, ids): ids as little-endian 16-bit numbers with ``end_id`` at the end."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        encoder, special = byte_encoder(path)
-        raw = []
-        for text in texts_of(batch, text_column):
-            ids = encoder.encode(text, allowed_special="all") if any(s in text for s in special) else encoder.encode_ordinary(text)
-            raw.append(np.array([*ids, end_id], "<u2").tobytes())
+        raw = [np.array([*token_ids(text, path), end_id], "<u2").tobytes() for text in texts_of(batch, text_column)]
         return {"n_tokens": np.array([len(r) // 2 for r in raw], np.int64), "ids": pa.array(raw, pa.binary())}
 
     numbered = frame.select(F.monotonically_increasing_id().alias("row"), F.col(id_column), F.col(text_column))
@@ -71,30 +92,21 @@ class Plan:
 RANK_BITS = 44
 
 
-def combinations(histogram: np.ndarray, window: int, most: int) -> np.ndarray:
-    """Rows of up to three lengths (0: none) that fill a window exactly, at most ``most`` rows.
+def combinations(histogram: np.ndarray, window: int) -> np.ndarray:
+    """Rows of up to three lengths that fill a window exactly: every pair and triple of lengths that occur.
 
-    All pairs come first, then triples that begin with the most frequent lengths. The
-    bound only steers the fit: lengths it leaves over are packed as residuals.
+    A row is ascending from the left, with 0 in front of a pair. There are about a twelfth
+    of the square of ``window`` at most.
     """
-    present = np.flatnonzero(histogram[:window])
-    present = present[present > 0]
     held = np.zeros(window + 1, bool)
-    held[present] = True
-    partner = window - present
-    good = (present <= partner) & held[partner]
-    found = [np.stack([present[good], partner[good], np.zeros(int(good.sum()), np.int64)], axis=1)]
-    count = len(found[0])
-    for length in present[np.argsort(-histogram[present], kind="stable")]:
-        if count >= most:
-            break
-        rest = window - length - present
-        good = (rest >= present) & (rest > 0)
-        good[good] = held[rest[good]]
-        rows = np.stack([np.full(int(good.sum()), length), present[good], rest[good]], axis=1)[: most - count]
-        found.append(rows)
-        count += len(rows)
-    return np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+    held[1:window] = histogram[1:window] > 0
+    present = np.flatnonzero(held)
+    found = [np.zeros((0, 3), np.int64)]
+    for least in [0, *present[present <= window // 3].tolist()]:
+        middle = present[(present >= least) & (2 * present <= window - least)]
+        middle = middle[held[window - least - middle]]
+        found.append(np.stack([np.full(len(middle), least), middle, window - least - middle], axis=1))
+    return np.concatenate(found)
 
 
 def fit(combos: np.ndarray, histogram: np.ndarray, rounds: int = 300) -> np.ndarray:
@@ -124,23 +136,38 @@ def fit(combos: np.ndarray, histogram: np.ndarray, rounds: int = 300) -> np.ndar
     return x
 
 
-def make_plan(histogram: np.ndarray, window: int, most: int = 8000) -> Plan:
+def _repeats(combos: np.ndarray, wanted: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Whole repeat counts: the wanted ones rounded down, then as many more as lengths are left for.
+
+    Combinations go by their wanted count, largest first. ``left`` is changed to what remains.
+    """
+    repeats = np.zeros(len(combos), np.int64)
+    order = np.argsort(-wanted, kind="stable")
+    for greedy in (False, True):
+        for start in range(0, len(order), 4096):
+            some = order[start : start + 4096]
+            if not greedy:
+                some = some[wanted[some] >= 1]
+            # most rows of a block have run out of some length
+            some = some[((left[combos[some]] > 0) | (combos[some] == 0)).all(axis=1)]
+            for c, row in zip(some.tolist(), combos[some].tolist(), strict=True):
+                times = Counter(x for x in row if x)
+                n = min(int(left[x]) // k for x, k in times.items())
+                n = n if greedy else min(n, int(wanted[c]))
+                if n > 0:
+                    repeats[c] += n
+                    for x, k in times.items():
+                        left[x] -= n * k
+    return repeats
+
+
+def make_plan(histogram: np.ndarray, window: int) -> Plan:
     """Fit, round down, fill up greedily, and lay what is left end to end. Works on counts only."""
     histogram = histogram.astype(np.int64)
     left = histogram.copy()
     left[0] = 0
-    combos = combinations(histogram, window, most)
-    wanted = fit(combos, histogram)
-    repeats = np.zeros(len(combos), np.int64)
-    order = np.argsort(-wanted, kind="stable")
-    for greedy in (False, True):
-        for c in order.tolist():
-            lengths, times = np.unique(combos[c][combos[c] > 0], return_counts=True)
-            n = int((left[lengths] // times).min())
-            n = n if greedy else min(n, int(wanted[c]))
-            if n > 0:
-                repeats[c] += n
-                left[lengths] -= n * times
+    combos = combinations(histogram, window)
+    repeats = _repeats(combos, fit(combos, histogram), left)
     used = np.zeros(window, np.int64)
     rows, sequence = [], 0
     for c in np.flatnonzero(repeats).tolist():
@@ -198,7 +225,8 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id_col
     its length; rests of one length are numbered in salted groups, so that a frequent
     length is split over tasks. Sequence ids count up from 0.
 
-    A missing or empty text is a document of the end id alone. Rows with missing or repeated
+    A missing or empty text is a document of the end id alone; a very long one, also of
+    nothing but blanks, is encoded whole in its task. Rows with missing or repeated
     ids are packed each; an empty table gives no pieces. Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "packing")

@@ -12,7 +12,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from prodseq.llm.merging import PairTable, merge
-from prodseq.llm.packing import byte_encoder, combinations, fit, make_plan, pack
+from prodseq.llm.packing import byte_encoder, combinations, fit, make_plan, pack, token_ids
 from prodseq.llm.pieces import PieceCodec, encode_and_decode
 from prodseq.llm.token_counts import WordMerger, count_tokens
 
@@ -93,7 +93,7 @@ def test_byte_ids_equal_library():
 def test_fit_meets_an_exact_histogram():
     histogram = np.zeros(64, np.int64)
     histogram[[20, 44, 10, 30, 24]] = [50, 50, 40, 40, 40]
-    combos = combinations(histogram, 64, 100)
+    combos = combinations(histogram, 64)
     assert (combos.sum(axis=1) == 64).all()
     used = np.bincount(combos.ravel(), weights=np.repeat(fit(combos, histogram), 3), minlength=64)
     assert np.allclose(used[1:], histogram[1:], atol=1)
@@ -101,6 +101,37 @@ def test_fit_meets_an_exact_histogram():
     assert plan.total == -(-int((histogram * np.arange(64)).sum()) // 64)
 
 
+@pytest.mark.parametrize("held", [[0, 1, 2, 30, 31, 32, 33, 62, 63], list(range(64)), [0, 5], [21, 22]])
+def test_all_shallow_combinations_are_tried(held):
+    histogram = np.zeros(64, np.int64)
+    histogram[held] = 3
+    some = [x for x in held if x]
+    want = {tuple(sorted((0, a, 64 - a))) for a in some if 64 - a in some} | {tuple(sorted((a, b, 64 - a - b))) for a in some for b in some if 64 - a - b in some}
+    found = combinations(histogram, 64)
+    assert {tuple(r) for r in found.tolist()} == want and len(found) == len(want)
+
+
+def test_most_rests_are_placed_by_the_fit():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"].to_pylist()
+    histogram = np.bincount([(len(token_ids(t or "", BYTES)) + 1) % 2048 for t in texts], minlength=2048)
+    assert make_plan(histogram, 2048).used[1:].sum() > 0.6 * histogram[1:].sum()
+
+
+def test_long_runs_of_one_character_equal_library():
+    library = Tokenizer.from_file(BYTES)
+    for text in (" " * 2_000_000, "\t" * 2_000_000, "\n" * 2_000_000, "x" + " " * 150_000 + "y<|endoftext|>", "a" * 300_000, "!" * 300_000):
+        assert token_ids(text, BYTES) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_blanks_are_packed(spark):
+    docs = spark.createDataFrame([(1, " " * 1_000_000), (2, "plain"), (3, "\n" * 1_000_000)], "doc_id long, text string")
+    pieces = local(pack(docs, BYTES))
+    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {1: 1_000_001, 2: 2, 3: 500_001}
+    assert pieces["sequence_id"].nunique() == -(-1_500_004 // 2048)
+
+
 @pytest.mark.parametrize("source", ["odd", "table", "hot"])
 def test_packing_is_whole_and_gapless(spark, source):
     docs = {
