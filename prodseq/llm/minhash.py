@@ -134,8 +134,9 @@ def near_duplicates(
     the verdict. Other columns are not read; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    plain = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    signed = scratch.write(_sign(plain.withColumn("row", F.monotonically_increasing_id()), width), "signatures")
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    plain = scratch.write(plain, "documents")  # row numbers must stay what they are
+    signed = scratch.write(_sign(plain, width), "signatures")
     rooted = _rooted(plain, signed, scratch, width, percent, coordinates, matches)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = rooted.join(least, "root").select("set_key", "component_id")
@@ -158,7 +159,7 @@ def keep_one(
     numbered = scratch.write(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
     plain = numbered.select("row", F.col("doc")[id_column].alias("id"), F.col("doc")[text_column].alias("text"))
     signed = scratch.write(_sign(plain, width), "signatures")
-    rooted = _rooted(plain.drop("row"), signed, scratch, width, percent, coordinates, matches).select("set_key", "root")
+    rooted = _rooted(plain, signed, scratch, width, percent, coordinates, matches).select("set_key", "root")
     placed = signed.select("row", "id", "set_key").join(rooted, "set_key", "left")
     group = F.struct(F.col("set_key").isNull().alias("empty"), F.coalesce("root", "row").alias("root"))
     kept = placed.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row")).alias("first")).select("first.row")
@@ -170,18 +171,18 @@ def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, p
     nodes = scratch.write(
         signed.filter("set_key IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), F.min_by("id", "row").alias("id"), *(F.first(c).alias(c) for c in ("coordinates", "sketch"))),
+        .agg(F.min("row").alias("node"), F.min("id").alias("least_id"), *(F.first(c).alias(c) for c in ("coordinates", "sketch"))),
         "nodes",
     )
     prefixes = _prefixes(nodes, scratch, coordinates, matches)
     probes = scratch.write(_probes(prefixes, coordinates, matches), "probes")
     first = probes.select("a", "b")
-    links = scratch.write(_verified(first, scratch.write(_sets(plain, _ends(first), nodes, width), "sets"), percent), "links")
+    links = scratch.write(_verified(first, scratch.write(_sets(plain, _ends(first), width), "sets"), percent), "links")
     roots = components(links, scratch)
 
     tried = probes.select(F.explode(F.array("a", "low")).alias("a"), "b")
     clusters = components(tried, scratch).withColumnRenamed("root", "cluster")
-    inner = _within_clusters(clusters, roots, lambda wanted: _sets(plain, wanted, nodes, width), scratch, percent)
+    inner = _within_clusters(clusters, roots, lambda wanted: _sets(plain, wanted, width), scratch, percent)
 
     mixed = scratch.write(_mixed(prefixes, clusters).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed-lists")
     names = ("node", "root", "cluster", "sketch")
@@ -190,7 +191,7 @@ def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, p
     apart = (F.col("cluster_a") != F.col("cluster_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("inside") | (F.col("node_a") < F.col("node_b")))
     alike = _collisions(F.col("sketch_a"), F.col("sketch_b"), coordinates) >= matches
     rest = scratch.write(left.join(right, "key").filter(apart & alike).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
-    outer = _verified(rest, scratch.write(_sets(plain, _ends(rest), nodes, width), "sets"), percent)
+    outer = _verified(rest, scratch.write(_sets(plain, _ends(rest), width), "sets"), percent)
     grouped = components(links.unionByName(inner).unionByName(outer), scratch)
 
     return nodes.join(grouped, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
@@ -275,18 +276,16 @@ def _mixed(prefixes: DataFrame, clusters: DataFrame) -> DataFrame:
     return labelled.join(shares.filter("clusters > 1"), "key").select("key", "node", "sketch", "cluster", (F.col("cluster") == F.col("main")).alias("inside"))
 
 
-def _sets(plain: DataFrame, wanted: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def _sets(plain: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, hashes): full shingle sets of the wanted nodes, made anew from their texts.
 
-    Texts are found by id; where an id has several, the set's key tells the right one.
+    A node's number is the number of a row with its set, so each node meets one text.
     """
-    asked = nodes.join(wanted, "node").select("node", F.col("id").alias("asked_id"), "set_key")
-    joined = plain.join(asked, F.col("id").eqNullSafe(F.col("asked_id"))).select("node", "set_key", "text")
+    joined = plain.join(wanted.select("node"), F.col("row") == F.col("node")).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            sets = [s.tobytes() for s in shingle_sets(texts_of(batch), width)]
-            right = [i for i, (s, key) in enumerate(zip(sets, batch.column("set_key").to_pylist(), strict=True)) if hashlib.md5(s).digest() == key]
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(right, pa.int64())), pa.array([sets[i] for i in right], pa.binary())], names=["node", "hashes"])
+            sets = shingle_sets(texts_of(batch), width)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"])
 
     return joined.mapInArrow(run, "node long, hashes binary")

@@ -10,7 +10,7 @@ from odd import ODD, documents, local, table
 from prodseq.llm import queries
 from prodseq.llm.components import components
 from prodseq.llm.embeddings import Shard, _stored, links_between, near_duplicates
-from prodseq.llm.minhash import COORDINATES, _collisions, _common, keep_one
+from prodseq.llm.minhash import COORDINATES, _collisions, _common, _sets, keep_one
 from prodseq.llm.minhash import near_duplicates as near_texts
 from prodseq.llm.scratch import Scratch
 from prodseq.llm.shingles import shingle_sets
@@ -105,6 +105,23 @@ def test_minhash_odd_rows(spark):
     assert near_texts(docs.limit(0)).count() == 0 and keep_one(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_meet_their_own_text_only(spark):
+    # texts are found by the number of their row, so rows without id, or with one id, add no work
+    random.seed(12)
+    texts = noisy_copies() * 3
+    nodes = spark.createDataFrame([(i,) for i in range(0, len(texts), 2)], "node long")
+    plain = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "row long, id long, text string")
+    assert _sets(plain, nodes, 2).count() == nodes.count()
+    sizes, roots = brute_texts(texts, 2)
+    with_ids = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for doc_id in ("CAST(NULL AS LONG)", "7L"):
+        rows = near_texts(with_ids.selectExpr(f"{doc_id} AS doc_id", "text"))
+        assert rows.groupBy().sum("n_shingles").first()[0] == sum(sizes)
+    groups = len({r for r, n in zip(roots, sizes) if n})
+    empty = sum(n == 0 for n in sizes)
+    assert keep_one(with_ids.selectExpr("CAST(NULL AS LONG) AS doc_id", "text"), width=2).count() == groups + empty
+
+
 def test_sketch_collisions(spark):
     random.seed(2)
     a, b = ([random.choice([0, 1, 128, 255]) for _ in range(COORDINATES)] for _ in range(2))
