@@ -72,17 +72,20 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate([*slots, np.zeros(0, np.int64)]), np.concatenate([*values, np.zeros(0)]), np.array(lengths, np.int64)
 
 
-def _projected(slots: np.ndarray, values: np.ndarray, lengths: np.ndarray, directions: np.ndarray, step: int = 256) -> np.ndarray:
-    """The sparse rows times ``directions``, a few rows at a time."""
+def _projected(slots: np.ndarray, values: np.ndarray, lengths: np.ndarray, directions: np.ndarray, most: int = 1 << 16) -> np.ndarray:
+    """The sparse rows times ``directions``, about ``most`` entries at a time."""
     out = np.zeros((len(lengths), directions.shape[1]), directions.dtype)
     ends = np.cumsum(lengths)
-    for start in range(0, len(lengths), step):
-        n = lengths[start : start + step]
-        a, b = ends[start] - n[0], ends[min(start + step, len(lengths)) - 1]
+    start = 0
+    while start < len(lengths):
+        first = int(ends[start] - lengths[start])
+        stop = max(start + 1, int(np.searchsorted(ends, first + most, side="right")))
+        last, n = int(ends[stop - 1]), lengths[start:stop]
         held = n > 0
-        if b > a:
-            rows = directions[slots[a:b]] * values[a:b, None].astype(directions.dtype)
-            out[start : start + step][held] = np.add.reduceat(rows, (np.cumsum(n) - n)[held], axis=0)
+        if last > first:
+            rows = directions[slots[first:last]] * values[first:last, None].astype(directions.dtype)
+            out[start:stop][held] = np.add.reduceat(rows, (np.cumsum(n) - n)[held], axis=0)
+        start = stop
     return out
 
 
