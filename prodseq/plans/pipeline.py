@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -75,13 +76,18 @@ def stage1(ws: Workspace, reports: Reports, params: Params) -> Ranking:
     not to the demand rows.
     """
     moulds, mould_rows = None, 0
-    if reports.mould is not None:
-        summary = dp.mould_summary(reports.mould, params)
-        moulds, seen = ws.write_measured(summary, "moulds", n=F.count(F.lit(1)))
-        mould_rows = seen["n"]
-    # two steps read the buffer report: its used columns are parsed once
-    reports = replace(reports, bpr=ws.write(reports.bpr, "buffer"))
-    demand = demand_rows(ws, reports)
+    # moulds and demand do not wait for each other
+    with ThreadPoolExecutor(1) as pool:
+        written = None
+        if reports.mould is not None:
+            summary = dp.mould_summary(reports.mould, params)
+            written = pool.submit(ws.write_measured, summary, "moulds", n=F.count(F.lit(1)))
+        # two steps read the buffer report: its used columns are parsed once
+        reports = replace(reports, bpr=ws.write(reports.bpr, "buffer"))
+        demand = demand_rows(ws, reports)
+        if written is not None:
+            moulds, seen = written.result()
+            mould_rows = seen["n"]
     attributes = product_attributes(ws, demand, reports, params, moulds)
     rows = stored_rows(ws, scored_demand(demand, attributes, params), "demand")
     score = rounded(F.col("consolidated"), params.rank_scale)

@@ -1,15 +1,17 @@
 """What stands at the start of files, looked up by tasks instead of the driver.
 
-Every file gets a task of its own, which stops reading after its first lines. The lines
-are handed to a reader of quoted cells, so a quoted cell may hold line breaks. Only the
-records that a caller picks, and the paths that share them, come back.
+Every file gets a task of its own, and its first lines are put together to records, in
+which a quoted cell may hold line breaks. A small file is read to its end by the JVM, which
+takes less time than a Python process to start. A task on a large one hands its lines to
+Python, which stops the task after the first of them. Only the records that a caller asks
+for, and the paths that share them, come back.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -19,54 +21,88 @@ from pyspark.sql import functions as F
 
 #: Lines at the start of a file among which its header must be.
 HEAD_LINES = 50
+#: Bytes up to which a file is read whole by the JVM.
+SMALL_FILE = 64 << 20
 
 # So large that no two files share a task; a file of more gets more tasks, which end at once.
 _FILE_PER_TASK = str(1 << 30)
 _LINES_AT_ONCE = 64
+_SLOT_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: place in the task
+
+Cells = list[list[str]]
 
 
 def file_heads(spark: SparkSession, pattern: str, encoding: str = "UTF-8", lines: int = HEAD_LINES, nested: bool = False) -> DataFrame:
-    """(file, records): the records in the first ``lines`` lines of every file that matches.
+    """(file, records): the whole records in the first ``lines`` lines of every file that matches, as text.
 
     Empty files, hidden ones and blank lines are passed over. ``nested`` also looks into
     folders below a matching one.
     """
     session = spark.newSession()  # settings of this look-up only
-    session.conf.set("spark.sql.files.maxPartitionBytes", _FILE_PER_TASK)
-    session.conf.set("spark.sql.files.openCostInBytes", _FILE_PER_TASK)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_LINES_AT_ONCE))
+    for name, value in [
+        ("spark.sql.files.maxPartitionBytes", _FILE_PER_TASK),
+        ("spark.sql.files.openCostInBytes", _FILE_PER_TASK),
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", str(_LINES_AT_ONCE)),
+        ("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
+    ]:
+        session.conf.set(name, value)
     # one cell per line: no character separates or quotes
     read = session.read.schema("line string").options(encoding=encoding, sep="\x01", quote="", escape="", header="false")
     rows = read.option("recursiveFileLookup", str(nested).lower()).csv(pattern)
-    marked = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "line")
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, taken = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if batch.column("start")[0].as_py() > 0:
-                return  # a later part of a large file
-            file = batch.column("file")[0].as_py()
-            taken += [t or "" for t in batch.column("line").to_pylist()]
-            if len(taken) >= lines:
-                break
-        if file is not None:
-            text = "\n".join(taken[:lines]).removeprefix("﻿")
-            records = list(csv.reader(io.StringIO(text, newline="")))
-            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([records], pa.list_(pa.list_(pa.string())))], names=["file", "records"])
-
-    return marked.mapInArrow(first, "file string, records array<array<string>>")
+    size = F.col("_metadata.file_size")
+    columns = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().bitwiseAND(F.lit(_SLOT_MASK)).alias("at"), F.coalesce("line", F.lit("")).alias("line")]
+    small = rows.filter(size <= SMALL_FILE).select(*columns).filter((F.col("at") < lines) & (F.col("start") == 0))
+    large = rows.filter(size > SMALL_FILE).select(*columns).mapInArrow(lambda batches: _first(batches, lines), "file string, start long, at long, line string")
+    found = small.unionByName(large).groupBy("file").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines"))
+    return found.select("file", _records(F.transform("lines", lambda x: x["line"])).alias("records"))
+
+
+def _first(batches: Iterator[pa.RecordBatch], lines: int) -> Iterator[pa.RecordBatch]:
+    """The first lines of a task's file; the task ends without reading on."""
+    taken = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if batch.column("start")[0].as_py() > 0:
+            return  # a later part of the file
+        yield batch.slice(0, lines - taken)
+        taken += batch.num_rows
+        if taken >= lines:
+            return
+
+
+def _records(lines: Column) -> Column:
+    """Lines put together wherever a quote is still open at the end of one; an unfinished record is left out."""
+
+    def step(state: Column, line: Column) -> Column:
+        text = F.when(state["open"] > 0, F.concat(state["text"], F.lit("\n"), line)).otherwise(line)
+        quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+        open_ = (state["open"] + quotes) % 2
+        done = F.when(open_ == 0, F.concat(state["done"], F.array(text))).otherwise(state["done"])
+        return F.struct(done.alias("done"), text.alias("text"), open_.alias("open"))
+
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"), F.lit(0).alias("open"))
+    plain = F.transform(lines, lambda x: F.regexp_replace(x, "^﻿", ""))
+    return F.reduce(plain, start, step, lambda state: state["done"])
 
 
 def first_record() -> Column:
-    return F.get("records", F.lit(0))
+    """Candidates: the first record alone."""
+    return F.slice("records", 1, 1)
+
+
+def records_with(names: list[str]) -> Column:
+    """Candidates: all records in which every name stands somewhere."""
+    return F.filter("records", lambda r: F.forall(F.array(*[F.lit(n) for n in names]), lambda n: F.contains(r, n)))
+
+
+def holding(names: list[str]) -> Callable[[Cells], list[str] | None]:
+    """Picks the first candidate that has all the names as cells."""
+    return lambda candidates: next((cells for cells in candidates if set(names) <= set(cells)), None)
 
 
-def record_with(names: list[str]) -> Column:
-    """The first record that holds all the names; missing if there is none."""
-    wanted = F.array(*[F.lit(n) for n in names])
-    return F.get(F.filter("records", lambda r: F.size(F.array_intersect(r, wanted)) == len(set(names))), F.lit(0))
+def first_cells(candidates: Cells) -> list[str] | None:
+    return candidates[0] if candidates else None
 
 
 @dataclass(frozen=True)
@@ -79,26 +115,34 @@ class Shape:
     @property
     def multi_line(self) -> bool:
         """Whether a header cell holds a line break; such files must not be split."""
-        return any("\n" in (name or "") for name in self.header or ())
+        return any("\n" in name for name in self.header or ())
 
 
-def shapes(heads: DataFrame, header: Column, folder: str | None = None, shared: bool = False) -> list[Shape]:
+def shapes(
+    heads: DataFrame, candidates: Column, pick: Callable[[Cells], list[str] | None], folder: str | None = None, shared: bool = False
+) -> list[Shape]:
     """The files grouped by header, one entry per header.
 
-    ``folder`` is a pattern of folder names whose files belong together: where all of them
-    have one header the folder stands for them. With ``shared`` the files of such a folder
-    have one header in common, which stands in one of them.
+    ``candidates`` are records that may be the header; files with equal ones are grouped by
+    tasks, and ``pick`` decides for each group. ``folder`` is a pattern of folder names whose
+    files belong together: where all of them have equal candidates the folder stands for
+    them. With ``shared`` the files of such a folder have one header in common, which stands
+    in one of them.
     """
     parent = F.regexp_replace("file", "/[^/]*$", "")
     place = F.when(parent.rlike(f"{folder}$"), parent) if folder else F.lit(None).cast("string")
-    found = heads.select("file", F.coalesce(place, F.col("file")).alias("place"), header.alias("header"))
+    found = heads.select("file", F.coalesce(place, F.col("file")).alias("place"), candidates.alias("candidates"))
+    files = found.groupBy("place").agg(F.sort_array(F.collect_list(F.struct(F.col("file").alias("path"), "candidates"))).alias("files"))
+    distinct = F.array_distinct(F.flatten(F.transform("files", lambda f: f["candidates"])))
     if shared:
-        whole = found.groupBy("place").agg(F.min_by("header", F.when(F.col("header").isNotNull(), F.col("file"))).alias("header"))
-        paths = whole.select("header", F.col("place").alias("path"))
+        paths = files.select(F.col("place").alias("path"), distinct.alias("candidates"))
     else:
-        alike = found.groupBy("place").agg(F.count_distinct("header").alias("n"), F.first("header").alias("header"), F.collect_list(F.struct("header", F.col("file").alias("path"))).alias("files"))
-        one = F.array(F.struct(F.col("header").alias("header"), F.col("place").alias("path")))
-        paths = alike.select(F.explode(F.when(F.col("n") == 1, one).otherwise(F.col("files"))).alias("f")).select("f.*")
-    grouped = paths.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    made = [Shape(None if r["header"] is None else tuple(r["header"]), tuple(map(unquote, r["paths"]))) for r in grouped]
-    return sorted(made, key=lambda s: s.paths)
+        alike = F.size(F.array_distinct(F.transform("files", lambda f: f["candidates"]))) == 1
+        one = F.array(F.struct(F.col("place").alias("path"), F.get("files", F.lit(0))["candidates"].alias("candidates")))
+        paths = files.select(F.explode(F.when(alike, one).otherwise(F.col("files"))).alias("f")).select("f.*")
+    grouped = paths.groupBy("candidates").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    merged: dict[tuple[str, ...] | None, list[str]] = {}
+    for row in grouped:
+        cells = pick([next(csv.reader(io.StringIO(text, newline="")), []) for text in row["candidates"]])
+        merged.setdefault(None if cells is None else tuple(cells), []).extend(map(unquote, row["paths"]))
+    return sorted((Shape(header, tuple(sorted(paths))) for header, paths in merged.items()), key=lambda s: s.paths)

@@ -7,7 +7,8 @@ the path. Tables that are already landed as Parquet need only ``typed``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from prodseq.functions import nan_to_null, number
-from prodseq.sources.heads import HEAD_LINES, Shape, file_heads, first_record, record_with, shapes
+from prodseq.sources.heads import HEAD_LINES, Cells, Shape, file_heads, first_cells, first_record, holding, records_with, shapes
 from prodseq.sources.places import numbered, with_position
 
 
@@ -178,11 +179,11 @@ def typed(raw: DataFrame, report: Report) -> DataFrame:
     )
 
 
-def _shapes(spark: SparkSession, base: str, report: Report, dates: Iterable[date] | None, header: Column, lines: int, shared: bool) -> list[Shape]:
+def _shapes(spark: SparkSession, base: str, report: Report, dates: Iterable[date] | None, lines: int, candidates: Column, pick: Callable[[Cells], list[str] | None], shared: bool = False) -> list[Shape]:
     pattern = f"{base}/{report.glob(dates)}"
     if not matching_paths(spark, pattern):
         raise FileNotFoundError(f"no file of report {report.kind}: {pattern}")
-    return shapes(file_heads(spark, pattern, report.encoding, lines), header, report.name(), shared)
+    return shapes(file_heads(spark, pattern, report.encoding, lines), candidates, pick, report.name(), shared)
 
 
 def read_csv(
@@ -193,7 +194,7 @@ def read_csv(
     Files with equal headers are read by one scan; another column order, or more
     columns, only makes one more scan. A header cell may hold line breaks in quotes.
     """
-    found = _shapes(spark, base, report, dates, first_record(), HEADER_LINES, shared=False)
+    found = _shapes(spark, base, report, dates, HEADER_LINES, first_record(), first_cells)
 
     def scan(shape: Shape) -> DataFrame:
         absent = [n for n in report.columns if n not in shape.header]
@@ -220,7 +221,7 @@ def read_promoted(
     without a header is an error.
     """
     names = list(report.columns)
-    found = _shapes(spark, base, report, dates, record_with(names), HEAD_LINES, shared=True)
+    found = _shapes(spark, base, report, dates, HEAD_LINES, records_with(names), holding(names), shared=True)
     for shape in found:
         if shape.header is None:
             raise ValueError(f"no header row in report {report.kind} of {report.day_of(shape.paths[0])}")
@@ -248,16 +249,22 @@ def _empty(spark: SparkSession, report: Report) -> DataFrame:
 
 
 def read_reports(spark: SparkSession, base: str, dates: list[date]) -> Reports:
-    """All reports of the given dates; a date without a mould report has no mould rows."""
-    has_moulds = bool(matching_paths(spark, f"{base}/{MOULD.glob(dates)}"))
-    return Reports(
-        bor=read_csv(spark, base, BOR, dates),
-        bmr=read_promoted(spark, base, BMR, dates),
-        bpr=read_csv(spark, base, BPR, dates),
-        dispatch=read_csv(spark, base, DISPATCH),
-        curing=read_csv(spark, base, CURING),
-        mould=read_csv(spark, base, MOULD, dates) if has_moulds else None,
-    )
+    """All reports of the given dates; a date without a mould report has no mould rows.
+
+    The looks at the files' heads are small jobs of their own, so they run side by side.
+    """
+    reads = {
+        "bor": lambda: read_csv(spark, base, BOR, dates),
+        "bmr": lambda: read_promoted(spark, base, BMR, dates),
+        "bpr": lambda: read_csv(spark, base, BPR, dates),
+        "dispatch": lambda: read_csv(spark, base, DISPATCH),
+        "curing": lambda: read_csv(spark, base, CURING),
+    }
+    if matching_paths(spark, f"{base}/{MOULD.glob(dates)}"):
+        reads["mould"] = lambda: read_csv(spark, base, MOULD, dates)
+    with ThreadPoolExecutor(len(reads)) as pool:
+        started = {name: pool.submit(read) for name, read in reads.items()}
+        return Reports(**{name: read.result() for name, read in started.items()})
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -274,10 +281,10 @@ REQUIRED_MANUAL = ["SKU Code", "Quantity", "Market", "Highest Priority"]
 OWN_MANUAL = ["report_date", "entry_no"]
 
 
-def _manual_heads(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): header names of each file of a CSV list, without blanks around them."""
+def _manual_shapes(spark: SparkSession, path: str) -> list[Shape]:
+    """The files of a CSV list by their header names, without blanks around them."""
     heads = file_heads(spark, path, lines=HEADER_LINES, nested=True)
-    return heads.select("file", F.transform(first_record(), lambda n: F.btrim(n, F.lit(" \t\r\n"))).alias("header"))
+    return shapes(heads, first_record(), lambda found: [n.strip() for n in first_cells(found) or []])
 
 
 def is_csv(spark: SparkSession, path: str) -> bool:
@@ -290,16 +297,18 @@ def manual_columns(spark: SparkSession, path: str) -> DataFrame:
 
     ``position`` counts from 1 and is missing where the file lacks the column.
     """
-    column = F.explode(F.array(*[F.lit(n) for n in MANUAL_NAMES])).alias("column_name")
-    place = F.array_position("header", F.col("column_name")).cast("long")
-    known = _manual_heads(spark, path).select("file", "header", column)
-    required = F.col("column_name").isin(REQUIRED_MANUAL)
-    return known.select("file", "column_name", required.alias("is_required"), F.nullif(place, F.lit(0).cast("long")).alias("position"))
+    rows = [
+        (file, name, name in REQUIRED_MANUAL, shape.header.index(name) + 1 if name in shape.header else None)
+        for shape in _manual_shapes(spark, path)
+        for file in shape.paths
+        for name in MANUAL_NAMES
+    ]
+    return spark.createDataFrame(rows, "file string, column_name string, is_required boolean, position long")
 
 
 def _manual_csv(spark: SparkSession, path: str) -> DataFrame:
     """All files of the list under its column names, each read by its own header."""
-    found = shapes(_manual_heads(spark, path).select("file", "header"), F.col("header"))
+    found = _manual_shapes(spark, path)
     lacking = {p: absent for s in found for p in s.paths if (absent := [n for n in REQUIRED_MANUAL if n not in s.header])}
     if lacking:
         told = "; ".join(f"{p} {absent}" for p, absent in sorted(lacking.items())[:20])

@@ -136,16 +136,19 @@ def test_no_file_is_opened_on_the_driver_alone(spark, tmp_path):
         head, row = ("SKUCode,Cure Time", f"{A},{k}") if k % 2 else ("Cure Time,SKUCode", f"{k},{A}")
         put(tmp_path, f"R/rep_{day:%d-%m-%Y}.csv", f"{head}\n{row}\n")
     report = rp.Report("R", "R/rep_{date}.csv", rp.CURING.columns, "dd-MM-yyyy")
-    found = heads.shapes(heads.file_heads(spark, f"{tmp_path}/R/*.csv"), heads.first_record(), report.name())
+    found = heads.shapes(heads.file_heads(spark, f"{tmp_path}/R/*.csv"), heads.first_record(), heads.first_cells, report.name())
     assert sorted(len(s.paths) for s in found) == [30, 30]
     rows = {r["report_date"]: r["cure_time"] for r in rp.read_csv(spark, str(tmp_path), report).collect()}
     assert rows == {FIRST + timedelta(k): float(k) for k in range(60)}
 
 
-def test_head_of_a_large_file_ends_early(spark, tmp_path):
-    put(tmp_path, "big.csv", "a,b\n" + "x,y\n" * 400_000)
-    (row,) = heads.file_heads(spark, f"{tmp_path}/big.csv", lines=3).collect()
-    assert row["records"] == [["a", "b"], ["x", "y"], ["x", "y"]] and row["file"].endswith("/big.csv")
+@pytest.mark.parametrize("small", [1 << 26, 1 << 20])
+def test_heads_of_small_and_large_files(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(heads, "SMALL_FILE", small)
+    put(tmp_path, "big.csv", '\ufeffa,"b ""x""\nc"\n\n' + "x,y\n" * 400_000)
+    put(tmp_path, "little.csv", 'a,b\n"open')
+    rows = {r["file"].rsplit("/", 1)[1]: r["records"] for r in heads.file_heads(spark, f"{tmp_path}/*.csv", lines=4).collect()}
+    assert rows == {"big.csv": ['a,"b ""x""\nc"', "x,y", "x,y"], "little.csv": ["a,b"]}
 
 
 def test_quoted_line_breaks_in_headers(spark, tmp_path):
