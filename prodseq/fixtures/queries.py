@@ -23,7 +23,7 @@ from prodseq.operators.ranking import Rows
 from prodseq.plans import layouts
 from prodseq.plans import params as pm
 from prodseq.plans import pipeline as pl
-from prodseq.plans.workspace import Workspace
+from prodseq.plans.workspace import SLICE_ROWS, Workspace
 from prodseq.sources import calendar as cal
 from prodseq.sources import reports as rp
 from prodseq.sources.left_out import LeftOut
@@ -32,6 +32,9 @@ from prodseq.sources.sinks import order_faults, read_report, write_report
 # Averages and ranked scores are rounded so that both engines order rows alike.
 PARAMS = pm.Params(asp_scale=6, health_scale=6, rank_scale=9)
 
+#: Scores of a slice in the queries that show ranks over many slices.
+FEW_ROWS = 64
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -59,10 +62,9 @@ class _Run:
     """Steps of one run at one scale; each step is built when asked for."""
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, yearly: bool = False, by_range: bool = False, params: pm.Params = PARAMS
+        self, spark: SparkSession, sf_dir: str, yearly: bool = False, slice_rows: int = SLICE_ROWS, params: pm.Params = PARAMS
     ) -> None:
-        # by_range: every date is ranked by range partitions, as a large one is
-        self.ws = Workspace(spark, single_task_rows=0) if by_range else Workspace(spark)
+        self.ws = Workspace(spark, slice_rows=slice_rows)
         self.reports = landed(spark, sf_dir, yearly).reports()
         self.params = params
 
@@ -115,7 +117,7 @@ class _Run:
         return pl.stage3(self.ws, self.stage2(), self.reports.manual, PARAMS)
 
 
-def _step(build: Callable[[_Run], DataFrame], **how: bool) -> Query:
+def _step(build: Callable[[_Run], DataFrame], **how: int) -> Query:
     return lambda spark, sf_dir: build(_Run(spark, sf_dir, **how))
 
 
@@ -381,13 +383,14 @@ def queries() -> dict[str, Query]:
     }
     stage1_rows = lambda r: r.stage1().df
     stage2_rows = lambda r: r.stage2().df
-    by_range = {
+    # so few scores to a slice that every date has many, as a large one has
+    in_slices = {
         "rank_range_stage1": "consolidated_rank",
         "rank_range_proxy": "proxy_rank",
         "rank_range_final": "final_rank",
     }
     return {n: _step(build) for n, build in steps.items()} | {
-        n: _step(steps[like], by_range=True) for n, like in by_range.items()
+        n: _step(steps[like], slice_rows=FEW_ROWS) for n, like in in_slices.items()
     } | {
         "top_k_per_date": _step(
             lambda r: _pick(sm.top_rows(r.stage2().df, 5), ["report_date", "sku", "market", "machine_count", "demand_rank"]),

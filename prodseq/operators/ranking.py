@@ -1,11 +1,12 @@
 """Ranks within a date that do not put a whole date into one task.
 
-Rows are written once and counted per date. While every date is small, a plain
-window per date ranks them. A larger date is range-partitioned on the order
-itself: each sorted partition then holds a contiguous slice of the result, so a
-row's place is its place in the slice plus the number of rows in the slices
-before it. Equal rows are told apart by a stored row hash, so even a long run of
-equal keys is cut into several slices.
+A shared rank needs only the number of rows above each score. Rows are counted by score
+first, so a frequent score is one row; distinct scores are cut into slices at quantiles
+of their date, and small dates are one slice each. A running number follows a total
+order: rows are range-partitioned on it, so a row's number is its place in its partition
+plus the rows of the partitions before it. Equal rows are told apart by a stored row hash,
+so even a long run of equal keys is cut into several partitions. Both are the same plan
+whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -29,44 +30,28 @@ TIE_BREAK_REST = [
 ]
 
 
+#: Slices of a date at most, a power of two; quantiles are taken at as many places.
+MOST_SLICES = 1024
+
+
 @dataclass(frozen=True)
 class Rows:
-    """Written rows and a bound on the size of their largest date; large ones carry a hash per row."""
+    """Written rows, each with a hash of its place, or steps on them."""
 
     df: DataFrame
-    largest_date: int
     workspace: Workspace
 
-    @property
-    def is_large(self) -> bool:
-        """Whether some date may be too large for one task."""
-        return self.largest_date > self.workspace.single_task_rows
-
-    def using(self, df: DataFrame, more_rows: int = 0) -> Rows:
-        """The same rows, or fewer, after narrow steps; ``more_rows`` bounds additions."""
-        return replace(self, df=df, largest_date=self.largest_date + more_rows)
+    def using(self, df: DataFrame) -> Rows:
+        """The same workspace with other rows."""
+        return replace(self, df=df)
 
 
 def stored_rows(ws: Workspace, df: DataFrame, label: str) -> Rows:
-    """Write ``df`` and bound its largest date; rows held as copies are repeated after that.
-
-    The total counted during the write bounds every date. Only when the total is
-    too large for one task are the dates counted one by one.
-    """
-    weighted = "copies" in df.columns
-    weight = F.col("copies") if weighted else F.lit(1).cast("long")
-    table, seen = ws.write_measured(
-        df.drop(SALT), label, total=F.sum(weight)
-    )
-    largest = seen["total"] or 0
-    if largest > ws.single_task_rows:
-        per_date = table.groupBy(DATE).agg(F.sum(weight).alias("n"))
-        largest = per_date.agg(F.max("n")).first()[0]
-    if largest > ws.single_task_rows:
-        table = ws.salted(table)
-    if weighted:
+    """Write ``df`` and give each row a hash; rows held as copies are repeated after that."""
+    table = ws.salted(ws.write(df.drop(SALT), label))
+    if "copies" in df.columns:
         table = expand_copies(table, ws.copies_per_task)
-    return Rows(table, largest, ws)
+    return Rows(table, ws)
 
 
 def tie_break(df: DataFrame) -> list[Column]:
@@ -81,33 +66,39 @@ def tie_break(df: DataFrame) -> list[Column]:
 def with_rank(rows: Rows, score: Column, out: str) -> DataFrame:
     """Descending rank; equal scores share the lowest number, a missing score has none."""
     keyed = rows.df.withColumn("_score", score + 0.0)  # +0.0 makes -0.0 equal to 0.0
-    order = [F.col("_score").desc_nulls_last()]
-    known = F.col("_score").isNotNull()
-    if not rows.is_large:
-        window = Window.partitionBy(DATE).orderBy(*order)
-        ranked = keyed.withColumn(out, F.when(known, F.rank().over(window)))
-        return ranked.withColumn(out, F.col(out).cast("long")).drop("_score")
-    placed = _placed(rows.workspace, keyed, order)
-    # Only scores that occur more than once need a lookup of their first place.
-    shared = (
-        placed.filter(known)
-        .groupBy(DATE, "_score")
-        .agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
-        .filter("_n > 1")
-        .drop("_n")
-    )
-    ties = rows.workspace.write(shared, "ties")
-    ranked = placed.join(ties, [DATE, "_score"], "left").withColumn(
-        out, F.when(known, F.coalesce("_first", "_place"))
-    )
-    return ranked.drop("_score", "_first", "_place")
+    counts = keyed.filter(F.col("_score").isNotNull()).groupBy(DATE, "_score").agg(F.count("*").alias("_n"))
+    first = rows_above(counts, rows.workspace.slice_rows).select(DATE, "_score", (F.col("_above") + 1).alias(out))
+    return keyed.join(first, [DATE, "_score"], "left").drop("_score")
+
+
+def rows_above(counts: DataFrame, slice_rows: int) -> DataFrame:
+    """Add ``_above`` to distinct scores and their counts: the rows of the date with a higher score.
+
+    A slice holds the scores between two quantiles of the date's distinct scores, about
+    ``slice_rows`` of them. Within it counts are summed in order; the sums of the slices
+    above are added. Tables with one row per date or slice are broadcast.
+    """
+    # one text, not an expression for each share, which every later step would analyse again
+    shares = F.split(F.lit(",".join(str(i / MOST_SLICES) for i in range(1, MOST_SLICES))), ",").cast("array<double>")
+    quantiles = counts.groupBy(DATE).agg(F.count("*").alias("_scores"), F.percentile_approx("_score", shares, 10_000).alias("_cuts"))
+    # a power of two, so that the cuts of fewer slices are some of the cuts of more
+    wanted = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("_scores") / slice_rows)))
+    slices = F.least(F.lit(MOST_SLICES), F.pow(F.lit(2.0), wanted)).cast("int")
+    step = F.expr(f"{MOST_SLICES} DIV _slices").cast("int")
+    some = F.transform(F.sequence(F.lit(1), F.col("_slices") - 1), lambda i: F.get("_cuts", i * F.col("_step") - 1))
+    cuts = quantiles.withColumn("_slices", slices).withColumn("_step", step)
+    cuts = cuts.select(DATE, F.when(F.col("_slices") > 1, some).otherwise(F.array().cast("array<double>")).alias("_cuts"))
+    sliced = counts.join(F.broadcast(cuts), DATE).withColumn("_slice", F.size(F.filter("_cuts", lambda c: c > F.col("_score")))).drop("_cuts")
+    totals = sliced.groupBy(DATE, "_slice").agg(F.sum("_n").alias("_total"))
+    higher = Window.partitionBy(DATE).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(DATE, "_slice", F.coalesce(F.sum("_total").over(higher), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(DATE, "_slice").orderBy(F.col("_score").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summed = sliced.withColumn("_here", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    return summed.join(F.broadcast(offsets), [DATE, "_slice"]).withColumn("_above", F.col("_here") + F.col("_before")).drop("_slice", "_here", "_before")
 
 
 def with_row_number(rows: Rows, order: list[Column], out: str) -> DataFrame:
     """1, 2, 3 … per date in the given order."""
-    if not rows.is_large:
-        window = Window.partitionBy(DATE).orderBy(*order)
-        return rows.df.withColumn(out, F.row_number().over(window).cast("long"))
     return _placed(rows.workspace, rows.df, order).withColumnRenamed("_place", out)
 
 

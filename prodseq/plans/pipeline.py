@@ -62,7 +62,6 @@ class Ranking:
     rows: Rows
     products: DataFrame  # date and product pairs in demand
     moulds: DataFrame | None  # mould summary, if the reports had moulds
-    mould_rows: int  # at least the number of its rows
 
     @property
     def df(self) -> DataFrame:
@@ -75,24 +74,23 @@ def stage1(ws: Workspace, reports: Reports, params: Params) -> Ranking:
     If the reports include moulds, their summary is joined to the product table,
     not to the demand rows.
     """
-    moulds, mould_rows = None, 0
+    moulds = None
     # moulds and demand do not wait for each other
     with ThreadPoolExecutor(1) as pool:
         written = None
         if reports.mould is not None:
             summary = dp.mould_summary(reports.mould, params)
-            written = pool.submit(ws.write_measured, summary, "moulds", n=F.count(F.lit(1)))
+            written = pool.submit(ws.write, summary, "moulds")
         # two steps read the buffer report: its used columns are parsed once
         reports = replace(reports, bpr=ws.write(reports.bpr, "buffer"))
         demand = demand_rows(ws, reports)
         if written is not None:
-            moulds, seen = written.result()
-            mould_rows = seen["n"]
+            moulds = written.result()
     attributes = product_attributes(ws, demand, reports, params, moulds)
     rows = stored_rows(ws, scored_demand(demand, attributes, params), "demand")
     score = rounded(F.col("consolidated"), params.rank_scale)
     ranked = rows.using(with_rank(rows, score, "demand_rank"))
-    return Ranking(ranked, attributes.select("report_date", "sku"), moulds, mould_rows)
+    return Ranking(ranked, attributes.select("report_date", "sku"), moulds)
 
 
 def deployed_rows(ranking: Ranking) -> DataFrame:
@@ -104,16 +102,8 @@ def deployed_rows(ranking: Ranking) -> DataFrame:
 
 
 def stage2(ws: Workspace, ranking: Ranking, params: Params) -> Rows:
-    """Gap analysis of the demand ranking against machines.
-
-    Large dates are written again by the range-partitioned rank itself, so only
-    small ones are written here.
-    """
-    scored = dp.with_proxy_score(deployed_rows(ranking), params)
-    if ranking.rows.is_large:
-        rows = ranking.rows.using(scored, more_rows=ranking.mould_rows)
-    else:
-        rows = stored_rows(ws, scored, "deployment")
+    """Gap analysis of the demand ranking against machines."""
+    rows = stored_rows(ws, dp.with_proxy_score(deployed_rows(ranking), params), "deployment")
     flagged = dp.with_gap_flags(dp.with_proxy_rank(rows, params), params)
     return rows.using(dp.filled(flagged))
 
@@ -170,10 +160,10 @@ def stage3(ws: Workspace, gaps: Rows, manual: DataFrame, params: Params) -> Data
     A date without manual entries keeps its second-stage rows and order.
     """
     entries = manual_entries(ws, manual)
-    if entries.largest_date == 0:
+    if entries.df.isEmpty():
         return ov.without_manual(gaps)
     parts = prepare_override(ws, gaps, entries)
-    rows = parts.stage2.using(hybrid_rows(parts), more_rows=parts.manual.largest_date)
+    rows = parts.stage2.using(hybrid_rows(parts))
     final = ov.with_final_rank(rows, params.rank_scale)
     if parts.rest is None:
         return final

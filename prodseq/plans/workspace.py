@@ -17,9 +17,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-# A date with at most this many rows is ranked by one task, which takes about a
-# second; larger dates are range-partitioned.
-SINGLE_TASK_ROWS = 250_000
+# Distinct scores of a date that one task puts in order, about; it takes a second or so.
+SLICE_ROWS = 250_000
 
 # Copies of a row are made in blocks of at most this many; blocks beyond a row's first
 # are spread over tasks.
@@ -40,10 +39,10 @@ def _shared_folder(spark: SparkSession) -> str:
 
 @dataclass
 class Workspace:
-    """Folder of one run, and the sizes at which operators change strategy."""
+    """Folder of one run, and the sizes of the parts that work is cut into."""
 
     spark: SparkSession
-    single_task_rows: int = SINGLE_TASK_ROWS
+    slice_rows: int = SLICE_ROWS
     copies_per_task: int = COPIES_PER_TASK
     root: str = field(default="")
 

@@ -35,5 +35,5 @@ def ws(spark):
 
 @pytest.fixture
 def tiny_tasks(spark):
-    """Limits so low that every date takes the distributed path."""
-    return Workspace(spark, single_task_rows=0, copies_per_task=3)
+    """Parts so small that every date has many."""
+    return Workspace(spark, slice_rows=5, copies_per_task=3)

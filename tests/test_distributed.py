@@ -1,4 +1,4 @@
-"""Runs whose every rank is range-partitioned equal runs ranked by one task per date."""
+"""Runs whose every date is cut into many slices equal runs with one slice per date."""
 
 from dataclasses import replace
 from datetime import date
@@ -69,11 +69,11 @@ def test_sequence_properties(spark, ws):
     done.unpersist()
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize("limit", [1, 1000])
 def test_one_product_holds_most_rows(spark, ws, tiny_tasks, limit):
     """One SKU x location repeated, with repeated buffer rows and a manual entry."""
     hot, other = sku(1), sku(2)
-    space = replace(tiny_tasks, single_task_rows=limit)
+    space = replace(tiny_tasks, slice_rows=limit)
     r = reports(
         spark,
         bor=[bor_row(hot, norm=100.0 + i % 3) for i in range(30)] + [bor_row(other), bor_row(hot, "1300_ST10")],

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from prodseq.operators.ranking import stored_rows, with_rank, with_row_number
+from prodseq.operators.ranking import rows_above, stored_rows, with_rank, with_row_number
 from prodseq.plans.workspace import Workspace
 
 DAY = date(2026, 1, 1)
@@ -92,9 +92,39 @@ def test_negative_zero_ties_with_zero(spark, tiny_tasks, ws):
         assert sorted(r["r"] for r in rows) == [1, 1, 3]
 
 
+@pytest.mark.parametrize(("scores", "slice_rows"), [(4000, 1), (4000, 7), (50, 3), (3, 1)])
+def test_counts_above_each_score(spark, scores, slice_rows):
+    rows = random_rows(spark, 6000, scores, 0.3, 11).filter("score IS NOT NULL")
+    counts = rows.groupBy("report_date", F.col("score").alias("_score")).agg(F.count("*").alias("_n"))
+    found = {(r["report_date"], r["_score"]): r["_above"] for r in rows_above(counts, slice_rows).collect()}
+    held = {}
+    for r in counts.collect():
+        held.setdefault(r["report_date"], []).append((r["_score"], r["_n"]))
+    want = {}
+    for day, pairs in held.items():
+        above = 0
+        for score, n in sorted(pairs, reverse=True):
+            want[day, score] = above
+            above += n
+    assert found == want
+
+
+def test_scores_of_a_large_date_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counts = spark.range(20_000).select(F.lit(DAY).alias("report_date"), F.col("id").cast("double").alias("_score"), F.lit(1).cast("long").alias("_n"))
+        plan = rows_above(counts, 1000)
+        sizes = plan.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 8000
+        assert plan.filter(F.col("_above") != 19_999 - F.col("_score")).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_empty_input(spark, tiny_tasks):
     rows = stored_rows(tiny_tasks, random_rows(spark, 0, 5, 0.0, 1), "t")
-    assert rows.largest_date == 0
+    assert rows.df.isEmpty()
+    assert with_row_number(rows, [F.col("score").desc()], "n").count() == 0
     assert with_rank(rows, F.col("score"), "r").count() == 0
 
 
