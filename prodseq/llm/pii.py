@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -26,8 +26,12 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile("[0-9]+")
+#: What ends a token, and what ends one that has no blanks within its longest length.
+BLANK, MARK = re.compile(r"\s"), re.compile(r"[^\w.+@/#-]")
+#: Distinct tokens between two words, none of them known, that make the words a context of other things.
+FOREIGN = 3
 
-#: Digits a token needs to be a candidate, its longest length, and characters of a context word.
+#: What a candidate is: the digits it needs, its longest length, and the characters of a context word that are compared.
 LEAST_DIGITS, LONGEST, CONTEXT = 4, 64, 24
 
 
@@ -85,6 +89,14 @@ def _shape(token: str) -> str:
     return re.sub(r"[0-9]+", lambda m: f"<{min(20, len(m[0]))}>", re.sub(r"[^\W\d_]+", "a", token))
 
 
+def _around(text: str, start: int, end: int, stop: re.Pattern) -> tuple[int, int]:
+    """The token around some digits, up to characters of ``stop``; more than ``LONGEST`` are not looked at on either side."""
+    before = [m.end() for m in stop.finditer(text, max(0, start - LONGEST - 1), start)]
+    after = stop.search(text, end, min(len(text), end + LONGEST + 1))
+    low = before[-1] if before else max(0, start - LONGEST - 1)
+    return low, after.start() if after else min(len(text), end + LONGEST + 1)
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Places that may hold an identifier: base spans, and other tokens with enough digits."""
     taken = sorted((a, b) for _, a, b in base)
@@ -93,11 +105,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     for m in DIGITS.finditer(text):
         if m.start() < end:
             continue
-        start, end = m.span()
-        while start > 0 and not text[start - 1].isspace() and m.start() - start < LONGEST:
-            start -= 1
-        while end < len(text) and not text[end].isspace() and end - start <= LONGEST:
-            end += 1
+        start, end = _around(text, *m.span(), BLANK)
+        if end - start > LONGEST:  # no blanks: go by punctuation
+            start, end = _around(text, *m.span(), MARK)
         while k < len(taken) and taken[k][1] <= start:
             k += 1
         if any(a < end for a, _ in taken[k : k + 4]):
@@ -138,16 +148,21 @@ def scan(docs: DataFrame) -> DataFrame:
     return over_texts(docs, ["row", "id", "text"], run, f"{counts}, base string, base_sha256 string, candidates {CANDIDATE}")
 
 
-def discover(scanned: DataFrame, scratch: Scratch, rounds: int = 2, least_seeds: int = 3, confident: float = 0.8) -> DataFrame:
-    """(row, start, end) of unseen identifiers in contexts that mostly hold known ones.
+def discover(scanned: DataFrame, scratch: Scratch, least_seeds: int = 3, confident: float = 0.8) -> DataFrame:
+    """(row, start, end) of unseen identifiers in contexts that hold known ones.
 
     A pattern is a word before with the token's shape, a shape with the word after, or both
-    words. The graph joins each pattern with the distinct tokens seen in it. In a round a
-    pattern's score is the mean score of its tokens, counted with one token that scores
-    nothing; then a token's score is the chance that not all its good patterns are wrong.
-    Base tokens keep the score 1. A pattern is good from ``least_seeds`` tokens that score
-    and a score of ``confident``; tokens that reach it in the end are taken where they
-    stand in a good pattern.
+    words. The graph joins each pattern with the distinct tokens seen in it. Base tokens are
+    known identifiers. A token is known to be none if it also stands between two words that
+    surround three or more tokens, none of them a base token, most of which share no pattern
+    with one. All others are unknown.
+
+    In a round a pattern's trust is the share of known identifiers among its tokens, where
+    unknown tokens count only as far as they outnumber the known ones, and one token more is
+    counted against it. It is good from ``least_seeds`` known ones and a trust of
+    ``confident``. An unknown token is accepted when the chance that not all its good
+    patterns are wrong reaches ``confident``; then it is known. Rounds go on until nothing
+    new is accepted. Accepted tokens are taken where they stand in a good pattern.
     """
     seen = scanned.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     key = lambda mark, *parts: F.concat_ws("\x01", F.lit(mark), *parts)
@@ -158,20 +173,38 @@ def discover(scanned: DataFrame, scratch: Scratch, rounds: int = 2, least_seeds:
     )
     uses = seen.select("row", "start", "end", "seed", "instance", F.explode(F.array_compact(patterns)).alias("pattern"))
     graph = scratch.write(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "graph")
-    known = graph.groupBy("instance").agg(F.max("seed").alias("seed"))
-    scores = known.select("instance", "seed", F.col("seed").cast("double").alias("score"))
-    good = None
-    for _ in range(rounds):
-        joined = graph.select("pattern", "instance").join(scores, "instance")
-        rated = joined.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("trust"), F.sum(F.when(F.col("score") > 0, 1).otherwise(0)).alias("scored"))
-        good = scratch.write(rated.filter((F.col("scored") >= least_seeds) & (F.col("trust") >= confident)).select("pattern", "trust"), "patterns")
-        reached = graph.join(good, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-9)))))).alias("reached"))
-        updated = known.join(reached, "instance", "left")
-        scores = scratch.write(updated.select("instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("reached", F.lit(0.0))).alias("score")), "scores")
-    taken = scores.filter((~F.col("seed")) & (F.col("score") >= confident)).select("instance")
+    between = graph.filter(F.col("pattern").startswith("both\x01"))
+    near = graph.join(graph.filter("seed").select("pattern").distinct(), "pattern", "left_semi").select("instance").distinct().withColumn("near", F.lit(True))
+    contexts = between.join(near, "instance", "left").groupBy("pattern").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.count("near").alias("near"))
+    foreign = contexts.filter((F.col("n") >= FOREIGN) & ~F.col("seed") & (2 * F.col("near") < F.col("n")))
+    none = between.join(foreign.select("pattern"), "pattern", "left_semi").select("instance").distinct().withColumn("none", F.lit(True))
+    known = graph.groupBy("instance").agg(F.max("seed").alias("seed")).join(none, "instance", "left")
+    state = F.when(F.col("seed"), 1).when(F.col("none"), -1).otherwise(0)
+    states = scratch.write(known.select("instance", "seed", state.alias("state")), "states")
+    while True:
+        rated = graph.select("pattern", "instance").join(states, "instance").groupBy("pattern").agg(*(F.count_if(F.col("state") == k).alias(n) for k, n in ((1, "good"), (-1, "bad"), (0, "open"))))
+        against = F.col("bad") + F.greatest(F.lit(0), F.col("open") - F.col("good")) + 1
+        trusted = rated.withColumn("trust", F.col("good") / (F.col("good") + against))
+        good = scratch.write(trusted.filter((F.col("good") >= least_seeds) & (F.col("trust") >= confident)).select("pattern", "trust"), "patterns")
+        reached = graph.join(good, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("reached"))
+        accepted = (F.col("state") == 0) & (F.coalesce("reached", F.lit(0.0)) >= confident)
+        new = Observation()
+        updated = states.join(reached, "instance", "left").withColumn("accepted", accepted).observe(new, F.count_if("accepted").alias("n"))
+        before, states = states, scratch.write(updated.select("instance", "seed", F.when(F.col("accepted"), 1).otherwise(F.col("state")).alias("state")), "states")
+        scratch.drop(before)
+        if not _observed(new, states):
+            break
+    taken = states.filter((~F.col("seed")) & (F.col("state") == 1)).select("instance")
     return uses.filter("NOT seed").join(good.select("pattern"), "pattern", "left_semi").join(taken, "instance", "left_semi").select("row", "start", "end").distinct()
 
 
+def _observed(new: Observation, states: DataFrame) -> int:
+    """What the write counted; nothing where its plan found the table empty and dropped the count."""
+    if states.isEmpty():
+        return 0
+    return new.get["n"]
+
+
 def _with_all_spans(numbered: DataFrame, scratch: Scratch) -> DataFrame:
     """Scanned rows with ``spans``: base spans and then those that contexts add."""
     scanned = scratch.write(scan(numbered), "scanned")
