@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodseq.llm.batches import over_texts, texts_of
+from prodseq.llm.batches import over_texts, sliced, texts_of
 
 #: Bytes in a window; the network runs over each window of a text from both ends.
 WINDOW = 64
@@ -233,13 +234,16 @@ def keep_known_language(docs: DataFrame, least_score: float = 0.4, id_column: st
     If nothing can be learned (no labelled row), texts with a letter stay.
     """
     network = learn(docs, id_column, text_column)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
 
-    def run(batch: pa.RecordBatch) -> dict:
-        texts = texts_of(batch)
-        names, scores = label_texts(network, texts)
-        if network is None:
-            return {"known": pa.array([_has_letter(t) for t in texts], pa.bool_())}
-        return {"known": pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores.tolist(), strict=True)], pa.bool_())}
-
-    return over_texts(rows, ["row", "text"], run, "known boolean").filter("known").select("row.*")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # whole rows go through once, a slice at a time
+        for part in sliced(batches, text_column):
+            texts = texts_of(part, text_column)
+            names, scores = label_texts(network, texts)
+            if network is None:
+                known = [_has_letter(t) for t in texts]
+            else:
+                known = [n != UNKNOWN and s >= least_score for n, s in zip(names, scores.tolist(), strict=True)]
+            yield part.filter(pa.array(known, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
