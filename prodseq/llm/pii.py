@@ -253,7 +253,8 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text", length_column
     numbered = scratch.write(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
     texts = numbered.select("row", F.lit(None).cast("long").alias("id"), F.col(f"doc.{text_column}").alias("text"))
     spans = _with_all_spans(texts, scratch).filter("spans <> ''").select("row", "spans")
-    joined = numbered.join(spans, "row", "left").select("doc", _mask(F.col(f"doc.{text_column}"), F.coalesce("spans", F.lit(""))).alias("masked"))
+    # spans grow with the documents, so both sides are shuffled at every size
+    joined = numbered.join(spans.hint("merge"), "row", "left").select("doc", _mask(F.col(f"doc.{text_column}"), F.coalesce("spans", F.lit(""))).alias("masked"))
     columns = []
     for field in docs.schema.fields:
         if field.name == text_column:
