@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prodseq.llm.scratch import Scratch
+
 #: Words in a window whose repetition is counted.
 WINDOW = 5
 
@@ -27,15 +29,23 @@ RULES = (
     Rule("repeated_lines", "n_lines >= 3 AND 100 * n_dup_lines > 40 * n_lines"),
     Rule("capitals", "100 * n_capitals > 40 * word_chars"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 25 * n_words"),
+    Rule("letterless", "100 * n_letterless > 50 * n_words"),
+    Rule("long_words", "100 * n_long_words > 15 * n_words"),
+    Rule("bullet_lines", "n_lines >= 3 AND 100 * n_bullet_lines > 90 * n_lines"),
+    Rule("cut_lines", "n_lines >= 3 AND 100 * n_cut_lines > 30 * n_lines"),
 )
 
 #: Each policy version and the rules that reject a document under it.
 POLICIES = {
     "base-1": ("few_words", "repeated_windows"),
     "web-1": ("few_words", "repeated_windows", "symbols", "repeated_lines"),
-    "web-2": tuple(rule.name for rule in RULES),
+    "web-2": ("few_words", "repeated_windows", "symbols", "repeated_lines", "capitals", "word_length"),
+    "web-3": tuple(rule.name for rule in RULES),
 }
-BASE, CURRENT = "base-1", "web-2"
+BASE, CURRENT = "base-1", "web-3"
+
+#: Code points beyond which a word is long.
+LONG_WORD = 40
 
 
 def mask(policy: str) -> int:
@@ -95,6 +105,10 @@ def ledger(docs: DataFrame, text_column: str = "text") -> DataFrame:
             F.size("lines").cast("long").alias("n_lines"),
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
             _repeat_words(F.col("words"), F.col("n")).cast("long").alias("n_repeat_words"),
+            F.size(F.filter("words", lambda word: ~word.rlike("\\p{L}"))).cast("long").alias("n_letterless"),
+            F.size(F.filter("words", lambda word: F.length(word) > LONG_WORD)).cast("long").alias("n_long_words"),
+            F.size(F.filter("lines", lambda line: line.rlike("^[\\x20\\t]*[-*\u2022]"))).cast("long").alias("n_bullet_lines"),
+            F.size(F.filter("lines", lambda line: line.rlike("(\\.\\.\\.|\u2026)[\\x20\\t\\r]*\\z"))).cast("long").alias("n_cut_lines"),
             ))).alias("m"),
         )
         .select("row", "m.*")
@@ -111,19 +125,30 @@ def passes(policy: str) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(mask(policy))) == 0
 
 
-def verdicts(docs: DataFrame, policy: str = CURRENT, id_column: str = "doc_id") -> DataFrame:
-    """Ledger rows by id with the base verdict and the verdict of ``policy``.
+def store(docs: DataFrame, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """The ledger without the input's texts, written once: ``id``, measurements and ``fail_bits``.
+
+    Policies and ablations read this table and evaluate no rule again. A row per input row,
+    also for missing or repeated ids; an empty table gives an empty one.
+    """
+    rows = ledger(docs, text_column)
+    return Scratch(docs.sparkSession, "quality").write(rows.select(F.col("row")[id_column].alias("id"), *rows.columns[1:]), "ledger")
+
+
+def verdicts(stored: DataFrame, policy: str = CURRENT, id_column: str = "doc_id") -> DataFrame:
+    """Rows of a stored ledger by id with the base verdict and the verdict of ``policy``.
 
-    ``sole_failure`` names the rule that alone rejects the row under the policy.
+    ``sole_failure`` names the rule that alone rejects the row under the policy. Texts of any
+    length, missing ones and repeated rows are in the ledger, so each has its row here.
     """
     hit = F.col("fail_bits").bitwiseAND(F.lit(mask(policy)))
     sole = F.coalesce(*(F.when(hit == (1 << bit), F.lit(rule.name)) for bit, rule in enumerate(RULES)))
-    return ledger(docs).select(
-        F.col("row")[id_column].alias(id_column),
+    return stored.select(
+        F.col("id").alias(id_column),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~passes(BASE)).alias("base_failed"),
         (passes(BASE) & passes(policy)).alias("kept"),
-        "n_lines", "n_capitals", "fail_bits",
+        "n_lines", "n_capitals", "n_letterless", "n_long_words", "n_bullet_lines", "n_cut_lines", "fail_bits",
         F.lit(policy).alias("policy"),
         sole.alias("sole_failure"),
     )
@@ -161,16 +186,19 @@ def ablation(rows: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
-    """The input rows that pass the base rules and the policy, with their own columns only."""
+    """The input rows that pass the base rules and the policy, with their own columns only.
+
+    Missing and empty texts fail; repeated rows pass or fail alike; an empty table stays empty.
+    """
     return ledger(docs).filter(passes(BASE) & passes(policy)).select("row.*")
 
 
-#: The verdicts as DuckDB SQL over the documents table.
-VERDICTS_SQL = f"""
+#: The verdicts as DuckDB SQL over the documents table, with numbers of its own.
+VERDICTS_SQL = r"""
 WITH w AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t,
-    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 windows AS (
   SELECT k, i, array_to_string(words[i:i + 4], chr(10)) AS v
@@ -184,31 +212,50 @@ m AS (
     length(array_to_string(words, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
     length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
+    len(list_filter(words, lambda x: NOT regexp_matches(x, '\p{L}'))) AS n_letterless,
+    len(list_filter(words, lambda x: length(x) > 40)) AS n_long_words,
     len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]'))) AS n_bullet_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\t\r]*\z'))) AS n_cut_lines,
     coalesce(covered.n, 0) AS n_repeat_words
   FROM w LEFT JOIN covered ON covered.k = w.k),
+f AS (
+  SELECT *, n_words < 10 AS few_words, n_repeat_words > 0.2 * n_words AS repeated_windows,
+    n_symbols > 0.08 * word_chars AS symbols, n_lines >= 3 AND n_dup_lines > 0.4 * n_lines AS repeated_lines,
+    n_capitals > 0.4 * word_chars AS capitals, word_chars NOT BETWEEN 2 * n_words AND 25 * n_words AS word_length,
+    n_letterless > 0.5 * n_words AS letterless, n_long_words > 0.15 * n_words AS long_words,
+    n_lines >= 3 AND n_bullet_lines > 0.9 * n_lines AS bullet_lines, n_lines >= 3 AND n_cut_lines > 0.3 * n_lines AS cut_lines
+  FROM m),
 b AS (
-  SELECT *, {" + ".join(f"CASE WHEN {rule.fails} THEN {1 << bit} ELSE 0 END" for bit, rule in enumerate(RULES))} AS fail_bits FROM m)
+  SELECT *, CAST(few_words AS BIGINT) + 2 * CAST(repeated_windows AS BIGINT) + 4 * CAST(symbols AS BIGINT)
+    + 8 * CAST(repeated_lines AS BIGINT) + 16 * CAST(capitals AS BIGINT) + 32 * CAST(word_length AS BIGINT)
+    + 64 * CAST(letterless AS BIGINT) + 128 * CAST(long_words AS BIGINT) + 256 * CAST(bullet_lines AS BIGINT)
+    + 512 * CAST(cut_lines AS BIGINT) AS fail_bits
+  FROM f)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  fail_bits & {mask(BASE) | mask(CURRENT)} = 0 AS kept,
-  CAST(n_lines AS BIGINT) AS n_lines, CAST(n_capitals AS BIGINT) AS n_capitals, CAST(fail_bits AS BIGINT) AS fail_bits,
-  '{CURRENT}' AS policy,
-  CASE fail_bits & {mask(CURRENT)} {" ".join(f"WHEN {1 << bit} THEN '{rule.name}'" for bit, rule in enumerate(RULES))} END AS sole_failure
+  few_words OR repeated_windows AS base_failed, fail_bits = 0 AS kept,
+  CAST(n_lines AS BIGINT) AS n_lines, CAST(n_capitals AS BIGINT) AS n_capitals, CAST(n_letterless AS BIGINT) AS n_letterless,
+  CAST(n_long_words AS BIGINT) AS n_long_words, CAST(n_bullet_lines AS BIGINT) AS n_bullet_lines,
+  CAST(n_cut_lines AS BIGINT) AS n_cut_lines, CAST(fail_bits AS BIGINT) AS fail_bits, 'web-3' AS policy,
+  CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols' WHEN 8 THEN 'repeated_lines'
+    WHEN 16 THEN 'capitals' WHEN 32 THEN 'word_length' WHEN 64 THEN 'letterless' WHEN 128 THEN 'long_words'
+    WHEN 256 THEN 'bullet_lines' WHEN 512 THEN 'cut_lines' END AS sole_failure
 FROM b
 """
 
-#: The ablations as DuckDB SQL over the documents table.
+#: The ablations as DuckDB SQL over the documents table: policy, its bits, and the place of each rule.
 ABLATION_SQL = f"""
 WITH v AS ({VERDICTS_SQL}),
-s(policy, rule, mask, bit) AS (VALUES {", ".join(f"('{policy}', '{rule.name}', {mask(policy)}, {1 << bit})" for policy, names in POLICIES.items() for bit, rule in enumerate(RULES) if rule.name in names)})
-SELECT s.policy AS policy, s.rule AS rule, count(*) AS n_rows,
+p(policy, mask) AS (VALUES ('base-1', 3), ('web-1', 15), ('web-2', 63), ('web-3', 1023)),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('repeated_lines', 8), ('capitals', 16),
+  ('word_length', 32), ('letterless', 64), ('long_words', 128), ('bullet_lines', 256), ('cut_lines', 512))
+SELECT p.policy AS policy, r.rule AS rule, count(*) AS n_rows,
   count(*) FILTER (WHERE (fail_bits & bit) <> 0) AS n_failed,
   count(*) FILTER (WHERE (fail_bits & mask) = bit) AS n_sole,
   count(*) FILTER (WHERE (fail_bits & mask) = 0) AS n_kept,
   count(*) FILTER (WHERE (fail_bits & (mask - bit)) = 0) AS n_kept_without
-FROM v, s GROUP BY s.policy, s.rule
+FROM v, p, r WHERE p.mask & r.bit <> 0 GROUP BY p.policy, r.rule
 """

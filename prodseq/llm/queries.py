@@ -18,17 +18,15 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from prodseq.llm.max_sketches import RANKED_SQL
-    from prodseq.llm.quality import verdicts
+    from prodseq.llm.quality import store, verdicts
 
-    return verdicts(_table(spark, sf_dir, "documents"))
+    return verdicts(store(_table(spark, sf_dir, "documents")))
 
 
 def op1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from prodseq.llm.max_sketches import RANKED_SQL
-    from prodseq.llm.quality import ablation, ledger
+    from prodseq.llm.quality import ablation, store
 
-    return ablation(ledger(_table(spark, sf_dir, "documents")))
+    return ablation(store(_table(spark, sf_dir, "documents")))
 
 
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from prodseq.llm import queries
 from prodseq.llm.language import UNKNOWN, Network, keep_known_language, label_texts, learn, predict
+from prodseq.llm.toxicity import Machine
 from prodseq.llm.toxicity import learn as learn_toxic
 from prodseq.llm.toxicity import score, terms, train
 
@@ -71,6 +72,28 @@ def test_whole_text_counts():
     assert np.allclose(label_texts(network, ["ab", long, "1", "c"])[1], [alone[0], alone[1], 0, alone[2]], atol=1e-5)
 
 
+def test_logits_equal_the_plain_sum_over_pairs():
+    random = np.random.default_rng(8)
+    machine = Machine(random.standard_normal(50), random.standard_normal((50, 4)), 0.3)
+    sets = [[], [7], [3, 4], *(random.choice(50, size, replace=False).tolist() for size in (5, 17, 50)), []]
+    plain = [
+        machine.bias
+        + sum(machine.weights[a] for a in one)
+        + sum(float(machine.factors[a] @ machine.factors[b]) for k, a in enumerate(one) for b in one[k + 1 :])
+        for one in sets
+    ]
+    found = machine.logits(np.array([f for s in sets for f in s], dtype=np.int64), np.array([len(s) for s in sets]))
+    assert np.allclose(found, plain)
+
+
+def test_toxicity_fit_does_not_depend_on_the_order_of_rows(spark):
+    words = "red green blue stone river cloud".split()
+    rows = [(k // 2, f"{words[k % 6]} {words[k // 6 % 6]} {'bad' if k % 4 < 2 else 'good'}") for k in range(120)]
+    labels = spark.createDataFrame([(k, int(k % 2 == 0)) for k in range(60)], "doc_id long, toxic int")
+    fits = [learn_toxic(spark.createDataFrame(some, "doc_id long, text string").repartition(n), labels) for some, n in ((rows, 1), (rows[::-1], 5))]
+    assert (fits[0].weights == fits[1].weights).all() and (fits[0].factors == fits[1].factors).all() and fits[0].bias == fits[1].bias
+
+
 def test_factors_learn_what_weights_cannot():
     # two terms are toxic only together
     sets = [[0], [1], [0, 1], []] * 100

@@ -8,7 +8,7 @@ from odd import ODD, documents, local, table
 from pyspark.sql import functions as F
 
 from prodseq.llm import queries
-from prodseq.llm.quality import POLICIES, RULES, ablation, keep_good, ledger, mask, verdicts
+from prodseq.llm.quality import POLICIES, RULES, ablation, keep_good, ledger, mask, store, verdicts
 from prodseq.llm.secrets import RULES as SECRETS
 from prodseq.llm.secrets import candidates, find_secrets, secret_digest
 from prodseq.llm.trigrams import trigram_query
@@ -42,7 +42,7 @@ def brute_repeats(text):
 def test_repeated_windows(spark):
     texts = ["a b c d e", "a a a a a a", "a b c d e f a b c d e", "a b c d e a b c d e a b c d", "x " * 40, "p q r s t u p q r s t v q r s t u"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    found = {r.doc_id: (r.n_words, r.n_repeat_words) for r in verdicts(docs).collect()}
+    found = {r.doc_id: (r.n_words, r.n_repeat_words) for r in verdicts(store(docs)).collect()}
     assert found == {i: brute_repeats(t) for i, t in enumerate(texts)}
 
 
@@ -53,7 +53,29 @@ def test_ablation_counts_by_bits(spark):
     few = found["base-1", "few_words"]
     assert (few.n_rows, few.n_failed, few.n_sole, few.n_kept, few.n_kept_without) == (6, 3, 2, 3, 5)
     assert found["web-2", "word_length"].n_sole == 1
-    assert ablation(rows.limit(0)).count() == 0 and mask("web-2") == (1 << len(RULES)) - 1
+    assert ablation(rows.limit(0)).count() == 0 and mask("web-3") == (1 << len(RULES)) - 1
+
+
+def test_each_rule_rejects_its_text(spark):
+    plain = [f"word{'abcdefghij'[i % 10]}{'klmnopqrstuvwxyz'[i % 16]} here" for i in range(12)]
+    cases = {
+        "": " ".join(plain),
+        "few_words": "only three words",
+        "symbols": " ".join(plain) + " ####################",
+        "repeated_lines": "\n".join(line for first in plain[:6] for line in (first, "Same")),
+        "capitals": " ".join(plain).upper(),
+        "word_length": " ".join("abcdefghijklmnopqrstuvwxyzabcd" + c for c in "abcdefghijk"),
+        "letterless": " ".join(f"{i * 7919 % 90001:06d}" for i in range(12)),
+        "long_words": " ".join(plain) + " " + " ".join("x" * 41 + c for c in "abcdef"),
+        "bullet_lines": "\n".join(f" - {line}" for line in plain),
+        "cut_lines": "\n".join(f"{line}...\r" for line in plain),
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases.values())], "doc_id long, text string")
+    stored = store(docs)
+    found = {r.doc_id: (r.sole_failure or "", r.kept) for r in verdicts(stored).collect()}
+    assert found == {i: (name, not name) for i, name in enumerate(cases)}
+    assert "text" not in stored.columns and "row" not in stored.columns
+    assert {r.doc_id for r in verdicts(stored, "web-2").filter("kept").collect()} == {0, 6, 7, 8, 9}
 
 
 def test_good_rows_keep_all_columns(spark):
