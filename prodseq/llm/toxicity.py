@@ -43,7 +43,7 @@ def _raised(weights: np.ndarray, factors: np.ndarray, owner: np.ndarray, n: int)
 
 
 def train(
-    features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_features: int, place: np.ndarray | None = None, factors: int = 4, rounds: int | None = None, batch: int = 256,
+    features: np.ndarray, lengths: np.ndarray, labels: np.ndarray, n_features: int, place: np.ndarray | None = None, factors: int = 4, rounds: int = 24, batch: int = 256,
     rate: float = 0.5, pressure: float = 0.8, shrink: float = 2.0, start_size: float = 0.2, decay: float = 1e-4, seed: int = 5,
 ) -> Machine:
     """Fit every feature's weight and factors, and the bias, on the mean logistic loss.
@@ -52,12 +52,11 @@ def train(
     ``pressure`` times what chance would give a feature that is seen as often. After four
     tenths of the rounds those that left are no longer held back. A row of factors shrinks by
     ``shrink`` times the gradient that chance would give it; it needs no weight of its own.
-    Few rows are seen in up to 40 rounds, many in 12. Each step sees a random three quarters of the features, so that each of them has to
-    count alone as well as with the others.
+    Rows are seen in as many rounds at every size. Each step sees a random three quarters of
+    the features, so that each of them has to count alone as well as with the others.
     """
     random = np.random.default_rng(seed)
     n = len(labels)
-    rounds = int(np.clip(600 * batch // max(n, 1), 12, 40)) if rounds is None else rounds
     share = np.clip(labels.mean() if n else 0.5, 1e-3, 1 - 1e-3)
     used = np.bincount(features, minlength=n_features) if n else np.zeros(n_features)
     weights, bias = np.zeros(n_features), float(np.log(share / (1 - share)))
