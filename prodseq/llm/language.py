@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 
 from prodseq.llm.batches import over_texts, sliced, texts_of
 
-#: Bytes in a window; the network runs over each window of a text from both ends.
-WINDOW = 64
+#: Letters of a piece that the network learns from.
+PIECE = 64
+#: Bytes in a window; windows of a text are run side by side, with states carried over their edges.
+WINDOW = 256
+#: Bytes beyond a window's edge from which the state carried into it is first guessed.
+RUN_IN = 128
+#: How far a carried state may be from the one that the neighbouring window ends in.
+EDGE = 0.01
 #: Units of each direction.
 UNITS = 8
 #: Windows that are worked on at once.
-BLOCK = 2048
+BLOCK = 1024
 
 UNKNOWN = "und"
 
@@ -53,35 +59,53 @@ class Network:
     def weights(self) -> list[np.ndarray]:
         return [self.inputs, self.states, self.head, self.bias]
 
-    def run(self, windows: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """States of all positions, (positions, 2 units, windows), for (positions, windows) bytes.
+    def walk(self, side: int, windows: np.ndarray, state: np.ndarray, left: np.ndarray | None = None, out: np.ndarray | None = None, kept: list | None = None) -> np.ndarray:
+        """The state after all positions of a direction, from the given one (units, windows).
 
+        ``left`` counts each window's valid positions; at others the state is zero, so that
+        the backward direction starts at a text's end. States are written to ``out``.
         Gates are written with tanh: a gate is (1 + tanh) / 2, update first, then reset.
-        With ``keep`` the values the gradient needs are added to it, by direction.
+        """
+        steps, units = len(windows), self.states.shape[2]
+        least = steps if left is None else int(left.min(initial=steps))
+        for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
+            given = np.take(self.inputs[side], windows[t], axis=1, mode="clip")
+            carried = self.states[side] @ state
+            gates = np.tanh(given[: 2 * units] + carried[: 2 * units])
+            new = gates[units:] * carried[2 * units :]
+            new += carried[2 * units :]
+            new += given[2 * units :]
+            np.tanh(new, out=new)
+            move = state - new
+            following = gates[:units] * move
+            following += move
+            following *= 0.5
+            following += new
+            if t >= least:
+                following *= left > t
+            if kept is not None:
+                kept.append((t, state, carried[2 * units :], gates, new))
+            state = following
+            if out is not None:
+                out[t] = state
+        return state
+
+    def run(self, windows: np.ndarray, keep: list | None = None, left: np.ndarray | None = None, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> np.ndarray:
+        """States of all positions, (positions, 2 units, windows), for (positions, windows) bytes.
+
+        Each direction begins with its ``starts`` (2, units, windows) or zero; the states it
+        ends in are written to ``ends``. With ``keep`` the values the gradient needs are
+        added to it, by direction.
         """
         steps, count = windows.shape
         units = self.states.shape[2]
         out = np.empty((steps, 2 * units, count), np.float32)
         for side in range(2):
-            state = np.zeros((units, count), np.float32)
-            kept = []
-            for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
-                given = np.take(self.inputs[side], windows[t], axis=1, mode="clip")
-                carried = self.states[side] @ state
-                gates = np.tanh(given[: 2 * units] + carried[: 2 * units])
-                new = gates[units:] * carried[2 * units :]
-                new += carried[2 * units :]
-                new += given[2 * units :]
-                np.tanh(new, out=new)
-                move = state - new
-                following = gates[:units] * move
-                following += move
-                following *= 0.5
-                following += new
-                if keep is not None:
-                    kept.append((t, state, carried[2 * units :], gates, new))
-                state = following
-                out[t, side * units : (side + 1) * units] = state
+            kept: list | None = None if keep is None else []
+            start = np.zeros((units, count), np.float32) if starts is None else starts[side]
+            end = self.walk(side, windows, start, left, out[:, side * units : (side + 1) * units], kept)
+            if ends is not None:
+                ends[side] = end
             if keep is not None:
                 keep.append(kept)
         return out
@@ -94,11 +118,11 @@ class Network:
         scores /= scores.sum(axis=1, keepdims=True)
         return scores
 
-    def gradient(self, windows: np.ndarray, weight: np.ndarray, label: np.ndarray) -> list[np.ndarray]:
+    def gradient(self, windows: np.ndarray, weight: np.ndarray, label: np.ndarray, left: np.ndarray | None = None) -> list[np.ndarray]:
         """Gradient of the mean cross-entropy of all positions, by backpropagation through time."""
         units = self.states.shape[2]
         keep: list = []
-        states = self.run(windows, keep)
+        states = self.run(windows, keep, left)
         error = self.chances(states)
         error[:, label, np.arange(len(label))] -= 1
         error *= (weight / weight.sum())[:, None, :]
@@ -111,6 +135,8 @@ class Network:
             pieces, order = [], []
             for t, state, candidate, gates, new in reversed(keep[side]):
                 back = back + into[t, side * units : (side + 1) * units]
+                if left is not None:
+                    back *= left > t
                 update, reset = (gates[:units] + 1) * 0.5, gates[units:] + 1
                 d_new = back * (1 - update) * (1 - new * new)
                 d_update = back * (state - new) * 0.5 * (1 - gates[:units] ** 2)
@@ -126,8 +152,9 @@ class Network:
         return [inputs, recurrent, head, bias]
 
 
-def train(windows: np.ndarray, weight: np.ndarray, label: np.ndarray, labels: list[str], rounds: int = 160, batch: int = 256, rate: float = 0.03, seed: int = 7) -> Network:
-    """Fit a network to (windows, positions) bytes by Adam steps on random batches."""
+def train(windows: np.ndarray, left: np.ndarray, label: np.ndarray, labels: list[str], rounds: int = 160, batch: int = 256, rate: float = 0.03, seed: int = 7) -> Network:
+    """Fit a network to (windows, positions) bytes, ``left`` of each valid, by Adam steps on random batches."""
+    weight = (np.arange(windows.shape[1])[None, :] < left[:, None]).astype(np.float32)
     network = Network.start(labels, seed=seed)
     random = np.random.default_rng(seed)
     first = [np.zeros_like(w) for w in network.weights()]
@@ -135,7 +162,7 @@ def train(windows: np.ndarray, weight: np.ndarray, label: np.ndarray, labels: li
     for step in range(1, rounds + 1):
         chosen = random.integers(0, len(windows), min(batch, len(windows)))
         slow = rate * 0.5 * (1 + np.cos(np.pi * step / rounds))
-        for w, g, m, v in zip(network.weights(), network.gradient(windows[chosen].T, weight[chosen].T, label[chosen]), first, second, strict=True):
+        for w, g, m, v in zip(network.weights(), network.gradient(windows[chosen].T, weight[chosen].T, label[chosen], left[chosen]), first, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             w -= (slow * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
@@ -163,10 +190,12 @@ def held_out(id_column: str) -> Column:
 
 
 def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang", per_label: int = 500, parts: int = 4) -> Network | None:
-    """Train on up to about ``per_label`` documents of each label, ``parts`` windows of each.
+    """Train on up to about ``per_label`` documents of each label, ``parts`` pieces of each.
 
-    The bound is on the training sample only: documents are taken by a hash of their id, at
-    a rate set by the label's count over all documents, so that rare labels count as much.
+    Pieces of 64 letters begin at places hashed from the id, over the whole text; all their bytes are used.
+    The bound is on the training sample only: documents are taken by a hash of their id and text, at
+    a rate set by the label's count over all documents, so that rare labels count as much. Equal rows
+    count once; rows without id, without label or without a letter are not learned from.
     Returns None if there is no label to learn.
     """
     usable = docs.filter(~held_out(id_column)).filter(F.col(label_column).isNotNull() & F.col(text_column).rlike("\\p{L}"))
@@ -176,16 +205,64 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return None
     million = 1_000_000
     share = F.create_map(*(F.lit(x) for label, n in counts.items() for x in (label, min(million, million * per_label // n + 1))))
-    spots = [F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))) + 1 for k in range(parts)]
-    pieces = [F.col("text").substr(p.cast("int"), F.lit(WINDOW)) for p in spots]
-    sample = usable.filter(F.pmod(F.xxhash64("id"), F.lit(million)) < share[F.col("label")]).select("id", "label", F.array(*pieces).alias("pieces")).toPandas()
-    sample = sample.sort_values("id").groupby("label").head(2 * per_label)
+    spots = [F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.length("text") - PIECE + 1, F.lit(1))) + 1 for k in range(parts)]
+    pieces = [F.col("text").substr(p.cast("int"), F.lit(PIECE)) for p in spots]
+    sample = usable.filter(F.pmod(F.xxhash64("id", "text"), F.lit(million)) < share[F.col("label")]).select("id", "label", F.array(*pieces).alias("pieces")).distinct().toPandas()
+    # in the order of id, label and pieces the fit does not depend on the order of rows
+    sample = sample.assign(order=["\0".join(row) for row in sample["pieces"]]).sort_values(["id", "label", "order"])
     labels = sorted(counts)
-    texts = [p.encode()[:WINDOW] for row in sample["pieces"] for p in row]
-    windows, left, _ = cut(texts)
+    texts = [p.encode() for row in sample["pieces"] for p in row]
+    windows, left, _ = cut(texts, max(map(len, texts), default=PIECE))
     label = np.repeat(np.searchsorted(labels, sample["label"]), parts)
-    weight = (np.arange(WINDOW)[None, :] < left[:, None]).astype(np.float32)
-    return train(windows, weight, label, labels)
+    return train(windows, left, label, labels)
+
+
+def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Each window's sum of its positions' chances, as if every text were run in one piece.
+
+    States carried into windows are first guessed from the bytes beyond their edge. Where a
+    guess is more than ``EDGE`` from what the neighbour ends in, the window runs again from
+    there: twice all such windows at once, then the outermost one of each text in turn, so
+    that a text on which the network forgets nothing takes one more run in all.
+    """
+    n, units = len(windows), network.states.shape[2]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    inner = np.flatnonzero(owner[1:] == owner[:-1])  # windows with a next one in their text
+    into, source = [inner + 1, inner], [inner, inner + 1]
+    starts, ends = np.zeros((2, units, n), np.float32), np.empty((2, units, n), np.float32)
+    for at in range(0, len(inner), 4 * BLOCK):
+        for side in range(2):
+            w = source[side][at : at + 4 * BLOCK]
+            near = windows[w, -RUN_IN:].T if side == 0 else windows[w, :RUN_IN].T
+            zero = np.zeros((units, len(w)), np.float32)
+            starts[side][:, into[side][at : at + 4 * BLOCK]] = network.walk(side, near.copy(), zero, None if side == 0 else left[w])
+    totals = np.empty((n, len(network.labels)))
+
+    def work(chosen: np.ndarray) -> None:
+        for at in range(0, len(chosen), BLOCK):
+            w = chosen[at : at + BLOCK]
+            end = np.empty((2, units, len(w)), np.float32)
+            chances = network.chances(network.run(windows[w].T.copy(), left=left[w], starts=starts[:, :, w], ends=end))
+            valid = (np.arange(WINDOW)[:, None] < left[w]).astype(np.float32)
+            totals[w], ends[:, :, w] = np.einsum("tcb,tb->bc", chances, valid, optimize=True), end
+
+    work(np.arange(n))
+    sweep = 0
+    while True:
+        wrong = []
+        for side in range(2):
+            off = np.abs(ends[side][:, source[side]] - starts[side][:, into[side]]).max(axis=0, initial=0) > EDGE
+            w, true = into[side][off], source[side][off]
+            if sweep >= 2 and len(w):
+                outermost = np.unique(owner[w], return_index=True)[1] if side == 0 else len(w) - 1 - np.unique(owner[w][::-1], return_index=True)[1]
+                w, true = w[outermost], true[outermost]
+            starts[side][:, w] = ends[side][:, true]
+            wrong.append(w)
+        again = np.unique(np.concatenate(wrong))
+        if not len(again):
+            return totals
+        work(again)
+        sweep += 1
 
 
 def label_texts(network: Network | None, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -197,12 +274,7 @@ def label_texts(network: Network | None, texts: list[str]) -> tuple[list[str], n
         return names, scores
     raw = [texts[i].encode() for i in able]
     windows, left, counts = cut(raw)
-    totals = np.empty((len(windows), len(network.labels)))
-    for start in range(0, len(windows), BLOCK):
-        part = windows[start : start + BLOCK].T.copy()
-        chances = network.chances(network.run(part))
-        valid = np.arange(WINDOW)[:, None] < left[start : start + BLOCK]
-        totals[start : start + BLOCK] = np.einsum("tcb,tb->bc", chances, valid.astype(np.float32), optimize=True)
+    totals = text_chances(network, windows, left, counts)
     means = np.add.reduceat(totals, np.cumsum(counts) - counts) / np.array([len(r) for r in raw])[:, None]
     best = means.argmax(axis=1)
     for i, b in zip(able, best.tolist(), strict=True):

@@ -3,10 +3,11 @@
 import zlib
 
 import numpy as np
+import pytest
 from odd import ODD, documents, local, table
 from pyspark.sql import functions as F
 
-from prodseq.llm import queries
+from prodseq.llm import language, queries
 from prodseq.llm.language import UNKNOWN, Network, keep_known_language, label_texts, learn, predict
 from prodseq.llm.toxicity import Machine
 from prodseq.llm.toxicity import learn as learn_toxic
@@ -72,6 +73,63 @@ def test_whole_text_counts():
     assert np.allclose(label_texts(network, ["ab", long, "1", "c"])[1], [alone[0], alone[1], 0, alone[2]], atol=1e-5)
 
 
+def plain_chances(network, text):
+    """Mean chances of a text, one byte at a time from both ends, with gates as usually written."""
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    units, raw = network.states.shape[2], text.encode()
+    states = np.zeros((len(raw), 2 * units))
+    for side in range(2):
+        state = np.zeros(units)
+        for t in range(len(raw)) if side == 0 else reversed(range(len(raw))):
+            given, carried = network.inputs[side][:, raw[t]], network.states[side] @ state
+            update, reset = (logistic(2 * (given + carried)[k * units : (k + 1) * units]) for k in range(2))
+            new = np.tanh(given[2 * units :] + 2 * reset * carried[2 * units :])
+            state = update * state + (1 - update) * new
+            states[t, side * units : (side + 1) * units] = state
+    scores = np.exp(states @ network.head.T + network.bias[:, 0])
+    return (scores / scores.sum(axis=1, keepdims=True)).mean(axis=0)
+
+
+@pytest.mark.parametrize("slow", [False, True])
+def test_states_are_carried_over_windows(monkeypatch, slow):
+    network = Network.start(["a", "b", "c"], units=4, seed=3)
+    monkeypatch.setattr(language, "EDGE", 1e-6)
+    if slow:
+        # blanks keep the state almost as it is, so that no run-in tells it
+        network.inputs[:, :4, ord(" ")] = 8
+        network.inputs[:, 4:, ord(" ")] = 0
+    random = np.random.default_rng(1)
+    word = lambda n: "".join(random.choice(list("abcdeéß日 "), n))
+    texts = ["a", word(255), word(256), word(300), word(2000), word(50) + " " * 1500 + word(9), "ab" + " " * 700, word(5000)]
+    texts = [t if any(map(str.isalpha, t)) else "a" + t for t in texts]
+    names, scores = label_texts(network, texts)
+    for text, name, found in zip(texts, names, scores, strict=True):
+        expected = plain_chances(network, text)
+        assert abs(found - expected.max()) < 1e-4 and name == network.labels[int(expected.argmax())]
+
+
+def test_gradient_by_differences_with_short_windows():
+    network = Network.start(["a", "b"], units=3, seed=2)
+    for name in ("inputs", "states", "head", "bias"):
+        setattr(network, name, getattr(network, name).astype(np.float64))
+    windows, left, label = np.random.default_rng(4).integers(0, 256, (7, 3)), np.array([7, 3, 5]), np.array([0, 1, 1])
+    weight = (np.arange(7)[:, None] < left).astype(float)
+
+    def loss():
+        chances = network.chances(network.run(windows, left=left).astype(np.float64))
+        return -(np.log(chances[:, label, np.arange(3)]) * weight).sum() / weight.sum()
+
+    for values, gradient in zip(network.weights(), network.gradient(windows, weight, label, left), strict=True):
+        at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
+        kept, step = values[at], 1e-3
+        values[at] = kept + step
+        up = loss()
+        values[at] = kept - step
+        down = loss()
+        values[at] = kept
+        assert abs((up - down) / (2 * step) - gradient[at]) < 1e-3 * abs(gradient[at]) + 1e-5
+
+
 def test_logits_equal_the_plain_sum_over_pairs():
     random = np.random.default_rng(8)
     machine = Machine(random.standard_normal(50), random.standard_normal((50, 4)), 0.3)
