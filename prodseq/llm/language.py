@@ -239,11 +239,14 @@ def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts
     totals = np.empty((n, len(network.labels)))
 
     def work(chosen: np.ndarray) -> None:
+        # windows of like length share a block, which ends with its longest one
+        chosen = chosen[np.argsort(-left[chosen], kind="stable")]
         for at in range(0, len(chosen), BLOCK):
             w = chosen[at : at + BLOCK]
+            longest = left[w[0]]
             end = np.empty((2, units, len(w)), np.float32)
-            chances = network.chances(network.run(windows[w].T.copy(), left=left[w], starts=starts[:, :, w], ends=end))
-            valid = (np.arange(WINDOW)[:, None] < left[w]).astype(np.float32)
+            chances = network.chances(network.run(windows[w, :longest].T.copy(), left=left[w], starts=starts[:, :, w], ends=end))
+            valid = (np.arange(longest)[:, None] < left[w]).astype(np.float32)
             totals[w], ends[:, :, w] = np.einsum("tcb,tb->bc", chances, valid, optimize=True), end
 
     work(np.arange(n))
