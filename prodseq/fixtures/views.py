@@ -6,6 +6,7 @@ section B). ``oracle.py`` states the same rules in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -221,60 +222,83 @@ class Landed:
         )
 
 
+#: The tables that are a rule over the base rows, and those over products alone.
+_FROM_BASE = {"bor": bor, "bmr": bmr, "bpr": bpr, "dispatch": dispatch, "mould": mould}
+_FROM_PARTS = {"curing": curing, "manual": manual}
+TABLES = (*_FROM_BASE, *_FROM_PARTS)
+#: Sheets of the data folder: the tables, and the order report.
+SHEETS = (*TABLES, "spor")
+DAILY_SHEETS = ("spor", "bor", "bmr", "bpr")
+
 _LANDED: dict[tuple[str, str, bool], Landed] = {}
-_LANDED_CSV: dict[tuple[str, str], str] = {}
+_LANDED_CSV: dict[tuple[str, str], tuple[str, set[str]]] = {}
+
 
+def landed(spark: SparkSession, sf_dir: str, yearly: bool = False, names: Iterable[str] = TABLES) -> Landed:
+    """Land the named tables of one scale once per application and return all that have landed.
 
-def landed(spark: SparkSession, sf_dir: str, yearly: bool = False) -> Landed:
-    """Land the reports of one scale once per application and return them."""
+    The base rows are written if more than one table is made from them.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, yearly)
     if key not in _LANDED:
-        ws = Workspace(spark)
-        base = ws.write(base_rows(spark, sf_dir, yearly), "base")
-        raw = {
-            "bor": bor(base),
-            "bmr": bmr(base),
-            "bpr": bpr(base),
-            "dispatch": dispatch(base),
-            "curing": curing(spark, sf_dir),
-            "mould": mould(base),
-            "manual": manual(spark, sf_dir),
-        }
-        _LANDED[key] = Landed({n: ws.write(df, n) for n, df in raw.items()}, ws)
-    return _LANDED[key]
-
-
-def landed_csv(spark: SparkSession, sf_dir: str) -> str:
-    """Land the yearly daily reports as dated CSV folders; return the data folder.
-
-    The order report (presence only) is missing for every third year, so those
-    dates are incomplete.
+        _LANDED[key] = Landed({}, Workspace(spark))
+    found = _LANDED[key]
+    ws, missing = found.workspace, [n for n in names if n not in found.tables]
+    ruled = [n for n in missing if n in _FROM_BASE]
+    if ruled:
+        base = base_rows(spark, sf_dir, yearly)
+        if len(ruled) > 1:
+            base = ws.write(base, "base")
+        for name in ruled:
+            found.tables[name] = ws.write(_FROM_BASE[name](base), name)
+    for name in set(missing) & _FROM_PARTS.keys():
+        found.tables[name] = ws.write(_FROM_PARTS[name](spark, sf_dir), name)
+    return found
+
+
+def landed_csv(spark: SparkSession, sf_dir: str, names: Iterable[str] = SHEETS) -> str:
+    """Land the named yearly sheets as CSV, daily ones in dated folders; return the data folder.
+
+    Each sheet is written once per application. The order report (presence only) is missing
+    for every third year, so those dates are incomplete.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED_CSV:
-        source = landed(spark, sf_dir, yearly=True)
-        root = source.workspace.path("csv")
-        t = source.tables
-        for report, name in [(rp.BPR, "bpr"), (rp.MOULD, "mould")]:
-            _write_dated(t[name], root, report, header=True)
+    needed = ["bor" if n == "spor" else n for n in names]
+    source = landed(spark, sf_dir, yearly=True, names=dict.fromkeys(needed))
+    root, written = _LANDED_CSV.setdefault(key, (source.workspace.path("csv"), set()))
+    for name in names:
+        if name not in written:
+            try:
+                _write_sheet(name, source.tables, root)
+            except BaseException:
+                _LANDED_CSV.pop(key)  # a sheet written in part is not added to
+                raise
+            written.add(name)
+    return root
+
+
+def _write_sheet(name: str, t: dict[str, DataFrame], root: str) -> None:
+    even = F.year("report_date") % 2 == 0
+    if name == "manual":
+        _write_manual(t["manual"], root)
+    elif name == "spor":
+        orders = t["bor"].filter(F.year("report_date") % 3 != 0).select("report_date", "SKUCode")
+        _write_dated(orders, root, rp.SPOR, header=True)
+    elif name == "bor":
         # every second year has its columns in another order
-        even = F.year("report_date") % 2 == 0
         _write_dated(t["bor"].filter(even), root, rp.BOR, header=True)
         turned = ["report_date", *reversed(t["bor"].columns[1:])]
         _write_dated(t["bor"].filter(~even).select(*turned), root, rp.BOR, header=True)
-        _write_manual(t["manual"], root)
-        orders = t["bor"].filter(F.year("report_date") % 3 != 0).select("report_date", "SKUCode")
-        _write_dated(orders, root, rp.SPOR, header=True)
+    elif name == "bmr":
         _write_dated(_with_banner(t["bmr"].filter(~even)), root, rp.BMR, header=False)
         # the sheets of the other years hold remarks, with line breaks in their header and cells
         noted = t["bmr"].filter(even).withColumn(REMARKS, F.concat(F.lit("seen\n"), "Item Code"))
         _write_dated(_with_banner(noted.select("report_date", REMARKS, *t["bmr"].columns[1:])), root, rp.BMR, header=False)
-        for report, name in [(rp.DISPATCH, "dispatch"), (rp.CURING, "curing")]:
-            t[name].write.options(header="true", escape='"', encoding=report.encoding).csv(
-                f"{root}/{report.path}"
-            )
-        _LANDED_CSV[key] = root
-    return _LANDED_CSV[key]
+    elif name in ("dispatch", "curing"):
+        report = {"dispatch": rp.DISPATCH, "curing": rp.CURING}[name]
+        t[name].write.options(header="true", escape='"', encoding=report.encoding).csv(f"{root}/{report.path}")
+    else:
+        _write_dated(t[name], root, {"bpr": rp.BPR, "mould": rp.MOULD}[name], header=True)
 
 
 def _write_manual(entries: DataFrame, root: str) -> None:
