@@ -1,8 +1,12 @@
 """What a query writes, shuffles and puts into one task grows no faster than its input."""
 
 import os
+import re
+from contextlib import contextmanager
 
 import pytest
+from frames import DAY
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from prodseq.fixtures import views
@@ -10,6 +14,17 @@ from prodseq.fixtures import views
 SF_DIR = "/root/testdata/sf0.001"
 
 
+@contextmanager
+def settings(spark, **values):
+    named = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in named}
+    for k, v in named.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def fresh(tmp_path):
     """Tables at a path from which nothing has landed."""
@@ -32,3 +47,28 @@ def test_sheets_written_one_by_one_hold_every_row_once(spark, fresh):
         alone = entry.queries()[query](spark, fresh)
         together = entry.queries()[query](spark, SF_DIR)
         assert alone.count() == together.count() and alone.exceptAll(together).isEmpty()
+
+
+def test_lines_are_not_shuffled_by_customer(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = views.base_rows(spark, SF_DIR, yearly=False)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    (at,) = [i for i, text in enumerate(lines) if re.search(r"Join Inner, \(o_custkey", text)]
+    depth = re.search(r"[A-Za-z]", lines[at]).start()
+    below = []
+    for text in lines[at + 1 :]:
+        if re.search(r"[A-Za-z]", text).start() <= depth:
+            break
+        below.append(text)
+    assert below and not any("l_partkey" in text for text in below)
+
+
+def test_equal_buffer_rows_are_found_by_numbers(spark):
+    base = spark.createDataFrame(
+        [(DAY, "a", "1300_OE10", 1, "Brand#1", s, n) for s in (1, 1, 13, 85, None) for n in (1, 5, 2, None)],
+        "report_date date, sku string, loc string, p_partkey long, p_brand string, l_suppkey long, l_linenumber int",
+    )
+    found = views.bpr(base).filter("`Top SKU` = 'F'")
+    assert found.count() == found.distinct().count() == 9  # (L1, 1), (L1, 6) and missing, each in Red, Yellow and missing
+    exchanges = [x for x in views.bpr(base)._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
+    assert any("place" in x and "colour" in x for x in exchanges)
