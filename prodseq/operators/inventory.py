@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prodseq.functions import case_of
@@ -12,12 +12,15 @@ from prodseq.plans.params import LOCATION_TYPES, Params
 COLOURS = ["Black", "Red"]
 
 
+def is_stock_out() -> Column:
+    """Black and Red buffer rows with complete keys."""
+    return F.col("colour").isin(COLOURS) & F.col("sku").isNotNull() & F.col("location_type").isNotNull()
+
+
 def flagged_buffers(bpr: DataFrame) -> DataFrame:
-    """Black and Red rows with complete keys and one spelling of ``Depot``."""
+    """Rows that count as stock-out, with one spelling of ``Depot``."""
     place = F.col("location_type")
-    return bpr.filter(
-        F.col("colour").isin(COLOURS) & F.col("sku").isNotNull() & place.isNotNull()
-    ).withColumn("location_type", F.when(place == "depot", "Depot").otherwise(place))
+    return bpr.filter(is_stock_out()).withColumn("location_type", F.when(place == "depot", "Depot").otherwise(place))
 
 
 def colour_counts(bpr: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from prodseq.fixtures import views
+from prodseq.operators.ranking import stored_rows, with_rank
+from prodseq.plans.workspace import Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,3 +74,20 @@ def test_equal_buffer_rows_are_found_by_numbers(spark):
     assert found.count() == found.distinct().count() == 9  # (L1, 1), (L1, 6) and missing, each in Red, Yellow and missing
     exchanges = [x for x in views.bpr(base)._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in x]
     assert any("place" in x and "colour" in x for x in exchanges)
+
+
+def test_rows_of_a_frequent_score_are_dealt_over_tasks(spark, tmp_path):
+    space = Workspace(spark, copies_per_task=100)
+    df = spark.range(4000).select(
+        F.lit(DAY).alias("report_date"), "id", F.when(F.col("id") % 10 > 6, F.lit(None).cast("double")).when(F.col("id") % 10 > 0, -0.0).otherwise(F.col("id") * 1.0).alias("score")
+    )
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        ranked = with_rank(stored_rows(space, df, "scores"), F.col("score"), "rank")
+        tasks = ranked.groupBy(F.spark_partition_id()).count().collect()
+        rows = ranked.collect()
+    assert max(t["count"] for t in tasks) < 1200  # 2400 rows share a score, 1200 have none
+    above = {r["id"]: r["rank"] for r in rows}
+    assert len(rows) == len(above) == 4000
+    assert {above[i] for i in range(4000) if i % 10 > 6} == {None}
+    assert {above[i] for i in range(4000) if 0 < i % 10 <= 6} | {above[0]} == {400}
+    assert [above[i] for i in range(3990, 0, -10)] == list(range(1, 400))
