@@ -244,6 +244,8 @@ class Landed:
 #: The tables that are a rule over the base rows, and those over products alone.
 _FROM_BASE = {"bor": bor, "bmr": bmr, "bpr": bpr, "dispatch": dispatch, "mould": mould}
 _FROM_PARTS = {"curing": curing, "manual": manual}
+#: Tables that have a row for each base row; beside written base rows they are not written once more.
+_ROW_BY_ROW = ("dispatch", "mould")
 TABLES = (*_FROM_BASE, *_FROM_PARTS)
 #: Sheets of the data folder: the tables, and the order report.
 SHEETS = (*TABLES, "spor")
@@ -256,7 +258,8 @@ _LANDED_CSV: dict[tuple[str, str], tuple[str, set[str]]] = {}
 def landed(spark: SparkSession, sf_dir: str, yearly: bool = False, names: Iterable[str] = TABLES) -> Landed:
     """Land the named tables of one scale once per application and return all that have landed.
 
-    The base rows are written if more than one table is made from them.
+    The base rows are written if more than one table is made from them. A table with a row for
+    each of them is then read from them.
     """
     key = (spark.sparkContext.applicationId, sf_dir, yearly)
     if key not in _LANDED:
@@ -266,12 +269,17 @@ def landed(spark: SparkSession, sf_dir: str, yearly: bool = False, names: Iterab
     ruled = [n for n in missing if n in _FROM_BASE]
     if ruled:
         base = base_rows(spark, sf_dir, yearly)
-        if len(ruled) > 1:
+        shared = len(ruled) > 1
+        if shared:
             base = ws.write(base, "base")
+
+        def land(name: str) -> DataFrame:
+            table = _FROM_BASE[name](base)
+            return table if shared and name in _ROW_BY_ROW else ws.write(table, name)
+
         # the tables do not wait for each other
         with ThreadPoolExecutor(len(ruled)) as pool:
-            written = pool.map(lambda name: ws.write(_FROM_BASE[name](base), name), ruled)
-            found.tables.update(zip(ruled, written, strict=True))
+            found.tables.update(zip(ruled, pool.map(land, ruled), strict=True))
     for name in set(missing) & _FROM_PARTS.keys():
         found.tables[name] = ws.write(_FROM_PARTS[name](spark, sf_dir), name)
     return found

@@ -52,6 +52,19 @@ def test_sheets_written_one_by_one_hold_every_row_once(spark, fresh):
         assert alone.count() == together.count() and alone.exceptAll(together).isEmpty()
 
 
+def test_lines_are_written_once(spark, fresh, tmp_path):
+    found = views.landed(spark, fresh)
+    root = found.workspace.root.removeprefix("file:")
+    written = {n.rsplit("-", 1)[0] for n in os.listdir(root)}
+    assert written == {"base", "bor", "bmr", "bpr", "curing", "manual"}
+    # one table alone is written itself, without the base rows; the rows are the same
+    os.symlink(SF_DIR, tmp_path / "other")
+    for name in ("dispatch", "mould"):
+        alone = views.landed(spark, str(tmp_path / "other"), names=[name]).tables[name]
+        assert alone.dtypes == found.tables[name].dtypes
+        assert alone.count() == found.tables[name].count() > 0 and alone.exceptAll(found.tables[name]).isEmpty()
+
+
 def test_lines_are_not_shuffled_by_customer(spark):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = views.base_rows(spark, SF_DIR, yearly=False)._jdf.queryExecution().optimizedPlan().toString()
