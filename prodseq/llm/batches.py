@@ -35,7 +35,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
-def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.RecordBatch], dict], schema: str, most: int = SLICE_BYTES) -> DataFrame:
     """Apply ``function`` to slices of the given columns, text last; it returns new columns by name.
 
     All columns but the text are passed through in front of the new ones.
@@ -46,7 +46,7 @@ def over_texts(frame: DataFrame, columns: list[str], function: Callable[[pa.Reco
     made_fields = StructType.fromDDL(schema).fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches, columns[-1]):
+        for part in sliced(batches, columns[-1], most):
             made = function(part)
             yield pa.RecordBatch.from_arrays(
                 [part.column(i) for i in range(len(kept))] + [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()],

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,11 @@ EDGE = 0.01
 UNITS = 8
 #: Windows that are worked on at once.
 BLOCK = 1024
+#: Bytes of all windows whose inputs are looked up at once.
+LOOKED_UP = 2048
+#: Text bytes worked on at once in a task: the longest row of windows that run again one after
+#: another costs its time once for all texts of a slice.
+SLICE_BYTES = 16 << 20
 
 UNKNOWN = "und"
 
@@ -68,10 +74,17 @@ class Network:
         """
         steps, units = len(windows), self.states.shape[2]
         least = steps if left is None else int(left.min(initial=steps))
+        # the inputs of some positions are looked up at once, of more where windows are few
+        some = max(1, LOOKED_UP // max(1, windows.shape[1]))
         for t in range(steps) if side == 0 else range(steps - 1, -1, -1):
-            given = np.take(self.inputs[side], windows[t], axis=1, mode="clip")
+            at = t % some
+            if at == (0 if side == 0 else some - 1) or t == steps - 1 and side == 1:
+                looked_up = np.take(self.inputs[side], windows[t - at : t - at + some], axis=1, mode="clip")
+            given = looked_up[:, at]
             carried = self.states[side] @ state
-            gates = np.tanh(given[: 2 * units] + carried[: 2 * units])
+            gates = carried[: 2 * units]
+            gates += given[: 2 * units]
+            np.tanh(gates, out=gates)
             new = gates[units:] * carried[2 * units :]
             new += carried[2 * units :]
             new += given[2 * units :]
@@ -112,10 +125,12 @@ class Network:
 
     def chances(self, states: np.ndarray) -> np.ndarray:
         """(positions, labels, windows): each position's chance of each label."""
-        scores = np.matmul(self.head, states) + self.bias
-        scores -= scores.max(axis=1, keepdims=True)
+        scores = np.matmul(self.head, states)
+        scores += self.bias
+        # label by label, since labels are few and positions many
+        scores -= reduce(np.maximum, scores.swapaxes(0, 1))[:, None]
         np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
+        scores /= reduce(np.add, scores.swapaxes(0, 1))[:, None]
         return scores
 
     def gradient(self, windows: np.ndarray, weight: np.ndarray, label: np.ndarray, left: np.ndarray | None = None) -> list[np.ndarray]:
@@ -177,7 +192,7 @@ def cut(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarra
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(counts)[counts > 0] - 1
     left[ends] = (sizes - (counts - 1) * window)[counts > 0]
-    return flat.reshape(-1, window).astype(np.intp), left, counts
+    return flat.reshape(-1, window), left, counts
 
 
 def _has_letter(text: str) -> bool:
@@ -221,9 +236,10 @@ def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts
     """Each window's sum of its positions' chances, as if every text were run in one piece.
 
     States carried into windows are first guessed from the bytes beyond their edge. Where a
-    guess is more than ``EDGE`` from what the neighbour ends in, the window runs again from
-    there: twice all such windows at once, then the outermost one of each text in turn, so
-    that a text on which the network forgets nothing takes one more run in all.
+    guess is more than ``EDGE`` from what the neighbour ends in, that direction of the window
+    runs again from there: twice all such windows at once, then the outermost one of each text
+    in turn, so that a direction that forgets nothing takes one more walk in all. The chances of
+    these windows are then taken together.
     """
     n, units = len(windows), network.states.shape[2]
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -235,9 +251,12 @@ def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts
             w = source[side][at : at + 4 * BLOCK]
             near = windows[w, -RUN_IN:].T if side == 0 else windows[w, :RUN_IN].T
             zero = np.zeros((units, len(w)), np.float32)
-            starts[side][:, into[side][at : at + 4 * BLOCK]] = network.walk(side, near.copy(), zero, None if side == 0 else left[w])
+            starts[side][:, into[side][at : at + 4 * BLOCK]] = network.walk(side, near.astype(np.intp, order="C"), zero, None if side == 0 else left[w])
     totals = np.empty((n, len(network.labels)))
 
+    def positions(w: np.ndarray, longest: int) -> np.ndarray:
+        return windows[w, :longest].T.astype(np.intp, order="C")
+
     def work(chosen: np.ndarray) -> None:
         # windows of like length share a block, which ends with its longest one
         chosen = chosen[np.argsort(-left[chosen], kind="stable")]
@@ -245,27 +264,39 @@ def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts
             w = chosen[at : at + BLOCK]
             longest = left[w[0]]
             end = np.empty((2, units, len(w)), np.float32)
-            chances = network.chances(network.run(windows[w, :longest].T.copy(), left=left[w], starts=starts[:, :, w], ends=end))
+            chances = network.chances(network.run(positions(w, longest), left=left[w], starts=starts[:, :, w], ends=end))
             valid = (np.arange(longest)[:, None] < left[w]).astype(np.float32)
             totals[w], ends[:, :, w] = np.einsum("tcb,tb->bc", chances, valid, optimize=True), end
 
+    def far(side: int, pairs: np.ndarray) -> np.ndarray:
+        return np.abs(ends[side][:, source[side][pairs]] - starts[side][:, into[side][pairs]]).max(axis=0, initial=0) > EDGE
+
     work(np.arange(n))
-    sweep = 0
-    while True:
-        wrong = []
+    every = np.arange(len(inner))
+    off, below = [far(0, every), far(1, every)], np.full((2, n), -1)
+    for side in range(2):
+        below[side, source[side]] = every  # the pair that a window ends in
+    sweep, again = 0, np.zeros(n, bool)
+    while off[0].any() or off[1].any():
         for side in range(2):
-            off = np.abs(ends[side][:, source[side]] - starts[side][:, into[side]]).max(axis=0, initial=0) > EDGE
-            w, true = into[side][off], source[side][off]
-            if sweep >= 2 and len(w):
-                outermost = np.unique(owner[w], return_index=True)[1] if side == 0 else len(w) - 1 - np.unique(owner[w][::-1], return_index=True)[1]
-                w, true = w[outermost], true[outermost]
-            starts[side][:, w] = ends[side][:, true]
-            wrong.append(w)
-        again = np.unique(np.concatenate(wrong))
-        if not len(again):
-            return totals
-        work(again)
+            pairs = np.flatnonzero(off[side])
+            if sweep >= 2:
+                texts = owner[into[side][pairs]]
+                outermost = np.unique(texts, return_index=True)[1] if side == 0 else len(pairs) - 1 - np.unique(texts[::-1], return_index=True)[1]
+                pairs = pairs[outermost]
+            w = into[side][pairs]
+            starts[side][:, w] = ends[side][:, source[side][pairs]]
+            for at in range(0, len(w), BLOCK):
+                v = w[at : at + BLOCK]
+                ends[side][:, v] = network.walk(side, positions(v, left[v].max()), starts[side][:, v], left[v])
+            off[side][pairs] = False
+            changed = below[side, w]
+            changed = changed[changed >= 0]
+            off[side][changed] = far(side, changed)
+            again[w] = True
         sweep += 1
+    work(np.flatnonzero(again))
+    return totals
 
 
 def label_texts(network: Network | None, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -298,7 +329,7 @@ def predict(docs: DataFrame, network: Network | None, id_column: str = "doc_id",
         names, scores = label_texts(network, texts_of(batch, text_column))
         return {"lang_pred": names, "score": pa.array(scores)}
 
-    made = over_texts(docs.select(id_column, text_column), [id_column, text_column], run, "lang_pred string, score double")
+    made = over_texts(docs.select(id_column, text_column), [id_column, text_column], run, "lang_pred string, score double", SLICE_BYTES)
     return made.select(id_column, held_out(id_column).alias("held_out"), "lang_pred", "score")
 
 
@@ -312,7 +343,7 @@ def keep_known_language(docs: DataFrame, least_score: float = 0.4, id_column: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # whole rows go through once, a slice at a time
-        for part in sliced(batches, text_column):
+        for part in sliced(batches, text_column, SLICE_BYTES):
             texts = texts_of(part, text_column)
             names, scores = label_texts(network, texts)
             if network is None:

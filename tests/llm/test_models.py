@@ -108,6 +108,32 @@ def test_states_are_carried_over_windows(monkeypatch, slow):
         assert abs(found - expected.max()) < 1e-4 and name == network.labels[int(expected.argmax())]
 
 
+def test_a_window_runs_again_from_one_side(monkeypatch):
+    network = Network.start(["a", "b"], units=4, seed=3)
+    # blanks keep the state: each window tells the next one that its guess was wrong, from one end only
+    network.inputs[:, :4, ord(" ")] = 8
+    network.inputs[:, 4:, ord(" ")] = 0
+    steps = []
+    walk = Network.walk
+    monkeypatch.setattr(Network, "walk", lambda self, side, windows, *rest: steps.append(len(windows)) or walk(self, side, windows, *rest))
+    text = "abc" + " " * (40 * language.WINDOW)
+    names, scores = label_texts(network, [text, text + "  "])
+    expected = plain_chances(network, text)
+    assert abs(scores[0] - expected.max()) < 1e-3 and names[0] == network.labels[int(expected.argmax())]
+    assert 40 * language.WINDOW < sum(steps) < 60 * language.WINDOW
+
+
+def test_states_do_not_depend_on_how_many_inputs_are_looked_up(monkeypatch):
+    network = Network.start(["a", "b", "c"], units=3)
+    windows = np.random.default_rng(4).integers(0, 256, (37, 5))
+    left = np.array([37, 1, 20, 36, 9])
+    found = []
+    for most in (1, 35, 100, 10_000):
+        monkeypatch.setattr(language, "LOOKED_UP", most, raising=False)
+        found.append(network.run(windows, left=left))
+    assert all(np.array_equal(found[0], f) for f in found)
+
+
 def test_gradient_by_differences_with_short_windows():
     network = Network.start(["a", "b"], units=3, seed=2)
     for name in ("inputs", "states", "head", "bias"):
