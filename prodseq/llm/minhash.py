@@ -21,6 +21,8 @@ from prodseq.llm.shingles import shingle_sets
 COORDINATES, MATCHES = 48, 24
 #: Nodes of a block in which the undecided part of a cluster is compared.
 BLOCK = 512
+#: Text bytes whose sets are made at once in a task.
+SLICE_BYTES = 1 << 20
 
 _seeds = np.random.default_rng(20240229)
 _XOR = _seeds.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
@@ -58,7 +60,7 @@ def _sign(docs: DataFrame, width: int) -> DataFrame:
             "sketch": lists(bytes_),
         }
 
-    return over_texts(docs, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>, sketch array<long>")
+    return over_texts(docs, ["row", "id", "text"], run, "n_shingles long, set_key binary, coordinates array<int>, sketch array<long>", SLICE_BYTES)
 
 
 def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int) -> DataFrame:
@@ -284,7 +286,7 @@ def _sets(plain: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     joined = plain.join(wanted.select("node"), F.col("row") == F.col("node")).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches):
+        for batch in sliced(batches, most=SLICE_BYTES):
             sets = shingle_sets(texts_of(batch), width)
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"])
 

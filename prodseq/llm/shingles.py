@@ -6,6 +6,8 @@ import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bytes whose powers and running sums are held at once, at eight bytes each.
+BLOCK = 1 << 18
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
@@ -37,7 +39,8 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def hashes_of_runs(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of bytes other than space and bytes 9 to 13, and runs per entry.
 
-    A run's hash is taken from one running polynomial sum over all entries.
+    A run's hash is taken from a running polynomial sum over a block of bytes; the parts of
+    a run that lies in several blocks add up to the same hash.
     """
     flat = np.frombuffer(b"\n".join([*raw, b""]), np.uint8)
     if not len(flat):
@@ -45,10 +48,21 @@ def hashes_of_runs(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~((flat == 32) | ((flat >= 9) & (flat <= 13)))
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power, inverse = _powers_to(len(flat))
-    total = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * power[: len(flat)], out=total[1:])
-    hashes = mixed((total[ends] - total[starts]) * inverse[starts])
+    sums = np.zeros(len(starts), np.uint64)
+    for low in range(0, len(flat), BLOCK):
+        part = flat[low : low + BLOCK]
+        first, last = np.searchsorted(ends, low, "right"), np.searchsorted(starts, low + len(part))
+        if first == last:
+            continue
+        power, inverse = _powers_to(len(part))
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[: len(part)], out=total[1:])
+        at = np.maximum(starts[first:last], low) - low
+        held = (total[np.minimum(ends[first:last] - low, len(part))] - total[at]) * inverse[at]
+        if starts[first] < low:
+            held[:1] *= np.uint64(pow(int(_BASE), int(low - starts[first]), 1 << 64))
+        sums[first:last] += held
+    hashes = mixed(sums)
     bounds = np.cumsum([len(r) + 1 for r in raw])
     counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
     return hashes, counts

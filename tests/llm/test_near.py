@@ -2,18 +2,19 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 from odd import ODD, documents, local, table
 
-from prodseq.llm import queries
+from prodseq.llm import queries, shingles
 from prodseq.llm.components import components
 from prodseq.llm.embeddings import STEPS, Shard, _stored, audited, links_between, near_duplicates
 from prodseq.llm.minhash import COORDINATES, _collisions, _common, _sets, keep_one
 from prodseq.llm.minhash import near_duplicates as near_texts
 from prodseq.llm.scratch import Scratch
-from prodseq.llm.shingles import shingle_sets
+from prodseq.llm.shingles import hashes_of_runs, mixed, shingle_sets
 
 
 def smallest(links, n):
@@ -73,6 +74,29 @@ def test_shingle_sets_have_the_right_sizes():
         assert [len(s) for s in shingle_sets(texts, width)] == [len(words(t, width)) for t in texts]
 
 
+def test_hashes_of_runs_in_blocks(monkeypatch):
+    random.seed(5)
+    raw = [bytes(random.choices(b"ab\xc3 \n\t", weights=(9, 9, 9, 3, 1, 1), k=n)) for n in (0, 1, 40, 300, 0, 7)] + [b"x" * 200, b" " * 50, b"y" * 63 + b" z"]
+    runs = [re.findall(rb"[^\x20\x09-\x0D]+", r) for r in raw]
+    base = 0x9E3779B97F4A7C15
+    plain = [sum((byte + 1) * base**k for k, byte in enumerate(run)) % 2**64 for found in runs for run in found]
+    for block in (1, 3, 64, 1 << 18):
+        monkeypatch.setattr(shingles, "BLOCK", block, raising=False)
+        hashes, counts = hashes_of_runs(raw)
+        assert counts.tolist() == [len(found) for found in runs]
+        assert np.array_equal(hashes, mixed(np.array(plain, np.uint64)))
+
+
+def test_hashes_of_runs_take_few_bytes_for_each_of_a_text(monkeypatch):
+    monkeypatch.setattr(shingles, "_powers", (np.ones(1, np.uint64), np.ones(1, np.uint64)))
+    raw = [b"words of one long text " * 200_000]
+    tracemalloc.start()
+    hashes_of_runs(raw)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 24 * len(raw[0])
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_minhash_equals_brute_force(spark, width):
     texts = noisy_copies()
