@@ -17,15 +17,18 @@ from prodseq.llm.batches import over_texts, sliced, texts_of
 #: Letters of a piece that the network learns from.
 PIECE = 64
 #: Bytes in a window; windows of a text are run side by side, with states carried over their edges.
-WINDOW = 256
+#: Most texts have one or two, so that few bytes are run for a guess or again.
+WINDOW = 2048
 #: Bytes beyond a window's edge from which the state carried into it is first guessed.
-RUN_IN = 128
+RUN_IN = 256
 #: How far a carried state may be from the one that the neighbouring window ends in.
 EDGE = 0.01
 #: Units of each direction.
 UNITS = 8
 #: Windows that are worked on at once.
 BLOCK = 1024
+#: Positions of a block whose chances are taken at once.
+SOME = 16
 #: Bytes of all windows whose inputs are looked up at once.
 LOOKED_UP = 2048
 #: Text bytes worked on at once in a task: the longest row of windows that run again one after
@@ -90,7 +93,7 @@ class Network:
             new += given[2 * units :]
             np.tanh(new, out=new)
             move = state - new
-            following = gates[:units] * move
+            following = np.multiply(gates[:units], move, out=None if out is None else out[t])
             following += move
             following *= 0.5
             following += new
@@ -99,8 +102,6 @@ class Network:
             if kept is not None:
                 kept.append((t, state, carried[2 * units :], gates, new))
             state = following
-            if out is not None:
-                out[t] = state
         return state
 
     def run(self, windows: np.ndarray, keep: list | None = None, left: np.ndarray | None = None, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> np.ndarray:
@@ -112,7 +113,7 @@ class Network:
         """
         steps, count = windows.shape
         units = self.states.shape[2]
-        out = np.empty((steps, 2 * units, count), np.float32)
+        out = np.empty((steps, 2 * units, count), self.states.dtype)
         for side in range(2):
             kept: list | None = None if keep is None else []
             start = np.zeros((units, count), np.float32) if starts is None else starts[side]
@@ -251,22 +252,33 @@ def text_chances(network: Network, windows: np.ndarray, left: np.ndarray, counts
             w = source[side][at : at + 4 * BLOCK]
             near = windows[w, -RUN_IN:].T if side == 0 else windows[w, :RUN_IN].T
             zero = np.zeros((units, len(w)), np.float32)
-            starts[side][:, into[side][at : at + 4 * BLOCK]] = network.walk(side, near.astype(np.intp, order="C"), zero, None if side == 0 else left[w])
+            starts[side][:, into[side][at : at + 4 * BLOCK]] = network.walk(side, np.ascontiguousarray(near), zero, None if side == 0 else left[w])
     totals = np.empty((n, len(network.labels)))
 
     def positions(w: np.ndarray, longest: int) -> np.ndarray:
-        return windows[w, :longest].T.astype(np.intp, order="C")
+        return np.ascontiguousarray(windows[w, :longest].T)
 
     def work(chosen: np.ndarray) -> None:
         # windows of like length share a block, which ends with its longest one
         chosen = chosen[np.argsort(-left[chosen], kind="stable")]
         for at in range(0, len(chosen), BLOCK):
             w = chosen[at : at + BLOCK]
-            longest = left[w[0]]
-            end = np.empty((2, units, len(w)), np.float32)
-            chances = network.chances(network.run(positions(w, longest), left=left[w], starts=starts[:, :, w], ends=end))
-            valid = (np.arange(longest)[:, None] < left[w]).astype(np.float32)
-            totals[w], ends[:, :, w] = np.einsum("tcb,tb->bc", chances, valid, optimize=True), end
+            longest, valid = left[w[0]], left[w]
+            bytes_ = positions(w, longest)
+            forward = np.empty((longest, units, len(w)), np.float32)
+            ends[0][:, w] = network.walk(0, bytes_, starts[0][:, w], valid, forward)
+            # states of the backward direction are kept for some positions only
+            back, total = starts[1][:, w], np.zeros((len(network.labels), len(w)))
+            for low in range((longest - 1) // SOME * SOME, -1, -SOME):
+                part = bytes_[low : low + SOME]
+                states = np.empty((len(part), 2 * units, len(w)), np.float32)
+                states[:, :units] = forward[low : low + SOME]
+                back = network.walk(1, part, back, valid - low, states[:, units:])
+                chances = network.chances(states)
+                if low + len(part) > valid[-1]:
+                    chances *= (np.arange(low, low + len(part))[:, None] < valid)[:, None]
+                total += chances.sum(axis=0)
+            ends[1][:, w], totals[w] = back, total.T
 
     def far(side: int, pairs: np.ndarray) -> np.ndarray:
         return np.abs(ends[side][:, source[side][pairs]] - starts[side][:, into[side][pairs]]).max(axis=0, initial=0) > EDGE

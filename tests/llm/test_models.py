@@ -123,6 +123,32 @@ def test_a_window_runs_again_from_one_side(monkeypatch):
     assert 40 * language.WINDOW < sum(steps) < 60 * language.WINDOW
 
 
+def test_few_bytes_are_run_again_or_for_a_guess(monkeypatch):
+    network = Network.start(["a", "b", "c"], seed=3)
+    random = np.random.default_rng(8)
+    texts = ["".join(random.choice(list("abcdefgh "), n)) for n in [1900] * 60 + [6000] * 30]
+    ran = []
+    walk = Network.walk
+    monkeypatch.setattr(Network, "walk", lambda self, side, windows, *rest: ran.append(windows.size) or walk(self, side, windows, *rest))
+    label_texts(network, texts)
+    assert sum(ran) < 2.6 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("some", [1, 16, 5000])
+def test_chances_are_summed_over_windows_of_any_length(monkeypatch, some):
+    network = Network.start(["a", "b", "c"], seed=3)
+    monkeypatch.setattr(language, "EDGE", 1e-6)
+    monkeypatch.setattr(language, "SOME", some, raising=False)
+    random = np.random.default_rng(2)
+    texts = ["".join(random.choice(list("abcdeé日 "), n)) for n in (1, 16, 17, 900, 2300, 3000)]
+    texts += ["x" * n for n in (language.WINDOW - 1, language.WINDOW, language.WINDOW + 1, 2 * language.WINDOW + 15)]
+    texts = ["a" + t for t in texts]
+    names, scores = label_texts(network, texts)
+    for text, name, found in zip(texts, names, scores, strict=True):
+        expected = plain_chances(network, text)
+        assert abs(found - expected.max()) < 1e-5 and name == network.labels[int(expected.argmax())]
+
+
 def test_states_do_not_depend_on_how_many_inputs_are_looked_up(monkeypatch):
     network = Network.start(["a", "b", "c"], units=3)
     windows = np.random.default_rng(4).integers(0, 256, (37, 5))
