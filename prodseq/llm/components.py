@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from prodseq.llm.scratch import Scratch
+from prodseq.llm.scratch import Scratch, met
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -19,10 +19,11 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now, state = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), scratch)
     while True:
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = 2 * state[0]  # at most
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = both.join(met(least, ends), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("x"), F.col("m").alias("y")), F.struct(F.col("a").alias("x"), F.col("m").alias("y")))).alias("e"))
+        small = large.join(met(low, ends), "a").select(F.explode(F.array(F.struct(F.col("b").alias("x"), F.col("m").alias("y")), F.struct(F.col("a").alias("x"), F.col("m").alias("y")))).alias("e"))
         last, before = now, state
         now, state = _written(small.select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).filter("a <> b").distinct(), scratch)
         scratch.drop(last)

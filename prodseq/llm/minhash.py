@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from prodseq.llm.batches import over_texts, sliced, texts_of
 from prodseq.llm.components import components
-from prodseq.llm.scratch import Scratch
+from prodseq.llm.scratch import Scratch, met
 from prodseq.llm.shingles import shingle_sets
 
 #: Signature coordinates that are posted, and how many two documents must share to be compared.
@@ -76,11 +76,11 @@ def _prefixes(nodes: DataFrame, scratch: Scratch, coordinates: int, matches: int
     )
     shared = posted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     by_node = Window.partitionBy("node")
-    ranked = posted.join(shared, "key").select(
+    ranked = posted.join(met(shared), "key").select(
         "node", "key", F.row_number().over(by_node.orderBy("n", "key")).alias("place"), F.count("*").over(by_node).alias("held")
     )
     kept = ranked.filter(F.col("place") <= F.col("held") - (matches - 1)).select("key", "node")
-    return scratch.write(kept.join(nodes.select("node", "sketch"), "node").select("key", "node", "sketch"), "prefixes")
+    return scratch.write(kept.join(met(nodes.select("node", "sketch")), "node").select("key", "node", "sketch"), "prefixes")
 
 
 def _collisions(a: Column, b: Column, coordinates: int) -> Column:
@@ -99,7 +99,7 @@ def _collisions(a: Column, b: Column, coordinates: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that are similar enough on their full sets."""
+    """(a, b): pairs, a written table, that are similar enough on their full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
 
@@ -113,7 +113,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     linked.append(i)
             yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "hashes_a", "hashes_b")
+    joined = met(pairs, pairs.count()).join(right, "b").join(met(left), "a").select("a", "b", "hashes_a", "hashes_b")
     return joined.mapInArrow(run, "a long, b long")
 
 
@@ -141,8 +141,8 @@ def near_duplicates(
     signed = scratch.write(_sign(plain, width), "signatures")
     rooted = _rooted(plain, signed, scratch, width, percent, coordinates, matches)
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("set_key", "component_id")
-    found = signed.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
+    named = rooted.join(met(least), "root").select("set_key", "component_id")
+    found = signed.select("id", "n_shingles", "set_key").join(met(named), "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return found.select(
         F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept")
@@ -162,10 +162,10 @@ def keep_one(
     plain = numbered.select("row", F.col("doc")[id_column].alias("id"), F.col("doc")[text_column].alias("text"))
     signed = scratch.write(_sign(plain, width), "signatures")
     rooted = _rooted(plain, signed, scratch, width, percent, coordinates, matches).select("set_key", "root")
-    placed = signed.select("row", "id", "set_key").join(rooted, "set_key", "left")
+    placed = signed.select("row", "id", "set_key").join(met(rooted), "set_key", "left")
     group = F.struct(F.col("set_key").isNull().alias("empty"), F.coalesce("root", "row").alias("root"))
     kept = placed.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row")).alias("first")).select("first.row")
-    return numbered.join(kept, "row", "left_semi").select("doc.*")
+    return numbered.join(met(kept), "row", "left_semi").select("doc.*")
 
 
 def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, percent: int, coordinates: int, matches: int) -> DataFrame:
@@ -179,24 +179,24 @@ def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, p
     prefixes = _prefixes(nodes, scratch, coordinates, matches)
     probes = scratch.write(_probes(prefixes, coordinates, matches), "probes")
     first = probes.select("a", "b")
-    links = scratch.write(_verified(first, scratch.write(_sets(plain, _ends(first), width), "sets"), percent), "links")
+    links = scratch.write(_verified(first, scratch.write(_sets(plain, _ends(first, scratch), width), "sets"), percent), "links")
     roots = components(links, scratch)
 
     tried = probes.select(F.explode(F.array("a", "low")).alias("a"), "b")
     clusters = components(tried, scratch).withColumnRenamed("root", "cluster")
     inner = _within_clusters(clusters, roots, lambda wanted: _sets(plain, wanted, width), scratch, percent)
 
-    mixed = scratch.write(_mixed(prefixes, clusters).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed-lists")
+    mixed = scratch.write(_mixed(prefixes, clusters).join(met(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed-lists")
     names = ("node", "root", "cluster", "sketch")
     left = mixed.filter("NOT inside").select("key", *(F.col(c).alias(f"{c}_a") for c in names))
     right = mixed.select("key", "inside", *(F.col(c).alias(f"{c}_b") for c in names))
     apart = (F.col("cluster_a") != F.col("cluster_b")) & (F.col("root_a") != F.col("root_b")) & (F.col("inside") | (F.col("node_a") < F.col("node_b")))
     alike = _collisions(F.col("sketch_a"), F.col("sketch_b"), coordinates) >= matches
-    rest = scratch.write(left.join(right, "key").filter(apart & alike).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
-    outer = _verified(rest, scratch.write(_sets(plain, _ends(rest), width), "sets"), percent)
+    rest = scratch.write(left.join(met(right), "key").filter(apart & alike).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "rest")
+    outer = _verified(rest, scratch.write(_sets(plain, _ends(rest, scratch), width), "sets"), percent)
     grouped = components(links.unionByName(inner).unionByName(outer), scratch)
 
-    return nodes.join(grouped, "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
+    return nodes.join(met(grouped), "node", "left").select("set_key", "least_id", F.coalesce("root", "node").alias("root"))
 
 
 def _probes(prefixes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -206,14 +206,14 @@ def _probes(prefixes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     group meets many of the group's nodes.
     """
     pivots = prefixes.groupBy("key").agg(F.min_by(F.struct("node", "sketch"), F.xxhash64("node", "key")).alias("pivot"))
-    met = prefixes.join(pivots, "key").filter(F.col("node") != F.col("pivot.node"))
+    matched = prefixes.join(met(pivots), "key").filter(F.col("node") != F.col("pivot.node"))
     alike = _collisions(F.col("sketch"), F.col("pivot.sketch"), coordinates)
-    scored = met.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), alike.alias("alike")).filter(F.col("alike") >= matches)
+    scored = matched.select(F.col("pivot.node").alias("a"), F.col("node").alias("b"), alike.alias("alike")).filter(F.col("alike") >= matches)
     return scored.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a"), F.min("a").alias("low"))
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _ends(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
 
 
 def _within_clusters(clusters: DataFrame, roots: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch, percent: int) -> DataFrame:
@@ -223,18 +223,19 @@ def _within_clusters(clusters: DataFrame, roots: DataFrame, sets_of: Callable[[D
     by block: a task holds two blocks, counts common shingles by a matrix product, and
     returns one link for each node and component it meets. Pairs are never written.
     """
-    placed = clusters.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = clusters.join(met(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     shares = placed.groupBy("cluster", "root").count().groupBy("cluster").agg(
         F.max_by("root", F.struct("count", "root")).alias("main"), F.sum("count").alias("n"), F.count("*").alias("roots")
     )
-    undecided = placed.join(shares.filter("roots > 1"), "cluster").select(
+    undecided = placed.join(met(shares.filter("roots > 1")), "cluster").select(
         "cluster", "node", "root", (F.col("root") == F.col("main")).alias("inside"), F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
     )
     undecided = scratch.write(undecided, "undecided")
-    held = scratch.write(undecided.join(sets_of(undecided.select("node")), "node"), "held")
+    n = undecided.count()
+    held = scratch.write(met(undecided, n).join(sets_of(undecided.select("node")), "node"), "held")
     asked = held.filter("NOT inside")
-    left = asked.join(undecided.select("cluster", F.col("block").alias("against")).distinct(), "cluster").withColumn("asking", F.col("block"))
-    right = held.join(undecided.filter("NOT inside").select("cluster", F.col("block").alias("asking")).distinct(), "cluster").withColumn("against", F.col("block"))
+    left = asked.join(met(undecided.select("cluster", F.col("block").alias("against")).distinct(), n), "cluster").withColumn("asking", F.col("block"))
+    right = held.join(met(undecided.filter("NOT inside").select("cluster", F.col("block").alias("asking")).distinct(), n), "cluster").withColumn("against", F.col("block"))
     columns = ["cluster", "asking", "against", "side", "node", "root", "hashes"]
     both = left.withColumn("side", F.lit(0)).select(*columns).unionByName(right.withColumn("side", F.lit(1)).select(*columns))
 
@@ -273,17 +274,17 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 def _mixed(prefixes: DataFrame, clusters: DataFrame) -> DataFrame:
     """Posting lists with several clusters; ``inside`` marks nodes of a list's main one."""
-    labelled = prefixes.join(clusters, "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
+    labelled = prefixes.join(met(clusters), "node", "left").withColumn("cluster", F.coalesce("cluster", "node"))
     shares = labelled.groupBy("key", "cluster").count().groupBy("key").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("main"), F.count("*").alias("clusters"))
-    return labelled.join(shares.filter("clusters > 1"), "key").select("key", "node", "sketch", "cluster", (F.col("cluster") == F.col("main")).alias("inside"))
+    return labelled.join(met(shares.filter("clusters > 1")), "key").select("key", "node", "sketch", "cluster", (F.col("cluster") == F.col("main")).alias("inside"))
 
 
 def _sets(plain: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, hashes): full shingle sets of the wanted nodes, made anew from their texts.
+    """(node, hashes): full shingle sets of the wanted nodes, a written table, made anew from their texts.
 
     A node's number is the number of a row with its set, so each node meets one text.
     """
-    joined = plain.join(wanted.select("node"), F.col("row") == F.col("node")).select("node", "text")
+    joined = plain.join(met(wanted.select("node"), wanted.count()), F.col("row") == F.col("node")).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, most=SLICE_BYTES):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prodseq.llm.batches import over_texts, texts_of
-from prodseq.llm.scratch import Scratch
+from prodseq.llm.scratch import Scratch, met
 from prodseq.llm.token_counts import _byte_letters
 
 #: White space in a row from which a text goes to the library that names the vocabulary: the
@@ -252,10 +252,10 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end_id: int = 1, id_col
         (F.row_number().over(within) - 1).alias("n_here"),
         (F.sum("whole").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("whole")).alias("whole_here"),
     )
-    ranked = numbered.join(offsets, ["rest", "salt"]).select(
+    ranked = numbered.join(met(offsets), ["rest", "salt"]).select(
         "row", (F.col("n_before") + F.col("n_here")).alias("rank"), (F.col("whole_before") + F.col("whole_here")).alias("before")
     )
-    placed = ids.join(ranked, "row").select("id", "n_tokens", "ids", "rank", "before")
+    placed = ids.join(met(ranked), "row").select("id", "n_tokens", "ids", "rank", "before")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from prodseq.llm.batches import over_texts, texts_of
-from prodseq.llm.scratch import Scratch
+from prodseq.llm.scratch import Scratch, met
 
 #: Fixed: kinds in listed order; the last one is what contexts add.
 KINDS = ("email", "ip", "card", "phone", "other")
@@ -174,28 +174,28 @@ def discover(scanned: DataFrame, scratch: Scratch, least_seeds: int = 3, confide
     uses = seen.select("row", "start", "end", "seed", "instance", F.explode(F.array_compact(patterns)).alias("pattern"))
     graph = scratch.write(uses.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "graph")
     between = graph.filter(F.col("pattern").startswith("both\x01"))
-    near = graph.join(graph.filter("seed").select("pattern").distinct(), "pattern", "left_semi").select("instance").distinct().withColumn("near", F.lit(True))
-    contexts = between.join(near, "instance", "left").groupBy("pattern").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.count("near").alias("near"))
+    near = graph.join(met(graph.filter("seed").select("pattern").distinct()), "pattern", "left_semi").select("instance").distinct().withColumn("near", F.lit(True))
+    contexts = between.join(met(near), "instance", "left").groupBy("pattern").agg(F.count("*").alias("n"), F.max("seed").alias("seed"), F.count("near").alias("near"))
     foreign = contexts.filter((F.col("n") >= FOREIGN) & ~F.col("seed") & (2 * F.col("near") < F.col("n")))
-    none = between.join(foreign.select("pattern"), "pattern", "left_semi").select("instance").distinct().withColumn("none", F.lit(True))
-    known = graph.groupBy("instance").agg(F.max("seed").alias("seed")).join(none, "instance", "left")
+    none = between.join(met(foreign.select("pattern")), "pattern", "left_semi").select("instance").distinct().withColumn("none", F.lit(True))
+    known = graph.groupBy("instance").agg(F.max("seed").alias("seed")).join(met(none), "instance", "left")
     state = F.when(F.col("seed"), 1).when(F.col("none"), -1).otherwise(0)
     states = scratch.write(known.select("instance", "seed", state.alias("state")), "states")
     while True:
-        rated = graph.select("pattern", "instance").join(states, "instance").groupBy("pattern").agg(*(F.count_if(F.col("state") == k).alias(n) for k, n in ((1, "good"), (-1, "bad"), (0, "open"))))
+        rated = graph.select("pattern", "instance").join(met(states), "instance").groupBy("pattern").agg(*(F.count_if(F.col("state") == k).alias(n) for k, n in ((1, "good"), (-1, "bad"), (0, "open"))))
         against = F.col("bad") + F.greatest(F.lit(0), F.col("open") - F.col("good")) + 1
         trusted = rated.withColumn("trust", F.col("good") / (F.col("good") + against))
         good = scratch.write(trusted.filter((F.col("good") >= least_seeds) & (F.col("trust") >= confident)).select("pattern", "trust"), "patterns")
-        reached = graph.join(good, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("reached"))
+        reached = graph.join(met(good), "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("reached"))
         accepted = (F.col("state") == 0) & (F.coalesce("reached", F.lit(0.0)) >= confident)
         new = Observation()
-        updated = states.join(reached, "instance", "left").withColumn("accepted", accepted).observe(new, F.count_if("accepted").alias("n"))
+        updated = states.join(met(reached), "instance", "left").withColumn("accepted", accepted).observe(new, F.count_if("accepted").alias("n"))
         before, states = states, scratch.write(updated.select("instance", "seed", F.when(F.col("accepted"), 1).otherwise(F.col("state")).alias("state")), "states")
         scratch.drop(before)
         if not _observed(new, states):
             break
     taken = states.filter((~F.col("seed")) & (F.col("state") == 1)).select("instance")
-    return uses.filter("NOT seed").join(good.select("pattern"), "pattern", "left_semi").join(taken, "instance", "left_semi").select("row", "start", "end").distinct()
+    return uses.filter("NOT seed").join(met(good.select("pattern")), "pattern", "left_semi").join(met(taken), "instance", "left_semi").select("row", "start", "end").distinct()
 
 
 def _observed(new: Observation, states: DataFrame) -> int:
@@ -211,7 +211,7 @@ def _with_all_spans(numbered: DataFrame, scratch: Scratch) -> DataFrame:
     added = discover(scanned, scratch).groupBy("row").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda s: F.concat_ws(":", F.lit(KINDS[4]), s["start"], s["end"])), ",").alias("added")
     )
-    joined = scanned.drop("candidates").join(added, "row", "left")
+    joined = scanned.drop("candidates").join(met(added), "row", "left")
     return joined.withColumn("spans", F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), "added"))
 
 
@@ -253,8 +253,7 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text", length_column
     numbered = scratch.write(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "documents")
     texts = numbered.select("row", F.lit(None).cast("long").alias("id"), F.col(f"doc.{text_column}").alias("text"))
     spans = _with_all_spans(texts, scratch).filter("spans <> ''").select("row", "spans")
-    # spans grow with the documents, so both sides are shuffled at every size
-    joined = numbered.join(spans.hint("merge"), "row", "left").select("doc", _mask(F.col(f"doc.{text_column}"), F.coalesce("spans", F.lit(""))).alias("masked"))
+    joined = numbered.join(met(spans), "row", "left").select("doc", _mask(F.col(f"doc.{text_column}"), F.coalesce("spans", F.lit(""))).alias("masked"))
     columns = []
     for field in docs.schema.fields:
         if field.name == text_column:

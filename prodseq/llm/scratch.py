@@ -6,9 +6,23 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from prodseq.llm.shipping import send_package
 
+#: Rows of numbers that every task may hold: about 10 MB as a hash table.
+FEW = 1 << 17
+
+
+def met(side: DataFrame, rows: int | None = None) -> DataFrame:
+    """A side of a join that is broadcast if ``rows``, its counted rows, are few, and else merged.
+
+    Spark sizes a side by its compressed files and takes an array for one element, also after
+    an explode; so it may broadcast a table that the driver cannot hold. Sides that grow with
+    the input are given here. Counted rows must be of a few numbers, without texts.
+    """
+    return F.broadcast(side) if rows is not None and rows <= FEW else side.hint("merge")
+
 
 class Scratch:
     """A folder below ``spark.checkpoint.dir`` for the written tables of one operator call.

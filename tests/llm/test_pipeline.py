@@ -1,11 +1,14 @@
 """The corpus pipeline: each stage's decisions take effect, and the whole runs on odd rows."""
 
+import random
+
 import corpus_pipeline
 from odd import documents, local, table
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import public_tokenizers
+from prodseq.llm import scratch as written
 from prodseq.llm.minhash import near_duplicates
 from prodseq.llm.quality import passes, ledger
 from prodseq.llm.scratch import Scratch
@@ -45,3 +48,27 @@ def test_run_on_odd_rows(spark, tmp_path):
     assert {None if x != x else x for x in local(corpus_pipeline.run(spark, str(tmp_path)))["doc_id"]} <= {1, 5, 9, 10}
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_no_side_that_grows_is_broadcast(spark, monkeypatch):
+    draw = random.Random(3)
+    texts = [" ".join(f"word{draw.randrange(500)}" for _ in range(60)) for _ in range(12)]
+    texts += [t + " more" for t in texts[:6]] + [f"{t} order ref {k}4711-{k} was sent to me{k}@mail.org now" for k, t in enumerate(texts[6:])]
+    rows = spark.createDataFrame([(k, t, "en", "src", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    write, plans = Scratch.write, []
+
+    def noted(self, frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(self, frame, name)
+
+    def run(docs):
+        for name in ("near_dedup", "personal_data", "packing"):
+            docs = Scratch(spark, "test").write(STAGES[name](spark, docs, SF), name)
+        return sorted(map(tuple, docs.collect()), key=str)
+
+    usual = run(rows)
+    monkeypatch.setattr(Scratch, "write", noted)
+    monkeypatch.setattr(written, "FEW", -1, raising=False)
+    assert run(rows) == usual
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if "SortMergeJoin" not in line]
