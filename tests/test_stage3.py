@@ -1,8 +1,10 @@
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from frames import DAY, MANUAL, bor_row, manual_row, reports, sku
 
+from prodseq.fixtures import queries
 from prodseq.operators import override as ov
 from prodseq.plans import layouts
 from prodseq.plans.params import Params
@@ -73,6 +75,17 @@ def test_overstock_goes_last_by_penetration(ws, spark):
     assert [r["is_overstock"] for r in rows] == [False, False, True, True]
 
 
+def test_overstock_query_puts_rows_in_order(spark, monkeypatch):
+    bmr = [(DAY, "1300", C, 500.0, 150.0), (DAY, "1300", D, 400.0, 120.0), (DAY, "1300", G, 300.0, 110.0)]
+    bor = [bor_row(A, stock=90.0), bor_row(B, stock=50.0)]
+    made = reports(spark, mould=[], manual=[manual_row(M), manual_row(sku(21), level=1, entry=2)], bor=bor, bmr=bmr)
+    monkeypatch.setattr(queries, "landed", lambda *_: SimpleNamespace(reports=lambda: made))
+    rows = queries.queries()["overstock_penalty"](spark, "").collect()
+    assert [r["sku"] for r in rows] == [sku(21), M, B, A, G, D, C]
+    assert [r["is_overstock"] for r in rows] == [False] * 4 + [True] * 3
+    assert [r["strategic"] for r in rows[:2]] == [11.0, 10.0] and {r["strategic"] for r in rows[4:]} == {0.0}
+
+
 def test_manual_rank_order(ws, spark):
     entries = [
         manual_row(A, 5.0, 0, entry=1), manual_row(B, 9.0, 0, entry=2),
