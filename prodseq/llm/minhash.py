@@ -165,7 +165,8 @@ def keep_one(
     placed = signed.select("row", "id", "set_key").join(met(rooted), "set_key", "left")
     group = F.struct(F.col("set_key").isNull().alias("empty"), F.coalesce("root", "row").alias("root"))
     kept = placed.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row")).alias("first")).select("first.row")
-    return numbered.join(met(kept), "row", "left_semi").select("doc.*")
+    # the kept rows follow a join of tables, which Spark does not size too low; they stay in the order they had
+    return numbered.join(kept, "row", "left_semi").select("doc.*")
 
 
 def _rooted(plain: DataFrame, signed: DataFrame, scratch: Scratch, width: int, percent: int, coordinates: int, matches: int) -> DataFrame:
